@@ -13,7 +13,7 @@ KEY_WIDTH = 5
 def _text_key(c: Column) -> Column:
     """Strip blanks, then double, then single quotes; pad plain numbers with zeros."""
     bare = F.btrim(F.btrim(F.btrim(c, F.lit(BLANKS)), F.lit('"')), F.lit("'"))
-    whole = F.ltrim(F.substring_index(bare, F.lit("."), F.lit(1)), F.lit("0"))
+    whole = F.ltrim(F.split_part(bare, F.lit("."), F.lit(1)), F.lit("0"))
     # lpad also cuts, so the width is never below the length at hand
     padded = F.lpad(whole, F.greatest(F.length(whole), F.lit(KEY_WIDTH)), F.lit("0"))
     return F.when(bare.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"), padded).otherwise(bare)

@@ -107,7 +107,7 @@ def psi(
     sides: DataFrame | None = None,
 ) -> DataFrame:
     """``(feature, n_reference, n_current, psi)`` with quantile bins of the reference side."""
-    sides = tagged_sides(reference, current, columns) if sides is None else sides
+    sides = tagged_sides(reference, current, columns, sides)
     profile = rank_profile(None, None, columns, bin_probabilities(bins), False, rows_per_range, sides)
     counts = histogram(sides, columns, profile, bins)
     return _psi(profile, counts).select("feature", "n_reference", "n_current", "psi")
@@ -121,7 +121,7 @@ def ks(
     sides: DataFrame | None = None,
 ) -> DataFrame:
     """``(feature, n_reference, n_current, ks_statistic, ks_pvalue)``."""
-    sides = tagged_sides(reference, current, columns) if sides is None else sides
+    sides = tagged_sides(reference, current, columns, sides)
     found = rank_profile(None, None, columns, (), True, rows_per_range, sides).drop("quantiles")
     return found.withColumn("ks_pvalue", ks_pvalue(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")))
 
@@ -155,6 +155,7 @@ def data_drift(
         sides = tagged_sides(reference, current, usable) if usable else None
     else:
         usable, spark = [c for c in columns if c in sides.columns], sides.sparkSession
+        sides = tagged_sides(None, None, usable, sides) if usable else None
     asked = spark.createDataFrame(
         [(i, c, c in usable) for i, c in enumerate(columns)], "seq int, feature string, present boolean"
     )
@@ -224,9 +225,8 @@ def prediction_drift(
     Instead of two frames, ``sides`` may bring values ``v`` with a boolean ``is_ref``.
     """
     if sides is None:
-        sides = tagged_sides(
-            baseline.select(F.col(baseline_column).alias("v")), current.select(F.col(current_column).alias("v")), ["v"]
-        )
+        baseline, current = baseline.select(F.col(baseline_column).alias("v")), current.select(F.col(current_column).alias("v"))
+    sides = tagged_sides(baseline, current, ["v"], sides)
     base, cur = F.when(F.col("is_ref"), F.col("v")), F.when(~F.col("is_ref"), F.col("v"))
     moments = sides.agg(
         F.count(base).alias("n_baseline"), F.count(cur).alias("n_current"),

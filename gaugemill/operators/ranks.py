@@ -22,16 +22,21 @@ MAX_RANGES = 16_384
 SAMPLE_PER_RANGE = 40
 
 
-def tagged_sides(reference: DataFrame, current: DataFrame | None, columns: Sequence[str]) -> DataFrame:
+def tagged_sides(
+    reference: DataFrame | None, current: DataFrame | None, columns: Sequence[str], sides: DataFrame | None = None
+) -> DataFrame:
     """Coerced values of both frames under each other, with ``is_ref`` telling them apart.
 
-    ``+ 0.0`` turns -0.0 into 0.0, so that both fall into the same range.
+    ``sides`` brings both already marked, out of one scan. ``+ 0.0`` turns -0.0 into 0.0, so that both fall into
+    the same range.
     """
-    def values(df: DataFrame, is_ref: bool) -> DataFrame:
-        return df.select(F.lit(is_ref).alias("is_ref"), *((numeric_column(df, c) + F.lit(0.0)).alias(c) for c in columns))
+    def values(df: DataFrame, is_ref: Column) -> DataFrame:
+        return df.select(is_ref.alias("is_ref"), *((numeric_column(df, c) + F.lit(0.0)).alias(c) for c in columns))
 
-    both = values(reference, True)
-    return both if current is None else both.unionByName(values(current, False))
+    if sides is not None:
+        return values(sides, F.col("is_ref"))
+    both = values(reference, F.lit(True))
+    return both if current is None else both.unionByName(values(current, F.lit(False)))
 
 
 def range_cuts(
@@ -148,7 +153,7 @@ def rank_profile(
     ``quantiles`` holds the exact linearly interpolated quantiles of the reference side. Columns without a
     single value have no row.
     """
-    sides = tagged_sides(reference, current, columns) if sides is None else sides
+    sides = tagged_sides(reference, current, columns, sides)
     long = long_values(sides, columns, range_cuts(sides, columns, rows_per_range))
     ranges = _with_needed(_range_table(long), probabilities, ks)
     # ranges × features rows with a fixed upper bound: safe to broadcast
