@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from gaugemill.catalog import rows, statistics
+from gaugemill.catalog import models, rows, statistics
 
 
 def _modules():
-    return rows, statistics
+    return rows, statistics, models
 
 
 def all_queries() -> dict:

@@ -118,7 +118,7 @@ report AS (SELECT feature, d, p, psi, p < 0.01 OR psi > 0.25 AS drift,
 
 
 @query(f"""WITH {SIDES_SQL}, {EDGES_SQL}
-SELECT feature, n, CAST(at AS INTEGER) AS position, round(e[at + 1], 6) AS edge FROM (SELECT feature, n, e, unnest(range(0, len(e))) AS at FROM edges)""")
+SELECT feature, n, CAST(place AS INTEGER) AS position, round(e[place + 1], 6) AS edge FROM (SELECT feature, n, e, unnest(range(0, len(e))) AS place FROM edges)""")
 def quantile_grid(spark, sf_dir):
     """Distinct deciles of the reference side."""
     ref = sides(spark, sf_dir).filter("is_ref")
@@ -132,7 +132,7 @@ def histogram_bins(spark, sf_dir):
     """Both sides counted over the reference deciles, values outside dropped."""
     both = drift.tagged_sides(None, None, DRIFT_COLUMNS, sides=sides(spark, sf_dir))
     profile = drift.rank_profile(None, None, DRIFT_COLUMNS, drift.bin_probabilities(), False, sides=both)
-    counts = drift.full_histogram(drift.histogram(both, DRIFT_COLUMNS, profile), profile)
+    counts = drift.full_histogram(both, drift.collect_edges(profile))
     return counts.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
 
 
@@ -283,12 +283,12 @@ filled AS (SELECT l_orderkey, l_linenumber, {', '.join(f'coalesce(l.{c}, med.{c}
 
 
 @query(FILLED_SQL + "".join(
-    f"{' SELECT' if i == 0 else ' UNION ALL SELECT'} '{c}' AS feature, round((SELECT {c} FROM med), 6) AS median, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std FROM filled"
+    f"{' SELECT' if i == 0 else ' UNION ALL SELECT'} '{c}' AS feature, round((SELECT {c} FROM med), 6) AS median, round(avg({c}), 5) AS mean, round(stddev_pop({c}), 5) AS std FROM filled"
     for i, c in enumerate(SCALED)))
 def scaling_stats(spark, sf_dir):
     """A5: medians, and moments after filling with them."""
     found = stats.scaling_stats(listing(spark, sf_dir), SCALED)
-    return found.withColumns({c: F.round(c, 6) for c in ("median", "mean", "std")})
+    return found.withColumns({c: F.round(c, 6 if c == "median" else 5) for c in ("median", "mean", "std")})
 
 
 @query(f"""{FILLED_SQL}, m AS (SELECT {', '.join(f'avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s' for c in SCALED)} FROM filled)

@@ -14,7 +14,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,46 +25,38 @@ TAIL_FROM = 2.2
 TERMS = 10
 
 
-def effective_size(n1: Column, n2: Column) -> Column:
-    """Sample size of the limit distribution, halves to even."""
-    a, b = n1.cast("double"), n2.cast("double")
-    return F.rint(F.try_divide(a * b, a + b))
-
-
-def _theta(power: int, half: float, z: Column) -> Column:
-    """Sum over all whole k of x^power exp(-x / 2z²) with x = (pi (k + half))²."""
-    def term(total: Column, k: Column) -> Column:
-        x = F.pow(F.lit(math.pi) * (k + F.lit(half)), F.lit(2.0))
-        return total + F.lit(2.0) * F.pow(x, F.lit(float(power))) * F.exp(-x / (F.lit(2.0) * z * z))
-
+def _theta(power: int, half: float) -> str:
+    """Sum over all whole k of x^power exp(-x / 2z²) with x = (pi (k + half))², as SQL over a column ``z``."""
     start = 0 if half else 1
-    return F.aggregate(F.sequence(F.lit(start), F.lit(start + TERMS - 1)), F.lit(0.0), term)
+    x = f"pow(pi() * (k + {half}D), 2)"
+    term = f"2D * pow({x}, {power}) * exp(-{x} / (2D * z * z))"
+    return f"aggregate(sequence({start}, {start + TERMS - 1}), 0D, (total, k) -> total + {term})"
 
 
-def large_sample_pvalue(d: Column, n: Column) -> Column:
-    """P(D >= d) for the one-sample statistic at size ``n``."""
+def with_large_sample_pvalue(df: DataFrame, d: str, n: str, name: str) -> DataFrame:
+    """``df`` with P(D >= d) for the one-sample statistic at size ``n``."""
     # below z = 0.1 the distribution function is smaller than any double near 1
-    z = F.greatest(F.sqrt(n) * d, F.lit(0.1))
-    s0, s1, s2, s3 = (_theta(p, 0.5, z) for p in range(4))
-    t1, t2 = (_theta(p, 0.0, z) for p in (1, 2))
-    z2 = z * z
-    z4, z6 = z2 * z2, z2 * z2 * z2
-    c = math.sqrt(math.pi / 2)
-    k0 = F.lit(c) / z * s0
-    k1 = F.lit(c) / (6 * z4) * (s1 - z2 * s0)
-    k2 = F.lit(c) / (72 * z6 * z) * ((6 * z6 + 2 * z4) * s0 + (2 * z4 - 5 * z2) * s1 + (1 - 2 * z2) * s2) - F.lit(
-        c
-    ) / (36 * z2 * z) * t1
-    k3 = F.lit(c) / (6480 * z6 * z4) * (
-        (5 - 30 * z2) * s3
-        + (212 * z4 - 60 * z2) * s2
-        + (135 * z4 - 96 * z6) * s1
-        - (30 * z6 + 90 * z6 * z2) * s0
-    ) + F.lit(c) / (108 * z6) * (3 * z2 * t1 - t2)
-    middle = 1 - (k0 + k1 / F.sqrt(n) + k2 / n + k3 / (n * F.sqrt(n)))
-    tail = 2 * F.exp(-F.pow(6 * n * d + 1, F.lit(2.0)) / (18 * n) - F.lit(4 / 9) * n * F.pow(d, F.lit(4.0)))
-    p = F.when(n * d * d >= TAIL_FROM, tail).otherwise(middle)
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), p))
+    steps = df.withColumns({"z": F.expr(f"greatest(sqrt({n}) * {d}, 0.1D)"), "c": F.expr("sqrt(pi() / 2)")})
+    steps = steps.withColumns(
+        {f"s{p}": F.expr(_theta(p, 0.5)) for p in range(4)} | {f"t{p}": F.expr(_theta(p, 0.0)) for p in (1, 2)}
+    )
+    steps = steps.withColumns({
+        "k0": F.expr("c / z * s0"),
+        "k1": F.expr("c / (6 * pow(z, 4)) * (s1 - z * z * s0)"),
+        "k2": F.expr(
+            "c / (72 * pow(z, 7)) * ((6 * pow(z, 6) + 2 * pow(z, 4)) * s0 + (2 * pow(z, 4) - 5 * z * z) * s1"
+            " + (1 - 2 * z * z) * s2) - c / (36 * pow(z, 3)) * t1"
+        ),
+        "k3": F.expr(
+            "c / (6480 * pow(z, 10)) * ((5 - 30 * z * z) * s3 + (212 * pow(z, 4) - 60 * z * z) * s2"
+            " + (135 * pow(z, 4) - 96 * pow(z, 6)) * s1 - (30 * pow(z, 6) + 90 * pow(z, 8)) * s0)"
+            " + c / (108 * pow(z, 6)) * (3 * z * z * t1 - t2)"
+        ),
+    })
+    tail = f"2 * exp(-pow(6 * {n} * {d} + 1, 2) / (18 * {n}) - 4D / 9 * {n} * pow({d}, 4))"
+    middle = f"1 - (k0 + k1 / sqrt({n}) + k2 / {n} + k3 / ({n} * sqrt({n})))"
+    p = F.expr(f"least(1D, greatest(0D, CASE WHEN {n} * {d} * {d} >= {TAIL_FROM} THEN {tail} ELSE {middle} END))")
+    return steps.withColumn(name, p).select(*df.columns, name)
 
 
 def exact_two_sample(d: float, n1: int, n2: int) -> float:
@@ -135,10 +127,13 @@ def _exact_pvalue(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
     return pd.Series([one(*row) for row in zip(d, n1, n2, strict=True)], dtype="float64")
 
 
-def ks_pvalue(d: Column, n1: Column, n2: Column) -> Column:
-    """p-value of the two-sample statistic ``d``; NULL where there is none."""
-    n = effective_size(n1, n2)
-    in_tail = (n <= SUMMED_N) & (n * d * d >= TAIL_FROM)
-    exact = (F.greatest(n1, n2) <= EXACT_UP_TO) | (n <= SMALL_N) | in_tail
-    by_hand = _exact_pvalue(F.when(exact, d), n1.cast("double"), n2.cast("double"))
-    return F.when(d.isNull(), None).when(exact, by_hand).otherwise(large_sample_pvalue(d, n))
+def with_ks_pvalue(df: DataFrame, statistic: str = "ks_statistic", n1: str = "n_reference", n2: str = "n_current") -> DataFrame:
+    """``df`` with ``ks_pvalue`` of the two-sample statistic; NULL where there is none."""
+    # size of the limit distribution, halves to even
+    sized = df.withColumn("__n", F.expr(f"rint(try_divide(CAST({n1} AS DOUBLE) * {n2}, {n1} + {n2}))"))
+    sized = with_large_sample_pvalue(sized, statistic, "__n", "__limit")
+    in_tail = f"(__n <= {SUMMED_N} AND __n * {statistic} * {statistic} >= {TAIL_FROM})"
+    exact = F.expr(f"greatest({n1}, {n2}) <= {EXACT_UP_TO} OR __n <= {SMALL_N} OR {in_tail}")
+    by_hand = _exact_pvalue(F.when(exact, F.col(statistic)), F.col(n1).cast("double"), F.col(n2).cast("double"))
+    value = F.when(F.col(statistic).isNull(), None).when(exact, by_hand).otherwise(F.col("__limit"))
+    return sized.withColumn("ks_pvalue", value).drop("__n", "__limit")

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugemill.functions.kolmogorov import ks_pvalue
+from gaugemill.functions.kolmogorov import with_ks_pvalue
 from gaugemill.functions.numeric import relative_shift
-from gaugemill.operators.ranks import ROWS_PER_RANGE, long_values, rank_profile, tagged_sides
+from gaugemill.operators.ranks import ROWS_PER_RANGE, rank_profile, tagged_sides
 
 KS_PVALUE_THRESHOLD = 0.01
 PSI_THRESHOLD = 0.25
@@ -18,6 +19,7 @@ MEAN_SHIFT_THRESHOLD = 0.25
 MIN_SAMPLES = 20
 BINS = 10
 PSI_EPS = 1e-6
+PROFILE = ("feature", "n_reference", "n_current", "ks_statistic")
 
 
 def common_numeric_columns(
@@ -40,45 +42,40 @@ def quantile_grid(df: DataFrame, columns: Sequence[str], bins: int = BINS, rows_
     return found.select("feature", F.col("n_reference").alias("n"), F.array_distinct("quantiles").alias("edges"))
 
 
-def histogram(sides: DataFrame, columns: Sequence[str], profile: DataFrame, bins: int = BINS) -> DataFrame:
-    """``(feature, bin, n_ref, n_cur)`` over the quantile bins of ``profile``; bins without rows are left out.
+def collect_edges(profile: DataFrame) -> dict[str, list[float]]:
+    """Distinct quantiles per feature on the driver: one short list per feature."""
+    return {r["feature"]: sorted(set(r["quantiles"] or [])) for r in profile.collect()}
+
+
+def _number(x: float) -> str:
+    return f"({x!r}D)" if math.isfinite(x) else f"double('{x}')"
 
-    Bins are half-open, the last one is closed, and values outside the edges are dropped. Repeated edges make
-    one edge: only edges above their predecessor and below the last one split the range.
-    """
-    edge = [F.col("quantiles")[i] for i in range(bins + 1)]
-    # one row per feature: safe to broadcast
-    edges = F.broadcast(
-        profile.select(
-            "feature",
-            edge[0].alias("lowest"),
-            edge[bins].alias("highest"),
-            *(
-                F.when((edge[i] > edge[i - 1]) & (edge[i] < edge[bins]), edge[i]).alias(f"inner{i}")
-                for i in range(1, bins)
-            ),
-        )
-    )
-    placed = sum(F.when(F.col("v") >= F.col(f"inner{i}"), 1).otherwise(0) for i in range(1, bins))
-    return (
-        long_values(sides, columns, {})
-        .join(edges, "feature")
-        .filter("v between lowest and highest")
-        .groupBy("feature", placed.cast("int").alias("bin"))
-        .agg(F.count_if("is_ref").alias("n_ref"), F.count_if(~F.col("is_ref")).alias("n_cur"))
-    )
 
+def histogram(sides: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
+    """``(feature, bin, n_ref, n_cur)`` over the given edges; bins without rows are left out.
 
-def full_histogram(counts: DataFrame, profile: DataFrame) -> DataFrame:
+    Bins are half-open, the last one is closed, and values outside the edges are dropped. Each value is compared
+    with the literal inner edges of its column; rows are counted before the shuffle, which carries one record per
+    bin and task.
+    """
+    cells = []
+    for name, e in edges.items():
+        if len(e) < 2:
+            continue
+        above = " + ".join(f"CAST(`{name}` >= {_number(x)} AS INT)" for x in e[1:-1]) or "0"
+        inside = f"`{name}` BETWEEN {_number(e[0])} AND {_number(e[-1])}"
+        cells.append(f"struct({name!r} AS feature, CASE WHEN {inside} THEN {above} END AS bin)")
+    if not cells:
+        return sides.sparkSession.createDataFrame([], "feature string, bin int, n_ref long, n_cur long")
+    placed = sides.select("is_ref", F.expr(f"inline(array({', '.join(cells)}))")).filter("bin IS NOT NULL")
+    return placed.groupBy("feature", "bin").agg(F.count_if("is_ref").alias("n_ref"), F.count_if(~F.col("is_ref")).alias("n_cur"))
+
+
+def full_histogram(sides: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
     """Histogram rows for every bin, with 0 for the empty ones, and the bin's lower and upper edge."""
-    grid = profile.select("feature", F.array_distinct("quantiles").alias("edges")).select(
-        "feature", F.posexplode("edges").alias("bin", "lower"), "edges"
-    )
-    grid = grid.select("feature", "bin", "lower", F.get("edges", F.col("bin") + 1).alias("upper")).filter("upper is not null")
-    return grid.join(counts, ["feature", "bin"], "left").select(
-        "feature", "bin", "lower", "upper",
-        F.coalesce("n_ref", F.lit(0)).alias("n_ref"), F.coalesce("n_cur", F.lit(0)).alias("n_cur"),
-    )
+    bins = [(name, i, e[i], e[i + 1]) for name, e in edges.items() for i in range(len(e) - 1)]
+    grid = sides.sparkSession.createDataFrame(bins, "feature string, bin int, lower double, upper double")
+    return grid.join(histogram(sides, edges), ["feature", "bin"], "left").fillna(0, ["n_ref", "n_cur"])
 
 
 def psi_from_histogram(counts: DataFrame) -> DataFrame:
@@ -90,12 +87,21 @@ def psi_from_histogram(counts: DataFrame) -> DataFrame:
     return counts.select("feature", ref.alias("ref"), cur.alias("cur")).groupBy("feature").agg(F.sum(term).alias("psi_sum"))
 
 
-def _psi(profile: DataFrame, counts: DataFrame) -> DataFrame:
-    """Profile with ``psi``: NULL below two values on a side, 0.0 without two distinct edges."""
-    enough = (F.col("n_reference") >= 2) & (F.col("n_current") >= 2)
-    one_edge = F.size(F.array_distinct("quantiles")) < 2
-    value = F.when(enough, F.when(one_edge, 0.0).otherwise(F.coalesce("psi_sum", F.lit(0.0))))
-    return profile.join(psi_from_histogram(counts), "feature", "left").withColumn("psi", value).drop("psi_sum")
+def _with_psi(profile: DataFrame, sides: DataFrame) -> DataFrame:
+    """Profile rows with ``psi``: NULL below two values on a side, 0.0 without two distinct edges.
+
+    The profile is one short row per feature; it is brought to the driver so that the bin edges become literals
+    of the second scan and the ranks are not worked out again.
+    """
+    rows = profile.collect()
+    edges = {r["feature"]: sorted(set(r["quantiles"] or [])) for r in rows}
+    found = sides.sparkSession.createDataFrame(
+        [(*(r[c] for c in PROFILE), len(edges[r["feature"]]) < 2) for r in rows],
+        "feature string, n_reference long, n_current long, ks_statistic double, one_edge boolean",
+    )
+    value = F.expr("CASE WHEN n_reference >= 2 AND n_current >= 2 THEN CASE WHEN one_edge THEN 0D ELSE coalesce(psi_sum, 0D) END END")
+    sums = psi_from_histogram(histogram(sides, edges))
+    return found.join(sums, "feature", "left").withColumn("psi", value).drop("psi_sum", "one_edge")
 
 
 def psi(
@@ -109,8 +115,7 @@ def psi(
     """``(feature, n_reference, n_current, psi)`` with quantile bins of the reference side."""
     sides = tagged_sides(reference, current, columns, sides)
     profile = rank_profile(None, None, columns, bin_probabilities(bins), False, rows_per_range, sides)
-    counts = histogram(sides, columns, profile, bins)
-    return _psi(profile, counts).select("feature", "n_reference", "n_current", "psi")
+    return _with_psi(profile, sides).select("feature", "n_reference", "n_current", "psi")
 
 
 def ks(
@@ -123,7 +128,7 @@ def ks(
     """``(feature, n_reference, n_current, ks_statistic, ks_pvalue)``."""
     sides = tagged_sides(reference, current, columns, sides)
     found = rank_profile(None, None, columns, (), True, rows_per_range, sides).drop("quantiles")
-    return found.withColumn("ks_pvalue", ks_pvalue(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")))
+    return with_ks_pvalue(found)
 
 
 def _reason(flags: Sequence[tuple[Column, str]], joint: str) -> Column:
@@ -163,7 +168,7 @@ def data_drift(
         probabilities = bin_probabilities() if include_psi else ()
         found = rank_profile(None, None, usable, probabilities, True, rows_per_range, sides)
         if include_psi:
-            found = _psi(found, histogram(sides, usable, found))
+            found = _with_psi(found, sides)
         else:
             found = found.withColumn("psi", F.lit(None).cast("double"))
     else:
@@ -182,7 +187,7 @@ def data_drift(
         F.when(F.col("present"), n_ref).alias("n_reference"),
         F.when(F.col("present"), n_cur).alias("n_current"),
     )
-    rows = rows.withColumn("ks_pvalue", ks_pvalue(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")))
+    rows = with_ks_pvalue(rows)
     by_ks = F.coalesce(F.col("ks_pvalue") < ks_pvalue_threshold, F.lit(False))
     by_psi = F.coalesce(F.col("psi") > psi_alert_threshold, F.lit(False))
     told = _reason(((by_ks, f"ks_pvalue<{ks_pvalue_threshold}"), (by_psi, f"psi>{psi_alert_threshold}")), " and ")
@@ -243,7 +248,7 @@ def prediction_drift(
         "n_baseline", "n_current",
     )
     rows = rows.withColumn("relative_mean_shift", relative_shift(F.col("current_mean"), F.col("baseline_mean")))
-    rows = rows.withColumn("ks_pvalue", ks_pvalue(F.col("ks_statistic"), F.col("n_baseline"), F.col("n_current")))
+    rows = with_ks_pvalue(rows, n1="n_baseline")
     by_ks = F.coalesce(F.col("ks_pvalue") < ks_pvalue_threshold, F.lit(False))
     by_mean = F.coalesce(F.col("relative_mean_shift") > mean_relative_shift_threshold, F.lit(False))
     told = _reason(((by_ks, f"ks_pvalue<{ks_pvalue_threshold}"), (by_mean, f"mean_shift>{mean_relative_shift_threshold}")), "; ")

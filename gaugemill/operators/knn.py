@@ -121,7 +121,7 @@ def load_index(
     none = {"n": 0, "radius": 0.0}
     per_cell = [sizes.get(c, none) for c in range(len(points))]
     return NeighbourIndex(
-        rows.drop("away"), k, n_codes, points,
+        rows, k, n_codes, points,
         np.array([c["n"] for c in per_cell]), np.array([c["radius"] for c in per_cell]), nearest, chunk_rows,
     )
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugemill.functions.numeric import numeric_column
+from gaugemill.session import work_dir
 
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 16_384
@@ -82,29 +83,23 @@ def long_values(sides: DataFrame, columns: Sequence[str], cuts: Mapping[str, lis
     return sides.select("is_ref", F.inline(cells)).filter(F.col("v").isNotNull())
 
 
-def _side_counts() -> list[Column]:
-    return [
-        F.count_if(F.col("is_ref")).alias("n_ref"),
-        F.count_if(~F.col("is_ref")).alias("n_cur"),
-    ]
+COUNTS = ("count_if(is_ref) AS n_ref", "count_if(NOT is_ref) AS n_cur")
 
 
-def _distance(ref: Column, cur: Column) -> Column:
-    return F.try_divide(ref, F.col("size_ref")) - F.try_divide(cur, F.col("size_cur"))
+def _counts() -> list[Column]:
+    return [F.expr(c) for c in COUNTS]
 
 
-def _rank_bounds(p: float, n: Column) -> tuple[Column, Column, Column]:
-    """Lower rank, upper rank (from 0) and weight of the upper one, linear interpolation."""
-    at = (n - 1) * F.lit(float(p))
-    low = F.floor(at)
-    return low, F.ceil(at), at - low
+def _rank(p: float, size: str, end: str) -> str:
+    """Rank (from 0) below or above the quantile ``p`` of ``size`` values, as SQL; ``end`` is floor or ceil."""
+    return f"{end}(({size} - 1) * {float(p)!r}D)"
 
 
 def _range_table(long: DataFrame) -> DataFrame:
-    """Counts per value range with the counts of all lower ranges; ranges × features rows."""
+    """Counts per value range with the counts of all lower ranges; at most ranges × features rows."""
     by_feature = Window.partitionBy("feature")
     below = by_feature.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return long.groupBy("feature", "part").agg(*_side_counts()).select(
+    return long.groupBy("feature", "part").agg(*_counts()).select(
         "feature", "part", "n_ref", "n_cur",
         F.coalesce(F.sum("n_ref").over(below), F.lit(0)).alias("below_ref"),
         F.coalesce(F.sum("n_cur").over(below), F.lit(0)).alias("below_cur"),
@@ -115,32 +110,50 @@ def _range_table(long: DataFrame) -> DataFrame:
 
 def _with_needed(ranges: DataFrame, probabilities: Sequence[float], ks: bool) -> DataFrame:
     """Mark the ranges whose values matter; ``edge_distance`` is the KS distance seen at range ends alone."""
-    needed, edge_distance = F.lit(False), F.lit(None).cast("double")
-    for p in probabilities:
-        for rank in _rank_bounds(p, F.col("size_ref"))[:2]:
-            needed = needed | ((F.col("below_ref") <= rank) & (rank < F.col("below_ref") + F.col("n_ref")))
+    needed = [
+        f"(below_ref <= {_rank(p, 'size_ref', end)} AND {_rank(p, 'size_ref', end)} < below_ref + n_ref)"
+        for p in probabilities
+        for end in ("floor", "ceil")
+    ]
+    edge_distance = F.lit(None).cast("double")
     if ks:
         # between the ends the distance stays within [start - current share, start + reference share]
-        start = _distance(F.col("below_ref"), F.col("below_cur"))
-        at_end = _distance(F.col("below_ref") + F.col("n_ref"), F.col("below_cur") + F.col("n_cur"))
-        edge_distance = F.max(F.abs(at_end)).over(Window.partitionBy("feature"))
-        ranges = ranges.withColumn(
-            "reach",
-            F.greatest(
-                F.abs(start + F.try_divide("n_ref", "size_ref")), F.abs(start - F.try_divide("n_cur", "size_cur"))
-            ),
-        )
-        needed = needed | (F.col("reach") >= F.col("edge_distance") - 1e-12)
-    return ranges.withColumn("edge_distance", edge_distance).withColumn("needed", F.coalesce(needed, F.lit(False)))
+        ranges = ranges.withColumn("start", F.expr("try_divide(below_ref, size_ref) - try_divide(below_cur, size_cur)"))
+        ranges = ranges.withColumns({
+            "up": F.expr("try_divide(n_ref, size_ref)"), "down": F.expr("try_divide(n_cur, size_cur)"),
+        })
+        edge_distance = F.max(F.expr("abs(start + up - down)")).over(Window.partitionBy("feature"))
+        needed.append("greatest(abs(start + up), abs(start - down)) >= edge_distance - 1e-12")
+    ranges = ranges.withColumn("edge_distance", edge_distance)
+    return ranges.withColumn("needed", F.expr(f"coalesce({' OR '.join(needed) or 'false'}, false)"))
+
+
+def _summaries(probabilities: Sequence[float], ks: bool) -> list[Column]:
+    """Aggregates over running counts: the largest distance and the values at the asked-for ranks."""
+    distance = "max(abs(try_divide(upto_ref, size_ref) - try_divide(upto_cur, size_cur)))" if ks else "max(CAST(NULL AS DOUBLE))"
+    picks = [
+        f"max(CASE WHEN upto_ref - n_ref <= {rank} AND {rank} < upto_ref THEN v END) AS {end}{i}"
+        for i, p in enumerate(probabilities)
+        for end in ("floor", "ceil")
+        for rank in [_rank(p, "size_ref", end)]
+    ]
+    return [F.expr(f"{distance} AS inner_distance"), *(F.expr(p) for p in picks)]
 
 
-def _interpolate(low: Column, high: Column, weight: Column) -> Column:
-    # from whichever end is nearer, so that equal ends give that very value
-    return F.when(weight >= 0.5, high - (high - low) * (1 - weight)).otherwise(low + (high - low) * weight)
+def _quantiles(probabilities: Sequence[float]) -> Column:
+    """Interpolated from whichever end is nearer, so that equal ends give that very value."""
+    built = []
+    for i, p in enumerate(probabilities):
+        weight = f"((n_reference - 1) * {float(p)!r}D - {_rank(p, 'n_reference', 'floor')})"
+        built.append(
+            f"CASE WHEN {weight} >= 0.5 THEN ceil{i} - (ceil{i} - floor{i}) * (1 - {weight}) "
+            f"ELSE floor{i} + (ceil{i} - floor{i}) * {weight} END"
+        )
+    return F.expr(f"CAST(array({', '.join(built)}) AS array<double>)")
 
 
 def rank_profile(
-    reference: DataFrame,
+    reference: DataFrame | None,
     current: DataFrame | None,
     columns: Sequence[str],
     probabilities: Sequence[float] = (),
@@ -151,39 +164,50 @@ def rank_profile(
     """One row per column with values: ``feature, n_reference, n_current, ks_statistic, quantiles``.
 
     ``quantiles`` holds the exact linearly interpolated quantiles of the reference side. Columns without a
-    single value have no row.
+    single value have no row. Up to ``rows_per_range`` rows a column is one range and one scan does; beyond,
+    the cuts and the counts per range are found first.
     """
     sides = tagged_sides(reference, current, columns, sides)
-    long = long_values(sides, columns, range_cuts(sides, columns, rows_per_range))
-    ranges = _with_needed(_range_table(long), probabilities, ks)
-    # ranges × features rows with a fixed upper bound: safe to broadcast
-    wanted = F.broadcast(
-        ranges.filter("needed").select("feature", "part", "below_ref", "below_cur", "size_ref", "size_cur")
+    cuts = range_cuts(sides, columns, rows_per_range)
+    long = long_values(sides, columns, cuts)
+    if any(cuts.values()):
+        return _profile_by_range(long, probabilities, ks)
+    by_feature = Window.partitionBy("feature")
+    upto = by_feature.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    running = long.groupBy("feature", "v").agg(*_counts()).select(
+        "feature", "v", "n_ref",
+        F.sum("n_ref").over(upto).alias("upto_ref"), F.sum("n_cur").over(upto).alias("upto_cur"),
+        F.sum("n_ref").over(by_feature).alias("size_ref"), F.sum("n_cur").over(by_feature).alias("size_cur"),
+    )
+    found = running.groupBy("feature").agg(
+        F.max("size_ref").alias("n_reference"), F.max("size_cur").alias("n_current"), *_summaries(probabilities, ks)
     )
+    return found.select(
+        "feature", "n_reference", "n_current", F.col("inner_distance").alias("ks_statistic"), _quantiles(probabilities).alias("quantiles")
+    )
+
+
+def _profile_by_range(long: DataFrame, probabilities: Sequence[float], ks: bool) -> DataFrame:
+    spark = long.sparkSession
+    # written once: several joins below read it, and none may count the source again
+    path = work_dir(spark, "ranges")
+    _with_needed(_range_table(long), probabilities, ks).write.parquet(path)
+    ranges = spark.read.parquet(path)
+    # at most MAX_RANGES rows per feature: safe to broadcast
+    wanted = F.broadcast(ranges.filter("needed").select("feature", "part", "below_ref", "below_cur", "size_ref", "size_cur"))
     values = (
         long.join(wanted.select("feature", "part"), ["feature", "part"], "left_semi")
         .groupBy("feature", "part", "v")
-        .agg(*_side_counts())
+        .agg(*_counts())
     )
     upto = Window.partitionBy("feature", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     running = values.select(
         "feature", "part", "v", "n_ref",
         F.sum("n_ref").over(upto).alias("run_ref"), F.sum("n_cur").over(upto).alias("run_cur"),
-    ).join(wanted, ["feature", "part"])
-    upto_ref = F.col("below_ref") + F.col("run_ref")
-    upto_cur = F.col("below_cur") + F.col("run_cur")
-
-    def at_rank(rank: Column) -> Column:
-        return F.max(F.when((upto_ref - F.col("n_ref") <= rank) & (rank < upto_ref), F.col("v")))
-
-    picks, built = [], []
-    for i, p in enumerate(probabilities):
-        low, high, _ = _rank_bounds(p, F.col("size_ref"))
-        picks += [at_rank(low).alias(f"low{i}"), at_rank(high).alias(f"high{i}")]
-        weight = _rank_bounds(p, F.col("n_reference"))[2]
-        built.append(_interpolate(F.col(f"low{i}"), F.col(f"high{i}"), weight))
-    inner_distance = F.max(F.abs(_distance(upto_ref, upto_cur))) if ks else F.max(F.lit(None).cast("double"))
-    detail = running.groupBy("feature").agg(inner_distance.alias("inner_distance"), *picks)
+    ).join(wanted, ["feature", "part"]).withColumns(
+        {"upto_ref": F.expr("below_ref + run_ref"), "upto_cur": F.expr("below_cur + run_cur")}
+    )
+    detail = running.groupBy("feature").agg(*_summaries(probabilities, ks))
     sizes = ranges.groupBy("feature").agg(
         F.max("size_ref").alias("n_reference"),
         F.max("size_cur").alias("n_current"),
@@ -192,5 +216,5 @@ def rank_profile(
     return sizes.join(detail, "feature", "left").select(
         "feature", "n_reference", "n_current",
         F.greatest("edge_distance", "inner_distance").alias("ks_statistic"),
-        (F.array(*built) if built else F.array().cast("array<double>")).alias("quantiles"),
+        _quantiles(probabilities).alias("quantiles"),
     )
