@@ -22,7 +22,10 @@ def to_double(c: Column, dtype: T.DataType) -> Column:
 
 def numeric_column(df: DataFrame, name: str) -> Column:
     """Coerced value of column ``name`` of ``df``."""
-    return to_double(F.col(name), df.schema[name].dataType)
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return F.expr(f"CASE WHEN NOT isnan(`{name}`) THEN CAST(`{name}` AS DOUBLE) END")
+    return to_double(F.col(name), dtype)
 
 
 def missing(df: DataFrame, name: str) -> Column:

@@ -70,17 +70,10 @@ def long_values(sides: DataFrame, columns: Sequence[str], cuts: Mapping[str, lis
             outputCols=[f"{c}__part" for c in cut],
             handleInvalid="keep",
         ).transform(sides)
-    cells = F.array(
-        *(
-            F.struct(
-                F.lit(c).alias("feature"),
-                (F.col(f"`{c}__part`").cast("int") if c in cut else F.lit(0)).alias("part"),
-                F.col(f"`{c}`").alias("v"),
-            )
-            for c in columns
-        )
+    cells = ", ".join(
+        f"struct({c!r} AS feature, {f'CAST(`{c}__part` AS INT)' if c in cut else '0'} AS part, `{c}` AS v)" for c in columns
     )
-    return sides.select("is_ref", F.inline(cells)).filter(F.col("v").isNotNull())
+    return sides.select("is_ref", F.expr(f"inline(array({cells}))")).filter("v IS NOT NULL")
 
 
 COUNTS = ("count_if(is_ref) AS n_ref", "count_if(NOT is_ref) AS n_cur")
