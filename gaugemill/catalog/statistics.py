@@ -201,8 +201,9 @@ SELECT false AS skipped, round(bm, 4) AS baseline_mean, round(bs, 4) AS baseline
   {PREDICTION_REASON} AS drift_reason, n1 AS n_baseline, n2 AS n_current FROM pvalues, shift""")
 def prediction_drift(spark, sf_dir):
     """Estimated prices against actual ones."""
-    scored = _scored_lines(spark, sf_dir)
-    found = drift.prediction_drift(scored, scored)
+    # both values of a line out of one scan and join
+    pair = F.array(F.struct(F.lit(True).alias("is_ref"), F.col("price").alias("v")), F.struct(F.lit(False).alias("is_ref"), F.col("predicted_price").alias("v")))
+    found = drift.prediction_drift(None, None, sides=_scored_lines(spark, sf_dir).select(F.inline(pair)))
     rounded = {c: F.round(c, 4) for c in ("baseline_mean", "baseline_std", "current_mean", "current_std")}
     rounded |= {"relative_mean_shift": F.round("relative_mean_shift", 6), "ks_statistic": F.round("ks_statistic", 9), "ks_pvalue": F.round("ks_pvalue", 6)}
     return found.withColumns(rounded).drop("reason")

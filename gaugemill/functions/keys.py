@@ -10,13 +10,16 @@ BLANKS = " \t\n\r\f\x0b"
 KEY_WIDTH = 5
 
 
+def _padded(digits: Column) -> Column:
+    # lpad also cuts, so the width is never below the length at hand
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(KEY_WIDTH)), F.lit("0"))
+
+
 def _text_key(c: Column) -> Column:
     """Strip blanks, then double, then single quotes; pad plain numbers with zeros."""
     bare = F.btrim(F.btrim(F.btrim(c, F.lit(BLANKS)), F.lit('"')), F.lit("'"))
     whole = F.ltrim(F.split_part(bare, F.lit("."), F.lit(1)), F.lit("0"))
-    # lpad also cuts, so the width is never below the length at hand
-    padded = F.lpad(whole, F.greatest(F.length(whole), F.lit(KEY_WIDTH)), F.lit("0"))
-    return F.when(bare.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"), padded).otherwise(bare)
+    return F.when(bare.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"), _padded(whole)).otherwise(bare)
 
 
 def normalize_key(c: Column, dtype: T.DataType) -> Column:
@@ -25,7 +28,9 @@ def normalize_key(c: Column, dtype: T.DataType) -> Column:
         return _text_key(c)
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         c = F.when(~F.isnan(c), c)
-    return _text_key(c.try_cast("long").cast("string"))
+    whole = c.try_cast("long")
+    text = whole.cast("string")
+    return F.when(whole < 0, text).otherwise(_padded(text))
 
 
 def with_normalized_key(df: DataFrame, key: str) -> DataFrame:

@@ -234,14 +234,16 @@ def prediction_drift(
     sides = tagged_sides(baseline, current, ["v"], sides)
     base, cur = F.when(F.col("is_ref"), F.col("v")), F.when(~F.col("is_ref"), F.col("v"))
     moments = sides.agg(
-        F.count(base).alias("n_baseline"), F.count(cur).alias("n_current"),
+        F.count(F.lit(1)).alias("n_rows"), F.count(base).alias("n_baseline"), F.count(cur).alias("n_current"),
         F.avg(base).alias("baseline_mean"), F.stddev_pop(base).alias("baseline_std"),
         F.avg(cur).alias("current_mean"), F.stddev_pop(cur).alias("current_std"),
-    ).withColumn("feature", F.lit("v"))
-    profile = rank_profile(None, None, ["v"], (), True, rows_per_range, sides).select("feature", "ks_statistic")
+    )
+    seen = moments.first()  # one row, also tells the size of the second scan
+    profile = rank_profile(None, None, ["v"], (), True, rows_per_range, sides, seen["n_rows"]).select("feature", "ks_statistic")
+    known = sides.sparkSession.createDataFrame([seen], moments.schema).withColumn("feature", F.lit("v"))
     skipped = (F.col("n_baseline") < 2) | (F.col("n_current") < 2)
     value_columns = ("baseline_mean", "baseline_std", "current_mean", "current_std", "ks_statistic")
-    rows = moments.join(profile, "feature", "left").select(
+    rows = known.join(profile, "feature", "left").select(
         skipped.alias("skipped"),
         F.when(skipped, "insufficient_samples").alias("reason"),
         *(F.when(~skipped, F.col(c)).alias(c) for c in value_columns),

@@ -41,13 +41,12 @@ def tagged_sides(
 
 
 def range_cuts(
-    sides: DataFrame, columns: Sequence[str], rows_per_range: int = ROWS_PER_RANGE, seed: int = 7
+    sides: DataFrame, columns: Sequence[str], n: int, rows_per_range: int = ROWS_PER_RANGE, seed: int = 7
 ) -> dict[str, list[float]]:
-    """Inner cut points per column, collected: at most ``MAX_RANGES`` numbers each.
+    """Inner cut points per column of ``n`` rows, collected: at most ``MAX_RANGES`` numbers each.
 
     Small inputs need no cuts. The sample size depends on the number of ranges, not on the table.
     """
-    n = sides.count()
     ranges = min(MAX_RANGES, -(-n // rows_per_range))
     if ranges <= 1:
         return {c: [] for c in columns}
@@ -60,7 +59,8 @@ def range_cuts(
 
 
 def long_values(sides: DataFrame, columns: Sequence[str], cuts: Mapping[str, list[float]]) -> DataFrame:
-    """Rows ``(feature, is_ref, part, v)``, missing values left out; ``part`` numbers the value ranges."""
+    """Rows ``(f, is_ref, part, v)``, missing values left out; ``f`` is the column's position, ``part`` numbers the
+    value ranges."""
     inf = float("inf")
     cut = [c for c in columns if cuts.get(c)]
     if cut:
@@ -71,7 +71,8 @@ def long_values(sides: DataFrame, columns: Sequence[str], cuts: Mapping[str, lis
             handleInvalid="keep",
         ).transform(sides)
     cells = ", ".join(
-        f"struct({c!r} AS feature, {f'CAST(`{c}__part` AS INT)' if c in cut else '0'} AS part, `{c}` AS v)" for c in columns
+        f"struct({i} AS f, {f'CAST(`{c}__part` AS INT)' if c in cut else '0'} AS part, `{c}` AS v)"
+        for i, c in enumerate(columns)
     )
     return sides.select("is_ref", F.expr(f"inline(array({cells}))")).filter("v IS NOT NULL")
 
@@ -90,10 +91,10 @@ def _rank(p: float, size: str, end: str) -> str:
 
 def _range_table(long: DataFrame) -> DataFrame:
     """Counts per value range with the counts of all lower ranges; at most ranges × features rows."""
-    by_feature = Window.partitionBy("feature")
+    by_feature = Window.partitionBy("f")
     below = by_feature.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return long.groupBy("feature", "part").agg(*_counts()).select(
-        "feature", "part", "n_ref", "n_cur",
+    return long.groupBy("f", "part").agg(*_counts()).select(
+        "f", "part", "n_ref", "n_cur",
         F.coalesce(F.sum("n_ref").over(below), F.lit(0)).alias("below_ref"),
         F.coalesce(F.sum("n_cur").over(below), F.lit(0)).alias("below_cur"),
         F.sum("n_ref").over(by_feature).alias("size_ref"),
@@ -115,34 +116,43 @@ def _with_needed(ranges: DataFrame, probabilities: Sequence[float], ks: bool) ->
         ranges = ranges.withColumns({
             "up": F.expr("try_divide(n_ref, size_ref)"), "down": F.expr("try_divide(n_cur, size_cur)"),
         })
-        edge_distance = F.max(F.expr("abs(start + up - down)")).over(Window.partitionBy("feature"))
+        edge_distance = F.max(F.expr("abs(start + up - down)")).over(Window.partitionBy("f"))
         needed.append("greatest(abs(start + up), abs(start - down)) >= edge_distance - 1e-12")
     ranges = ranges.withColumn("edge_distance", edge_distance)
     return ranges.withColumn("needed", F.expr(f"coalesce({' OR '.join(needed) or 'false'}, false)"))
 
 
-def _summaries(probabilities: Sequence[float], ks: bool) -> list[Column]:
-    """Aggregates over running counts: the largest distance and the values at the asked-for ranks."""
+def _summarize(running: DataFrame, probabilities: Sequence[float], ks: bool, *extra: Column) -> DataFrame:
+    """Per column the largest distance and the rows holding an asked-for rank, from running counts.
+
+    A rank lies in exactly one row, so the list holds at most two rows per probability.
+    """
     distance = "max(abs(try_divide(upto_ref, size_ref) - try_divide(upto_cur, size_cur)))" if ks else "max(CAST(NULL AS DOUBLE))"
-    picks = [
-        f"max(CASE WHEN upto_ref - n_ref <= {rank} AND {rank} < upto_ref THEN v END) AS {end}{i}"
-        for i, p in enumerate(probabilities)
-        for end in ("floor", "ceil")
-        for rank in [_rank(p, "size_ref", end)]
-    ]
-    return [F.expr(f"{distance} AS inner_distance"), *(F.expr(p) for p in picks)]
+    found = [F.expr(f"{distance} AS inner_distance"), *extra]
+    if not probabilities:
+        return running.groupBy("f").agg(*found, F.lit(None).alias("holders"))
+    holds = " OR ".join(
+        f"(upto_ref - n_ref <= {_rank(p, 'size_ref', 'ceil')} AND {_rank(p, 'size_ref', 'floor')} < upto_ref)" for p in probabilities
+    )
+    row = "named_struct('first', upto_ref - n_ref, 'end', upto_ref, 'v', v)"
+    # used twice, the column stays a generated projection and is not evaluated inside collect_list
+    marked = running.withColumn("holder", F.expr(f"CASE WHEN n_ref > 0 AND ({holds}) THEN {row} END"))
+    return marked.groupBy("f").agg(*found, F.collect_list("holder").alias("holders"), F.count("holder").alias("n_holders"))
 
 
 def _quantiles(probabilities: Sequence[float]) -> Column:
     """Interpolated from whichever end is nearer, so that equal ends give that very value."""
-    built = []
-    for i, p in enumerate(probabilities):
-        weight = f"((n_reference - 1) * {float(p)!r}D - {_rank(p, 'n_reference', 'floor')})"
-        built.append(
-            f"CASE WHEN {weight} >= 0.5 THEN ceil{i} - (ceil{i} - floor{i}) * (1 - {weight}) "
-            f"ELSE floor{i} + (ceil{i} - floor{i}) * {weight} END"
-        )
-    return F.expr(f"CAST(array({', '.join(built)}) AS array<double>)")
+    if not probabilities:
+        return F.expr("CAST(array() AS array<double>)")
+    numbers = ", ".join(f"{float(p)!r}D" for p in probabilities)
+
+    def value(rank: str) -> str:
+        return f"get(filter(holders, r -> r.first <= {rank} AND {rank} < r.end), 0).v"
+
+    at = "(n_reference - 1) * p"
+    ends = f"transform(array({numbers}), p -> named_struct('w', {at} - floor({at}), 'lo', {value(f'floor({at})')}, 'hi', {value(f'ceil({at})')}))"
+    between = "CASE WHEN e.w >= 0.5 THEN e.hi - (e.hi - e.lo) * (1 - e.w) ELSE e.lo + (e.hi - e.lo) * e.w END"
+    return F.expr(f"CASE WHEN n_holders > 0 THEN transform({ends}, e -> {between}) END")
 
 
 def rank_profile(
@@ -153,6 +163,7 @@ def rank_profile(
     ks: bool = True,
     rows_per_range: int = ROWS_PER_RANGE,
     sides: DataFrame | None = None,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """One row per column with values: ``feature, n_reference, n_current, ks_statistic, quantiles``.
 
@@ -161,53 +172,60 @@ def rank_profile(
     the cuts and the counts per range are found first.
     """
     sides = tagged_sides(reference, current, columns, sides)
-    cuts = range_cuts(sides, columns, rows_per_range)
-    long = long_values(sides, columns, cuts)
+    n_rows = sides.count() if n_rows is None else n_rows
+    cuts = range_cuts(sides, columns, n_rows, rows_per_range)
     if any(cuts.values()):
-        return _profile_by_range(long, probabilities, ks)
-    by_feature = Window.partitionBy("feature")
+        return _profile_by_range(long_values(sides, columns, cuts), columns, probabilities, ks)
+    # a small table often is a single split: dealing out at most ``rows_per_range`` rows uses all cores
+    dealt = sides.repartition(sides.sparkSession.sparkContext.defaultParallelism, *columns)
+    long = long_values(dealt, columns, {})
+    by_feature = Window.partitionBy("f")
     upto = by_feature.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    running = long.groupBy("feature", "v").agg(*_counts()).select(
-        "feature", "v", "n_ref",
+    running = long.groupBy("f", "v").agg(*_counts()).select(
+        "f", "v", "n_ref",
         F.sum("n_ref").over(upto).alias("upto_ref"), F.sum("n_cur").over(upto).alias("upto_cur"),
         F.sum("n_ref").over(by_feature).alias("size_ref"), F.sum("n_cur").over(by_feature).alias("size_cur"),
     )
-    found = running.groupBy("feature").agg(
-        F.max("size_ref").alias("n_reference"), F.max("size_cur").alias("n_current"), *_summaries(probabilities, ks)
+    found = _summarize(
+        running, probabilities, ks, F.max("size_ref").alias("n_reference"), F.max("size_cur").alias("n_current")
     )
     return found.select(
-        "feature", "n_reference", "n_current", F.col("inner_distance").alias("ks_statistic"), _quantiles(probabilities).alias("quantiles")
+        _name(columns), "n_reference", "n_current", F.col("inner_distance").alias("ks_statistic"), _quantiles(probabilities).alias("quantiles")
     )
 
 
-def _profile_by_range(long: DataFrame, probabilities: Sequence[float], ks: bool) -> DataFrame:
+def _name(columns: Sequence[str]) -> Column:
+    return F.get(F.array(*(F.lit(c) for c in columns)), F.col("f")).alias("feature")
+
+
+def _profile_by_range(long: DataFrame, columns: Sequence[str], probabilities: Sequence[float], ks: bool) -> DataFrame:
     spark = long.sparkSession
     # written once: several joins below read it, and none may count the source again
     path = work_dir(spark, "ranges")
     _with_needed(_range_table(long), probabilities, ks).write.parquet(path)
     ranges = spark.read.parquet(path)
     # at most MAX_RANGES rows per feature: safe to broadcast
-    wanted = F.broadcast(ranges.filter("needed").select("feature", "part", "below_ref", "below_cur", "size_ref", "size_cur"))
+    wanted = F.broadcast(ranges.filter("needed").select("f", "part", "below_ref", "below_cur", "size_ref", "size_cur"))
     values = (
-        long.join(wanted.select("feature", "part"), ["feature", "part"], "left_semi")
-        .groupBy("feature", "part", "v")
+        long.join(wanted.select("f", "part"), ["f", "part"], "left_semi")
+        .groupBy("f", "part", "v")
         .agg(*_counts())
     )
-    upto = Window.partitionBy("feature", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("f", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     running = values.select(
-        "feature", "part", "v", "n_ref",
+        "f", "part", "v", "n_ref",
         F.sum("n_ref").over(upto).alias("run_ref"), F.sum("n_cur").over(upto).alias("run_cur"),
-    ).join(wanted, ["feature", "part"]).withColumns(
+    ).join(wanted, ["f", "part"]).withColumns(
         {"upto_ref": F.expr("below_ref + run_ref"), "upto_cur": F.expr("below_cur + run_cur")}
     )
-    detail = running.groupBy("feature").agg(*_summaries(probabilities, ks))
-    sizes = ranges.groupBy("feature").agg(
+    detail = _summarize(running, probabilities, ks)
+    sizes = ranges.groupBy("f").agg(
         F.max("size_ref").alias("n_reference"),
         F.max("size_cur").alias("n_current"),
         F.max("edge_distance").alias("edge_distance"),
     )
-    return sizes.join(detail, "feature", "left").select(
-        "feature", "n_reference", "n_current",
+    return sizes.join(detail, "f", "left").select(
+        _name(columns), "n_reference", "n_current",
         F.greatest("edge_distance", "inner_distance").alias("ks_statistic"),
         _quantiles(probabilities).alias("quantiles"),
     )

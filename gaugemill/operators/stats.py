@@ -125,8 +125,10 @@ def scaling_stats(df: DataFrame, columns: Sequence[str], rows_per_range: int = R
         *(F.struct(F.lit(c).alias("feature"), F.count(v).alias("n"), F.avg(v).alias("m"), F.var_pop(v).alias("s2")).alias(f"s{i}")
           for i, c in enumerate(columns) for v in [numeric_column(df, c)]),
     )
-    moments = wide.select("rows", F.inline(F.array(*(f"s{i}" for i in range(len(columns))))))
-    median = rank_profile(df, None, columns, [0.5], ks=False, rows_per_range=rows_per_range)
+    seen = wide.first()  # one row, also tells the size of the second scan
+    moments = df.sparkSession.createDataFrame([seen], wide.schema)
+    moments = moments.select("rows", F.inline(F.array(*(f"s{i}" for i in range(len(columns))))))
+    median = rank_profile(df, None, columns, [0.5], ks=False, rows_per_range=rows_per_range, n_rows=seen["rows"])
     rows = moments.join(median.select("feature", F.col("quantiles")[0].alias("median")), "feature", "left")
     med, rows_n = F.coalesce("median", F.lit(0.0)), F.col("rows")
     n, filled = F.col("n"), F.col("rows") - F.col("n")

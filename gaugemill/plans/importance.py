@@ -12,6 +12,7 @@ from gaugemill.operators.sampling import permuted_values
 from gaugemill.operators.selection import ablation_deltas
 from gaugemill.operators.stats import regression_metrics
 from gaugemill.plans.models import fit_model, fit_preprocessing
+from gaugemill.session import work_dir
 
 BASE_LABEL = "__unchanged"
 
@@ -24,9 +25,12 @@ def permutation_importance(
     mean and population deviation over the repeats.
 
     ``predict`` adds ``prediction`` in the units of ``target``. Each repeat deals all columns out with one join;
-    the variants of a row (one column exchanged each, and the unchanged row) are scored together.
+    the variants of a row (one column exchanged each, and the unchanged row) are scored together. The rows are
+    written to the shared work folder first, because every repeat reads them again.
     """
-    base = df.select(*dict.fromkeys([*keys, target, *features]))
+    path = work_dir(df.sparkSession, "importance")
+    df.select(*dict.fromkeys([*keys, target, *features])).write.parquet(path)
+    base = df.sparkSession.read.parquet(path)
     scored = None
     for repeat in range(repeats):
         dealt = permuted_values(base, keys, features, seed + 1 + repeat)
