@@ -34,11 +34,11 @@ from gaugemill.sources.writers import write_rows
 QUERIES, ORACLE = {}, {}
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, name: str | None = None):
     def add(fn):
-        QUERIES[fn.__name__] = fn
+        QUERIES[name or fn.__name__] = fn
         if sql is not None:
-            ORACLE[fn.__name__] = sql
+            ORACLE[name or fn.__name__] = sql
         return fn
 
     return add
@@ -66,7 +66,7 @@ SELECT o_orderkey, raw,
   CAST(CASE WHEN regexp_full_match(trim(replace(raw, '"', '')), '-?[0-9]+\\.?[0-9]*')
     THEN ((CAST(trunc(CAST(trim(replace(raw, '"', '')) AS DOUBLE)) AS BIGINT) % 1000) + 1000) % 1000 ELSE 0 END AS INTEGER) AS bucket,
   CASE WHEN regexp_full_match(trim(raw), '-?[0-9]+\\.?[0-9]*') THEN CAST(trim(raw) AS DOUBLE) END AS number
-FROM s""")
+FROM s""", "normalize_key")
 def normalize_key_text(spark, sf_dir):
     """Key texts in nine spellings."""
     raw = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(KEY_TEXT_SPARK).alias("raw"))
@@ -360,7 +360,7 @@ def row_constraints_rejected(spark, sf_dir):
 @query("""SELECT 'l_quantity' AS "column", 0 AS seq, count(l_quantity) FILTER (WHERE l_shipdate < TIMESTAMP '2000-01-01') AS n_reference,
   count(l_quantity) FILTER (WHERE l_shipdate >= TIMESTAMP '2000-01-01') AS n_current FROM lineitem
 UNION ALL SELECT 'l_discount', 1, count(l_discount) FILTER (WHERE l_shipdate < TIMESTAMP '2000-01-01'),
-  count(l_discount) FILTER (WHERE l_shipdate >= TIMESTAMP '2000-01-01') FROM lineitem""")
+  count(l_discount) FILTER (WHERE l_shipdate >= TIMESTAMP '2000-01-01') FROM lineitem""", "common_numeric_columns")
 def common_numeric_values(spark, sf_dir):
     """P5: shared numeric columns of two frames, excluding metadata, with the values each frame has."""
     lines = table(spark, sf_dir, "lineitem")

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from gaugemill.session import work_dir
 
-MAX_PIVOTS = 256
+MAX_PIVOTS = 2_048
 CHUNK_ROWS = 20_000
 STEP_CELLS = 2_000_000
 SLACK = 1e-9
@@ -84,7 +84,7 @@ def build_index(
     n = rows.count()
     if n < k:
         raise ValueError(f"{n} training rows are fewer than k = {k} neighbours")
-    wanted = min(MAX_PIVOTS, max(1, n // 200)) if pivots is None else pivots
+    wanted = min(MAX_PIVOTS, math.isqrt(n)) if pivots is None else pivots
     chosen = rows.orderBy(F.xxhash64("t_id"), "t_id").limit(wanted).select("t_vec").collect()
     points = np.unique(np.array([r["t_vec"] for r in chosen], dtype=np.float64), axis=0)
 
