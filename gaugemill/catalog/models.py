@@ -72,8 +72,8 @@ def _knn(spark, sf_dir):
 
 
 def _unlabeled(spark, sf_dir):
-    """The validation customers, as rows to be scored."""
-    return split_by_hash(_facts(spark, sf_dir), ["c_custkey"])[1].drop("balance")
+    """All customers, as rows to be scored."""
+    return _facts(spark, sf_dir).drop("balance")
 
 
 # --- SQL of the neighbour regressor: all pairs, which is what the Spark form avoids ------------------------------
@@ -111,9 +111,9 @@ train AS (SELECT * FROM features WHERE NOT {in_share_sql('c_custkey', 0.2, 42)})
 test_rows AS (SELECT * FROM features WHERE {in_share_sql('c_custkey', 0.2, 42)})"""
 
 
-@query(f"{FACTS_SQL}, {_knn_sql()} SELECT c_custkey, nation, round(predicted_price, 4) AS predicted_price FROM predicted JOIN test_rows USING (c_custkey)")
+@query(f"{FACTS_SQL}, {_knn_sql('features')} SELECT c_custkey, nation, round(predicted_price, 4) AS predicted_price FROM predicted JOIN features USING (c_custkey)")
 def batch_score(spark, sf_dir):
-    """Validation customers checked, enriched, scored and written by the neighbour model."""
+    """Customers enriched, scored and written by the neighbour model."""
     model = _knn(spark, sf_dir)
     rows = _unlabeled(spark, sf_dir)
     # the id rides along outside the contract, so the checks see the contract's columns only
@@ -122,8 +122,8 @@ def batch_score(spark, sf_dir):
     return read_table(spark, path).withColumn("predicted_price", F.round("predicted_price", 4))
 
 
-@query(f"""{FACTS_SQL}, {_knn_sql()} SELECT nation, count(*) AS n_rows, round(sum(predicted_price), 2) AS predicted_sum
-FROM predicted JOIN test_rows USING (c_custkey) GROUP BY nation""")
+@query(f"""{FACTS_SQL}, {_knn_sql('features')} SELECT nation, count(*) AS n_rows, round(sum(predicted_price), 2) AS predicted_sum
+FROM predicted JOIN features USING (c_custkey) GROUP BY nation""")
 def batch_score_job(spark, sf_dir):
     """W4 with its gates, from unlabeled rows without any id to a CSV file of key and prediction."""
     rows = _unlabeled(spark, sf_dir).drop("c_custkey")
@@ -150,7 +150,7 @@ RULES_SQL = "coalesce(avg_price > 50000 AND max_price > 0 AND max_price <= 49500
 INFO = {"model_name": "balance", "model_version": "1", "model_source": "registry"}
 
 
-@query(f"""{FACTS_SQL}, valid AS (SELECT * FROM test_rows WHERE {RULES_SQL}), {_knn_sql('valid')}
+@query(f"""{FACTS_SQL}, valid AS (SELECT * FROM features WHERE {RULES_SQL}), {_knn_sql('valid')}
 SELECT c_custkey, nation, round(predicted_price, 4) AS predicted_price, 'balance' AS model_name, '1' AS model_version, {len(ACCOUNTS.final)} AS n_features, '' AS broken
 FROM predicted JOIN valid USING (c_custkey)
 UNION ALL SELECT c_custkey, nation, -1, 'balance', '1', {len(ACCOUNTS.final)},
@@ -159,7 +159,7 @@ UNION ALL SELECT c_custkey, nation, -1, 'balance', '1', {len(ACCOUNTS.final)},
     CASE WHEN open_price IS NULL THEN 'open_price' END, CASE WHEN done_price IS NULL THEN 'done_price' END,
     CASE WHEN first_year IS NULL THEN 'first_year' END, CASE WHEN last_year IS NULL THEN 'last_year' END,
     CASE WHEN urgent_orders IS NULL THEN 'urgent_orders' END], lambda x: x IS NOT NULL), ',')
-FROM test_rows WHERE NOT {RULES_SQL}""")
+FROM features WHERE NOT {RULES_SQL}""")
 def predict_full(spark, sf_dir):
     """Checked rows predicted, refused rows with their reasons."""
     model = _knn(spark, sf_dir)
@@ -194,7 +194,6 @@ def stream_predict(spark, sf_dir):
     rows = arriving.join(figures, "c_custkey").select(
         "c_custkey", *ACCOUNTS.numeric, "c_mktsegment", F.col("c_nationkey").alias("nation")
     )
-    rows = split_by_hash(rows, ["c_custkey"])[1]
     out = work_dir(spark, "stream")
     for running in predict_stream(
         rows, nations(spark, sf_dir), model, ACCOUNTS, INFO, out, f"{out}/checkpoint", keep=["c_custkey"], rules=ACCOUNT_RULES
@@ -212,7 +211,7 @@ facts AS (SELECT * REPLACE (coalesce(n_orders, 0) AS n_orders, coalesce(total_pr
 features AS (SELECT c_custkey, balance, {features_sql(ACCOUNTS)} FROM facts LEFT JOIN nations USING (nation)),
 train AS (SELECT * FROM features WHERE NOT {in_share_sql('c_custkey', 0.2, 42)}),
 minimal AS (SELECT * REPLACE (max_price AS avg_price, total_price AS open_price, 0e0 AS done_price, first_year AS last_year, 0e0 AS urgent_orders)
-  FROM facts WHERE {in_share_sql('c_custkey', 0.2, 42)} AND coalesce(max_price > 0 AND max_price <= 495000 AND first_year >= 1990, false)),
+  FROM facts WHERE coalesce(max_price > 0 AND max_price <= 495000 AND first_year >= 1990, false)),
 filled AS (SELECT c_custkey, balance, {features_sql(ACCOUNTS)} FROM minimal LEFT JOIN nations USING (nation)), {_knn_sql('filled')}
 SELECT c_custkey, round(predicted_price, 4) AS predicted_price FROM predicted""")
 def predict_minimal(spark, sf_dir):
@@ -225,18 +224,18 @@ def predict_minimal(spark, sf_dir):
 
 
 @query(f"""WITH e AS (SELECT vec_id, CAST(label AS DOUBLE) AS y, embedding AS v FROM embeddings),
-train AS (SELECT * FROM e WHERE NOT {in_share_sql('vec_id', 0.2, 42)}), test_rows AS (SELECT * FROM e WHERE {in_share_sql('vec_id', 0.2, 42)}),
-pairs AS (SELECT q.vec_id AS q_id, t.vec_id AS t_id, t.y, list_distance(CAST(q.v AS DOUBLE[]), CAST(t.v AS DOUBLE[])) AS d FROM test_rows q, train t),
+train AS (SELECT * FROM e WHERE NOT {in_share_sql('vec_id', 0.2, 42)}), 
+pairs AS (SELECT q.vec_id AS q_id, t.vec_id AS t_id, t.y, list_distance(CAST(q.v AS DOUBLE[]), CAST(t.v AS DOUBLE[])) AS d FROM e q, train t),
 nearest AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY d, t_id) AS r FROM pairs QUALIFY r <= 5)
 SELECT q_id AS vec_id, count(*) AS neighbours, CAST(sum(t_id) AS BIGINT) AS neighbour_sum,
   round(CASE WHEN min(d) = 0 THEN avg(y) FILTER (WHERE d = 0) ELSE sum(y / d) FILTER (WHERE d > 0) / sum(1 / d) FILTER (WHERE d > 0) END, 6) AS prediction
 FROM nearest GROUP BY q_id""")
 def knn_regression(spark, sf_dir):
-    """Five nearest vectors and their label mean weighted by 1 / distance."""
+    """For every vector the five nearest of the training vectors and their label mean weighted by 1 / distance."""
     vectors = table(spark, sf_dir, "embeddings")
-    fit_rows, queries = split_by_hash(vectors, ["vec_id"])
+    fit_rows, _ = split_by_hash(vectors, ["vec_id"])
     vector = F.col("embedding").cast("array<double>")
-    found = nearest_neighbours(build_index(fit_rows, "vec_id", "label", vector), queries, "vec_id", vector)
+    found = nearest_neighbours(build_index(fit_rows, "vec_id", "label", vector), vectors, "vec_id", vector)
     facts = found.groupBy("q_id").agg(F.count(F.lit(1)).alias("neighbours"), F.sum("t_id").alias("neighbour_sum"))
     return facts.join(weighted_mean(found), "q_id").select(
         F.col("q_id").alias("vec_id"), "neighbours", "neighbour_sum", F.round("prediction", 6).alias("prediction")

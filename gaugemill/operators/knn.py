@@ -51,7 +51,7 @@ def _matrix(values: pd.Series) -> np.ndarray:
 
 @dataclass
 class NeighbourIndex:
-    """Training rows ``(t_id, t_y, t_vec, cell)`` with their pivots and a summary per cell."""
+    """Training rows ``(t_id, t_y, t_vec, cell, away, spread)`` with their pivots and a summary per cell."""
 
     rows: DataFrame
     k: int
@@ -100,7 +100,10 @@ def build_index(
             away.append(np.sqrt(d[np.arange(len(d)), best]))
         return pd.DataFrame({"cell": np.concatenate(cells).astype("int32"), "away": np.concatenate(away)})
 
-    placed = rows.withColumn("placed", place("t_vec")).select("t_id", "t_y", "t_vec", "placed.cell", "placed.away")
+    # ``spread`` deals the rows of a cell into chunks, whatever their ids; it is fixed once written
+    placed = rows.withColumn("placed", place("t_vec")).select(
+        "t_id", "t_y", "t_vec", "placed.cell", "placed.away", F.xxhash64(F.monotonically_increasing_id()).alias("spread")
+    )
     placed.write.parquet(path)
     return load_index(train.sparkSession, path, points, k, n_codes, chunk_rows)
 
@@ -164,7 +167,7 @@ def nearest_neighbours(index: NeighbourIndex, queries: DataFrame, row_id: str, v
     parts = F.broadcast(parts)  # one row per pivot
     t = index.rows.join(parts, "cell").select(
         "cell", "t_id", "t_y", "t_vec",
-        F.pmod(F.xxhash64("t_id"), F.col("t_parts")).cast("int").alias("t_part"),
+        F.pmod("spread", "t_parts").cast("int").alias("t_part"),
         F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q_part"),
     )
     q = visits.join(parts, "cell").select(
