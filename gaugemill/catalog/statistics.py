@@ -108,7 +108,7 @@ histogram AS (SELECT feature, grid.bin, e[grid.bin + 1] AS lower, e[grid.bin + 2
 PSI_SQL = """
 shares AS (SELECT feature, n_ref / greatest(sum(n_ref) OVER w, 1) AS x, n_cur / greatest(sum(n_cur) OVER w, 1) AS y
   FROM histogram WINDOW w AS (PARTITION BY feature)),
-psi AS (SELECT feature, sum((y - x) * ln((y + 1e-6) / (x + 1e-6))) AS psi FROM shares GROUP BY feature)"""
+psi AS (SELECT feature, coalesce(sum((y - x) * ln((y + 1e-6) / (x + 1e-6))), 0) AS psi FROM edges LEFT JOIN shares USING (feature) GROUP BY feature)"""
 
 DRIFT_SQL = f"""WITH {SIDES_SQL}, {SIZES_SQL}, {KS_SQL}, {PVALUE_SQL}, {EDGES_SQL}, {HISTOGRAM_SQL}, {PSI_SQL},
 report AS (SELECT feature, d, p, psi, p < 0.01 OR psi > 0.25 AS drift,

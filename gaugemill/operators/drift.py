@@ -146,11 +146,13 @@ def data_drift(
     include_psi: bool = True,
     rows_per_range: int = ROWS_PER_RANGE,
     sides: DataFrame | None = None,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Drift per feature, in the order given; all features are handled together.
 
     Pass ``sides`` (values with a boolean ``is_ref``) instead of two frames when both sides come out of one
-    scan.
+    scan. ``n_rows`` tells the rows of both sides where they are known; it only saves the count that decides into
+    how many ranges the values are cut.
     """
     if columns is None:
         columns = common_numeric_columns(reference, current)
@@ -166,7 +168,7 @@ def data_drift(
     )
     if usable:
         probabilities = bin_probabilities() if include_psi else ()
-        found = rank_profile(None, None, usable, probabilities, True, rows_per_range, sides)
+        found = rank_profile(None, None, usable, probabilities, True, rows_per_range, sides, n_rows)
         if include_psi:
             found = _with_psi(found, sides)
         else:

@@ -97,10 +97,10 @@ def fit_preprocessing(
     fill_categories: bool = False, rows_per_range: int = ROWS_PER_RANGE,
 ) -> Preprocessing:
     """Fit on training rows only. One row per column and at most ``MAX_CATEGORIES`` values reach the driver."""
-    stats = {
-        r["feature"]: (r["median"], r["mean"], r["std"])
-        for r in scaling_stats(train, list(numeric), rows_per_range).collect()
-    } if numeric else {}
+    stats = {}
+    if numeric:
+        fitted = scaling_stats(train, list(numeric), rows_per_range).collect()
+        stats = {r["feature"]: (r["median"], r["mean"], r["std"]) for r in fitted}
     hashed: tuple[str, ...] = ()
     categories: dict[str, tuple[str, ...]] = {}
     if categorical:

@@ -28,10 +28,13 @@ def quality_section(sales: DataFrame, dim: DataFrame, contract: FeatureContract)
     return summarize(check_training(sales, dim, contract), sales, dim)
 
 
-def data_drift_section(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, exclude: Sequence[str] = ("id", "date", "price")) -> DataFrame:
+def data_drift_section(
+    reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None,
+    exclude: Sequence[str] = ("id", "date", "price"), n_rows: int | None = None,
+) -> DataFrame:
     """One struct ``data_drift``: the feature rows in order and their summary."""
     columns = common_numeric_columns(reference, current, exclude) if columns is None else columns
-    report = data_drift(reference, current, columns)
+    report = data_drift(reference, current, columns, n_rows=n_rows)
     fields = [c for c in report.columns if c != "seq"]
     ordered = F.transform(
         F.array_sort(F.collect_list(F.struct(*report.columns))),
@@ -93,8 +96,10 @@ def monitor(
     quality = sales.sparkSession.createDataFrame([found], quality.schema)
     quality = quality.select(F.struct(*quality.columns).alias("quality"))
     if found["ok"]:
+        # the joins add no rows, so they need not run for the count
+        n_rows = found["n_fact_rows"] + unseen.count()
         drift = data_drift_section(
-            enrich(sales, dim, contract.key), enrich(unseen, dim, contract.key), drift_columns, contract.metadata
+            enrich(sales, dim, contract.key), enrich(unseen, dim, contract.key), drift_columns, contract.metadata, n_rows
         )
     else:
         drift = _skipped(sales, "data_drift", "upstream_quality_failed")

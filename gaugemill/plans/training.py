@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gaugemill.contracts import FeatureContract, TrainingParams
 from gaugemill.operators.enrich import enrich
 from gaugemill.operators.quality import check_inference, check_training, gate
-from gaugemill.operators.sampling import first_rows, split_by_hash
+from gaugemill.operators.sampling import first_rows, in_share
 from gaugemill.operators.selection import best_candidate
 from gaugemill.operators.stats import regression_metrics
 from gaugemill.plans import registry
@@ -91,9 +91,12 @@ def train(
     if validate:
         require_columns(merged, contract.merged_columns, "merged training")
     path = work_dir(spark, "features")
-    build_features(merged, contract, keep=[contract.row_id, contract.target], reference_year=params.reference_year).write.parquet(path)
+    features = build_features(merged, contract, keep=[contract.row_id, contract.target], reference_year=params.reference_year)
+    # one folder per side: the jobs that fit never open the validation files
+    held_out = in_share([contract.row_id], params.test_size, params.random_state)
+    features.withColumn("__held_out", held_out.cast("int")).write.partitionBy("__held_out").parquet(path)
     features = spark.read.parquet(path)
-    fit_rows, test_rows = split_by_hash(features, [contract.row_id], params.test_size, params.random_state)
+    fit_rows, test_rows = (features.filter(F.col("__held_out") == side).drop("__held_out") for side in (0, 1))
     prep = fit_preprocessing(fit_rows, contract.model_numeric, contract.categorical)
 
     parent = registry.new_run_id()
