@@ -2,9 +2,10 @@
 
 Training rows are put into the cell of their nearest pivot. For a query row the distances to the pivots bound
 the distance of its k-th neighbour from above and the distance to every cell from below, so it only visits
-cells that can hold a neighbour (triangle inequality; the result is exact). Rows of a cell are dealt into
-chunks of bounded size, so a cell with a third of all rows becomes many small blocks. A block compares its
-query and training chunk in NumPy and hands on ``k`` rows per query row, never the pairs.
+cells that can hold a neighbour (triangle inequality; the result is exact). Small cells that lie side by side are
+packed into one group, so that a query row is not sent out once per cell; rows of a group are dealt into chunks of
+bounded size, so a cell with a third of all rows becomes many small blocks. A block compares its query and training
+chunk in NumPy and hands on ``k`` rows per query row, never the pairs.
 
 Distance is Euclidean over numeric columns and one-hot coded categories. The one-hot vectors are not built: two
 different known categories are sqrt(2) apart, a known and an unknown one 1.
@@ -26,6 +27,7 @@ from gaugemill.session import work_dir
 
 MAX_PIVOTS = 2_048
 CHUNK_ROWS = 20_000
+SMALL_QUERY_CHUNK = 2_000
 STEP_CELLS = 2_000_000
 SLACK = 1e-9
 
@@ -62,6 +64,18 @@ class NeighbourIndex:
     nearest: np.ndarray  # the k smallest distances to the pivot, infinite where a cell has fewer rows
     chunk_rows: int = CHUNK_ROWS
 
+    def groups(self) -> np.ndarray:
+        """Group number per cell: cells in the order of the pivots along their widest column, packed until a
+        group holds ``chunk_rows`` rows."""
+        order = np.argsort(self.pivots[:, self.pivots.var(axis=0).argmax()], kind="stable")
+        group, current, load = np.zeros(len(order), dtype=np.int64), 0, 0
+        for cell in order:
+            if load and load + self.size[cell] > self.chunk_rows:
+                current, load = current + 1, 0
+            group[cell] = current
+            load += self.size[cell]
+        return group
+
 
 def build_index(
     train: DataFrame,
@@ -129,9 +143,11 @@ def load_index(
     )
 
 
-def _cells_to_visit(index: NeighbourIndex):
+def _groups_to_visit(index: NeighbourIndex, group: np.ndarray):
     points, radius, nearest, k, n_codes = index.pivots, index.radius, index.nearest, index.k, index.n_codes
     filled = index.size > 0
+    by_group = np.argsort(group, kind="stable")
+    starts = np.searchsorted(group[by_group], np.arange(group.max() + 1))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def visit(vec: pd.Series) -> pd.Series:
@@ -143,6 +159,7 @@ def _cells_to_visit(index: NeighbourIndex):
             reach = (d[:, :, None] + nearest[None, :, :]).reshape(len(d), -1)
             bound = np.partition(reach, k - 1, axis=1)[:, k - 1]
             near = (d - radius[None, :] <= bound[:, None] * (1 + SLACK) + SLACK) & filled[None, :]
+            near = np.logical_or.reduceat(near[:, by_group], starts, axis=1)
             out.extend(np.flatnonzero(row).tolist() for row in near)
         return pd.Series(out)
 
@@ -154,24 +171,29 @@ def nearest_neighbours(index: NeighbourIndex, queries: DataFrame, row_id: str, v
 
     ``row_id`` must identify a query row.
     """
-    k, n_codes, chunk = index.k, index.n_codes, index.chunk_rows
+    k, n_codes, chunk, group = index.k, index.n_codes, index.chunk_rows, index.groups()
+    spark = queries.sparkSession
     visits = queries.select(F.col(row_id).alias("q_id"), vector.alias("q_vec")).withColumn(
-        "cell", F.explode(_cells_to_visit(index)("q_vec"))
+        "group", F.explode(_groups_to_visit(index, group)("q_vec"))
     )
-    asked = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
-    # chunks per cell on either side; every pair of chunks is one block
-    parts = queries.sparkSession.createDataFrame(
-        [(c, math.ceil(int(index.size[c]) / chunk), math.ceil(n / chunk)) for c, n in asked.items()],
-        "cell int, t_parts int, q_parts int",
+    asked = {r["group"]: r["count"] for r in visits.groupBy("group").count().collect()}
+    # query chunks are full where that leaves enough blocks for all cores, and smaller otherwise
+    spread = sum(asked.values()) // (4 * spark.sparkContext.defaultParallelism)
+    query_chunk = min(chunk, max(SMALL_QUERY_CHUNK, spread))
+    rows_of = np.bincount(group, weights=index.size)
+    parts = {g: (math.ceil(int(rows_of[g]) / chunk), math.ceil(n / query_chunk)) for g, n in asked.items()}
+    # one row per group and one per cell; every pair of chunks of a group is one block
+    of_group = F.broadcast(spark.createDataFrame([(g, *p) for g, p in parts.items()], "group int, t_parts int, q_parts int"))
+    of_cell = F.broadcast(
+        spark.createDataFrame([(c, int(g), *parts[g]) for c, g in enumerate(group) if g in parts], "cell int, group int, t_parts int, q_parts int")
     )
-    parts = F.broadcast(parts)  # one row per pivot
-    t = index.rows.join(parts, "cell").select(
-        "cell", "t_id", "t_y", "t_vec",
+    t = index.rows.join(of_cell, "cell").select(
+        "group", "t_id", "t_y", "t_vec",
         F.pmod("spread", "t_parts").cast("int").alias("t_part"),
         F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q_part"),
     )
-    q = visits.join(parts, "cell").select(
-        "cell", "q_id", "q_vec",
+    q = visits.join(of_group, "group").select(
+        "group", "q_id", "q_vec",
         F.explode(F.sequence(F.lit(0), F.col("t_parts") - 1)).alias("t_part"),
         F.pmod(F.xxhash64("q_id"), F.col("q_parts")).cast("int").alias("q_part"),
     )
@@ -210,7 +232,7 @@ def nearest_neighbours(index: NeighbourIndex, queries: DataFrame, row_id: str, v
         T.StructField("t_y", T.DoubleType()),
         T.StructField("distance", T.DoubleType()),
     ])
-    block = ["cell", "t_part", "q_part"]
+    block = ["group", "t_part", "q_part"]
     found = t.groupBy(*block).cogroup(q.groupBy(*block)).applyInPandas(compare, schema)
     order = Window.partitionBy("q_id").orderBy("distance", "t_id", "t_y")
     return found.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k).drop("r")

@@ -29,7 +29,7 @@ def brute_neighbours(train_v, queries, codes, k):
     return [sorted(range(len(train_v)), key=lambda t: (round(row[t], 9), t))[:k] for row in d], d
 
 
-@pytest.mark.parametrize(("pivots", "chunk"), [(1, 10_000), (12, 10_000), (12, 40)])
+@pytest.mark.parametrize(("pivots", "chunk"), [(1, 10_000), (12, 10_000), (40, 40), (12, 150)])
 def test_neighbour_join_is_exact(spark, pivots, chunk):
     rng = np.random.default_rng(3)
     train_v = np.round(np.column_stack([rng.normal(size=(600, 3)), rng.integers(0, 4, 600)]), 2)
