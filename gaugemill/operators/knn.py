@@ -28,7 +28,7 @@ from gaugemill.session import work_dir
 MAX_PIVOTS = 2_048
 CHUNK_ROWS = 20_000
 SMALL_QUERY_CHUNK = 2_000
-STEP_CELLS = 2_000_000
+STEP_CELLS = 100_000  # distances worked on at a time: their arrays stay in a core's cache
 SLACK = 1e-9
 
 
@@ -36,10 +36,11 @@ def _square_distances(a: np.ndarray, b: np.ndarray, n_codes: int) -> np.ndarray:
     """Squared distances of all rows of ``a`` to all rows of ``b``; the last ``n_codes`` columns are category
     codes, negative for unknown. Columns are added one after the other, so sums do not depend on the layout."""
     n = a.shape[1] - n_codes
-    out = np.zeros((len(a), len(b)))
+    out, gap = np.zeros((len(a), len(b))), np.empty((len(a), len(b)))
     for i in range(n):
-        gap = a[:, i, None] - b[None, :, i]
-        out += gap * gap
+        np.subtract(a[:, i, None], b[None, :, i], out=gap)
+        np.multiply(gap, gap, out=gap)
+        out += gap
     for i in range(n, n + n_codes):
         x, y = a[:, i, None], b[None, :, i]
         known = (x >= 0).astype(np.float64) + (y >= 0)
@@ -47,6 +48,43 @@ def _square_distances(a: np.ndarray, b: np.ndarray, n_codes: int) -> np.ndarray:
     return out
 
 
+def _pair_distances(a: np.ndarray, b: np.ndarray, n_codes: int) -> np.ndarray:
+    """Squared distance of each row of ``a`` to the row of ``b`` beside it, in the order of :func:`_square_distances`."""
+    n = a.shape[1] - n_codes
+    out = np.zeros(len(a))
+    for i in range(n):
+        gap = a[:, i] - b[:, i]
+        out += gap * gap
+    for i in range(n, n + n_codes):
+        known = (a[:, i] >= 0).astype(np.float64) + (b[:, i] >= 0)
+        out += np.where((a[:, i] == b[:, i]) & (a[:, i] >= 0), 0.0, known)
+    return out
+
+
+def _closest(a: np.ndarray, b: np.ndarray, n_codes: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row of a, row of b, squared distance)`` of the k nearest rows of ``b`` per row of ``a``, ties by position.
+
+    A matrix product finds who can be among them, with room for its rounding; only those pairs are measured.
+    """
+    n = a.shape[1] - n_codes
+    x, y = a[:, :n], b[:, :n]
+    xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    rough = xx[:, None] + yy[None, :] - 2 * (x @ y.T)
+    if n_codes:
+        rough += _square_distances(a[:, n:], b[:, n:], n_codes)
+    if len(b) > k:
+        room = 1e-10 * (1 + xx + yy.max())
+        limit = np.partition(rough, k - 1, axis=1)[:, k - 1] + 2 * room
+        who, which = np.nonzero(rough <= limit[:, None])
+    else:
+        who, which = (i.ravel() for i in np.indices(rough.shape))
+    away = _pair_distances(a[who], b[which], n_codes)
+    order = np.lexsort((which, away, who))
+    who, which, away = who[order], which[order], away[order]
+    top = np.arange(len(who)) - np.searchsorted(who, who) < k
+    return who[top], which[top], away[top]
+
+
 def _matrix(values: pd.Series) -> np.ndarray:
     return np.array(values.tolist(), dtype=np.float64)
 
@@ -206,23 +244,9 @@ def nearest_neighbours(index: NeighbourIndex, queries: DataFrame, row_id: str, v
             asked_ids, vectors = right["q_id"].to_numpy(), _matrix(right["q_vec"])
             step = max(1, STEP_CELLS // len(points))
             for start in range(0, len(vectors), step):
-                d = _square_distances(vectors[start : start + step], points, n_codes)
-                kth = np.partition(d, k - 1, axis=1)[:, k - 1 : k] if len(points) > k else np.full((len(d), 1), np.inf)
-                who, which = np.nonzero(d <= kth)
-                away = d[who, which]
-                order = np.lexsort((which, away, who))
-                who, which, away = who[order], which[order], away[order]
-                place = np.arange(len(who)) - np.searchsorted(who, who)
-                top = place < k
+                who, which, away = _closest(vectors[start : start + step], points, n_codes, k)
                 found.append(
-                    pd.DataFrame(
-                        {
-                            "q_id": asked_ids[start + who[top]],
-                            "t_id": ids[which[top]],
-                            "t_y": ys[which[top]],
-                            "distance": np.sqrt(away[top]),
-                        }
-                    )
+                    pd.DataFrame({"q_id": asked_ids[start + who], "t_id": ids[which], "t_y": ys[which], "distance": np.sqrt(away)})
                 )
         return pd.concat(found) if found else pd.DataFrame({c: [] for c in ("q_id", "t_id", "t_y", "distance")})
 
@@ -233,6 +257,10 @@ def nearest_neighbours(index: NeighbourIndex, queries: DataFrame, row_id: str, v
         T.StructField("distance", T.DoubleType()),
     ])
     block = ["group", "t_part", "q_part"]
+    # blocks are small in bytes and long in work: an explicit number of tasks keeps them from being merged
+    blocks = sum(t_parts * q_parts for t_parts, q_parts in parts.values())
+    tasks = min(2 * blocks, max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    t, q = (side.repartition(max(1, tasks), *block) for side in (t, q))
     found = t.groupBy(*block).cogroup(q.groupBy(*block)).applyInPandas(compare, schema)
     order = Window.partitionBy("q_id").orderBy("distance", "t_id", "t_y")
     return found.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k).drop("r")
