@@ -14,7 +14,6 @@ from gaugemill.operators.drift import (
     PSI_THRESHOLD,
     common_numeric_columns,
     data_drift,
-    drift_summary,
     prediction_drift,
 )
 from gaugemill.operators.enrich import enrich
@@ -112,8 +111,3 @@ def monitor(
     keyed = [s.withColumn("__one", F.lit(1)) for s in sections]
     joined = reduce(lambda a, b: a.join(b, "__one"), keyed).drop("__one")
     return joined.select(F.lit(REPORT_VERSION).alias("report_version"), F.current_timestamp().alias("timestamp_utc"), "*")
-
-
-__all__ = [
-    "data_drift_section", "drift_summary", "monitor", "performance_section", "prediction_drift_section", "quality_section",
-]
