@@ -281,10 +281,13 @@ def knn_predict(index: NeighbourIndex, queries: DataFrame, vector: Column) -> Da
     """``queries`` with a column ``prediction``.
 
     A prediction depends on the vector alone, so equal vectors are looked up once under a digest of their
-    numbers; rows need no id.
+    numbers; rows need no id. The rows are written to the shared work folder first: they are read three times, and
+    an input that picks its rows anew on every run (a limit without an order) must not lose predictions by it.
     """
     digest = F.md5(F.concat_ws(",", F.transform(vector, lambda x: (x + F.lit(0.0)).cast("string"))))
-    keyed = queries.withColumn("__digest", digest)
+    path = work_dir(queries.sparkSession, "queries")
+    queries.withColumn("__digest", digest).write.parquet(path)
+    keyed = queries.sparkSession.read.parquet(path)
     distinct = keyed.select("__digest", vector.alias("__vector")).groupBy("__digest").agg(F.any_value("__vector").alias("__vector"))
     found = weighted_mean(nearest_neighbours(index, distinct, "__digest", F.col("__vector")))
     return keyed.join(found.withColumnRenamed("q_id", "__digest"), "__digest", "left").drop("__digest")

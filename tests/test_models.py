@@ -117,7 +117,7 @@ def test_training_compares_and_saves(spark, trained, sold):
 
 def test_saved_models_predict_the_same(spark, trained, sold, places):
     base, found = trained
-    features = build_features(enrich(sold, places, "zipcode"), HOUSE, ["id", "price"]).limit(30)
+    features = build_features(enrich(sold, places, "zipcode"), HOUSE, ["id", "price"]).orderBy("id").limit(30)
     for key in ("baseline_knn_plain", "random_forest_log1p"):
         first, second = (load_model(spark, f"{base}/out/candidates/{key}").transform(features) for _ in range(2))
         a, b = (d.orderBy("id").toPandas().prediction for d in (first, second))
