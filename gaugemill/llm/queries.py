@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugemill.llm import decontaminate, pii, quality_rules
+from gaugemill.llm import decontaminate, pii, quality_rules, secret_scan, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,13 +26,31 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_file_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_counts(_table(spark, sf_dir, "documents"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_spans(_table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    kind = dict(pages.dtypes)["page_id"]
+    back = warc.archive_round_trip(pages)
+    return back.select(F.col("page_id").try_cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+
+
 QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_quality_rules": op4_quality_rules,
+    "op5_token_files": op5_token_files,
     "op8_pii": op8_pii,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_warc": op10_warc,
 }
 ORACLE: dict[str, str] = {}
