@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugemill.llm import decontaminate, pii, quality_rules, secret_scan, token_files, warc
+from gaugemill.llm import bpe_reuse, decontaminate, near_dup, pii, quality_rules, secret_scan, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,14 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), width=4)
+
+
+def op7_bpe_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_reuse.encoding_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_counts(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +57,8 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_files": op5_token_files,
+    "op6_near_duplicates": op6_near_duplicates,
+    "op7_bpe_reuse": op7_bpe_reuse,
     "op8_pii": op8_pii,
     "op9_secret_scan": op9_secret_scan,
     "op10_warc": op10_warc,
