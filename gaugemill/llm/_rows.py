@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugemill.session import work_dir
 
@@ -54,3 +58,25 @@ def pairwise(first: str, second: str, by: int, fn) -> Column:
     """``fn`` of each element of ``first`` and the element of ``second`` that is ``by`` places further on."""
     n = F.greatest(F.size(second) - by, F.lit(0))
     return F.zip_with(F.slice(first, F.lit(1), n), F.slice(second, F.lit(by + 1), n), fn)
+
+
+def map_texts(docs: DataFrame, keep: Iterable[str], text: str, start: Callable[[], Callable[[list], list]], added: str) -> DataFrame:
+    """Columns computed from whole texts, beside the columns in ``keep``, which pass through unread.
+
+    ``start()`` is called once in each task and returns the function from a list of texts (None for NULL) to a list of
+    Arrow arrays, one per column of the schema text ``added``.
+    """
+    keep = list(keep)
+    own = [f"kept_{i}" for i in range(len(keep))]
+    rows = docs.select(*[docs[c].alias(k) for k, c in zip(own, keep, strict=True)], docs[text].alias("text"))
+    names = [x.split()[0] for x in added.split(", ")]
+    schema = T.StructType([rows.schema[k] for k in own] + [T.StructField(x.split()[0], T._parse_datatype_string(x.split()[1])) for x in added.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = start()
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.record_batch([*batch.select(own).columns, *compute(batch.column("text").to_pylist())], names=[*own, *names])
+
+    out = rows.mapInArrow(run, schema)
+    return out.select(*[F.col(k).alias(c) for k, c in zip(own, keep, strict=True)], *names)

@@ -146,7 +146,9 @@ def encoded(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ("doc_id",
                     found += [(i, n, m, digest(c), c) for n, (c, m) in enumerate(zip(chunks, marks, strict=True))]
             for at in range(0, len(found), 16 * BATCH_ROWS):
                 own, place, shared, key, chunk = zip(*found[at : at + 16 * BATCH_ROWS], strict=True)
-                columns = batch.select(["row", *kept]).take(pa.array(own)).columns
+                columns = [batch.column("row").take(pa.array(own))]
+                firsts = pa.array([i if n == 0 else None for i, n in zip(own, place, strict=True)], pa.int64())
+                columns += batch.select(kept).take(firsts).columns  # a row's other columns go with its first chunk
                 values = [pa.array(place, pa.int32()), pa.array(shared), pa.array(key, pa.binary()), pa.array(chunk)]
                 yield pa.record_batch([*columns, *values], names=["row", *kept, "place", "shared", "key", "chunk"])
 

@@ -27,11 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugemill.llm._rows import sieve, sifted, written
+from gaugemill.llm._rows import map_texts, sieve, sifted, written
 
 WIDTH = 5
 SIMILAR, OUT_OF = 80, 100
@@ -99,28 +100,27 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, set_key, n_shingles, bands (keys), marks (low bytes of the minima) of every row."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_shingles long, set_key binary, bands array<long>, marks binary"
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows, known = [], {}
-            for text in batch["text"]:
-                if (row := known.get(text)) is None:
-                    items = shingles(text, width)
-                    row = (0, None, None, None)
-                    if len(items):
-                        low = minima(items)
-                        keys = [xxhash.xxh3_64_intdigest(low[b * BAND : (b + 1) * BAND].tobytes(), seed=b) for b in range(BANDS)]
-                        key = hashlib.blake2b(items.tobytes(), digest_size=16).digest()
-                        row = (len(items), key, np.array(keys, np.uint64).view(np.int64), low.astype(np.uint8).tobytes())
-                    known[text] = row
-                rows.append(row)
-            frame = pd.DataFrame(rows, columns=["n_shingles", "set_key", "bands", "marks"])
-            frame.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield frame
-
-    return docs.select("doc_id", "text").mapInPandas(sign, schema)
+    def start():
+        return sign
+
+    def sign(texts: list) -> list[pa.Array]:
+        rows, known = [], {}
+        for text in texts:
+            if (row := known.get(text)) is None:
+                items = shingles(text, width)
+                row = (0, None, None, None)
+                if len(items):
+                    low = minima(items)
+                    keys = [xxhash.xxh3_64_intdigest(low[b * BAND : (b + 1) * BAND].tobytes(), seed=b) for b in range(BANDS)]
+                    key = hashlib.blake2b(items.tobytes(), digest_size=16).digest()
+                    row = (len(items), key, np.array(keys, np.uint64).view(np.int64), low.astype(np.uint8).tobytes())
+                known[text] = row
+            rows.append(row)
+        sizes, keys, bands, marks = zip(*rows, strict=True)
+        return [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())]
+
+    return map_texts(docs, ["doc_id"], "text", start, "n_shingles long, set_key binary, bands array<long>, marks binary")
 
 
 def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:

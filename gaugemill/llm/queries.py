@@ -6,13 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugemill.llm import bpe_reuse, decontaminate, near_dup, pii, quality_rules, secret_scan, token_files, warc
+from gaugemill.llm import bpe_reuse, decontaminate, langid_crf, near_dup, pii, quality_gam, quality_rules, secret_scan, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gam.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op2_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid_crf.languages(_table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -54,6 +62,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_gam": op1_quality_gam,
+    "op2_language_crf": op2_language_crf,
     "op3_decontamination": op3_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_files": op5_token_files,

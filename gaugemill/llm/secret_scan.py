@@ -20,10 +20,13 @@ import binascii
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gaugemill.llm._rows import map_texts
 
 # The base kinds, their patterns and lengths.
 BASE = ("assign", "access", "hex")
@@ -133,21 +136,18 @@ def span_list(spans: Iterable[tuple[str, int, int]]) -> str:
 
 def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document row: id, counts and digest of the base kinds, and all spans as text."""
-    kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            spans = [find_secrets(t if isinstance(t, str) else None) for t in batch["text"]]
+    def start():
+        def scan(texts: list) -> list[pa.Array]:
+            spans = [find_secrets(t) for t in texts]
             base = [[s for s in found if s[0] in BASE] for found in spans]
-            out = {"doc_id": batch["doc_id"]}
-            for k in BASE:
-                out[f"n_{k}"] = [sum(s[0] == k for s in found) for found in base]
-            out["base_sha256"] = [hashlib.sha256(span_list(found).encode()).hexdigest() for found in base]
-            out["spans"] = [span_list(found) for found in spans]
-            yield pd.DataFrame(out)
+            counts = [pa.array([sum(s[0] == k for s in found) for found in base], pa.int64()) for k in BASE]
+            digests = [hashlib.sha256(span_list(found).encode()).hexdigest() for found in base]
+            return [*counts, pa.array(digests, pa.string()), pa.array([span_list(found) for found in spans], pa.string())]
+
+        return scan
 
-    return rows.mapInPandas(scan, f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return map_texts(docs, [doc_id], text, start, "n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
 def redacted(text: str | None, mark: str = "[SECRET]") -> str | None:
@@ -160,3 +160,13 @@ def redacted(text: str | None, mark: str = "[SECRET]") -> str | None:
             out += [text[done:start], mark]
         done = max(done, end)
     return "".join(out) + text[done:]
+
+
+def without_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """All rows and columns of ``docs``, every secret in the text replaced by the mark."""
+    others = [c for c in docs.columns if c != text]
+
+    def start():
+        return lambda texts: [pa.array([redacted(t, mark) for t in texts], pa.string())]
+
+    return map_texts(docs, others, text, start, "redacted string").select(*[F.col("redacted").alias(c) if c == text else c for c in docs.columns])
