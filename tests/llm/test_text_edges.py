@@ -102,7 +102,7 @@ def test_token_files(docs, tmp_path):
         assert len(shard) == m["sequences"]
         parts = [shard.sequence(i) for i in range(len(shard))]
         assert all(len(a) == 64 for a, _ in parts) and not any(a.flags["OWNDATA"] for a, _ in parts)
-        ids += [int(x) for a, mask in parts for x in a[mask.astype(bool)]]
+        ids += [int(x) for a, mask in parts for x in a[mask]]
     assert len(ids) == sum(w[2] for w in brute.token_files(rows))
 
 
