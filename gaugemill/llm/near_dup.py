@@ -8,9 +8,11 @@ Equal sets are one node, so copies are never compared. Within a key no pairs of
 
 1. every member is compared with the key's smallest node (a star), and the links found are closed to components;
 2. keys whose members already are in one component are done, however many they are;
-3. in the others, members of different components are compared: all such pairs if the key has at most ``KEY_ROWS``
-   members, else the key is narrowed by a second band (then a third, ...), in which the same steps follow. Two similar
-   sets share many bands, so a link lost by that would need them to share only the bands used so far.
+3. in other keys of at most ``KEY_ROWS`` members, members of different components are compared;
+4. in larger ones, members outside the key's largest component are left over. All left-overs of a component are
+   compared with its members and with each other, in blocks: a task holds two blocks of about ``BLOCK_ROWS`` rows, so a
+   key of any size becomes many small tasks. Within a task the minima are compared first, sets only where these agree,
+   and only until a left-over is linked to the component. Every pair that shares a key is covered by 1 to 4.
 
 Components come from alternating large-star and small-star steps on (node, neighbour) rows: minima per node by grouped
 aggregation, then a join back, never a list of neighbours.
@@ -40,6 +42,7 @@ HASHES, BAND = 128, 4
 BANDS = HASHES // BAND
 ESTIMATE = 0.62  # of the minima; at a similarity of 0.8 fewer agree in one of a million cases
 KEY_ROWS = 48
+BLOCK_ROWS = 256
 BLOCK = 2048
 MAX_WORDS = 500_000
 
@@ -140,10 +143,7 @@ def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """Pairs that are similar on their full sets. Only texts of nodes in pairs are moved."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    bitmap = sieve(wanted.select(F.xxhash64("node").alias("key")), "key")
-    texts = sifted(docs.select(F.col("doc_id").alias("node"), "text"), F.xxhash64("node"), bitmap)
-    texts = written(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "candidate-texts")
+    texts = _texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), docs)
     both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -160,6 +160,13 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInPandas(compare, f"a {kind}, b {kind}")
 
 
+def _texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """node and text of the wanted nodes; other rows are dropped by a bitmap where they are read."""
+    bitmap = sieve(wanted.select(F.xxhash64("node").alias("key")), "key")
+    texts = sifted(docs.select(F.col("doc_id").alias("node"), "text"), F.xxhash64("node"), bitmap)
+    return written(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "candidate-texts")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node with a link; the component is its smallest node."""
     edges = written(_oriented(links.toDF("u", "v")), "links")
@@ -189,36 +196,76 @@ def _pair(a: Column, b: Column) -> list[Column]:
 
 def similar_links(nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame | None:
     """Labels (node, component) of all nodes with a confirmed link; None if there are none."""
-    every = written(nodes.select("node", F.posexplode("bands").alias("band", "key")), "bands")
-    shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = written(every.join(shared.select("key"), "key").select("key", "node", "band"), "members")
-    links, labels = None, None
-    for level in range(BANDS):
-        firsts = members.groupBy("key").agg(F.min("node").alias("first"))
-        stars = members.join(firsts, "key").where("node <> first").select(*_pair(F.col("node"), F.col("first")))
-        links, labels = _extended(links, labels, stars, nodes, docs, width, f"stars-{level}")
-        named = _named(members, labels)
-        stats = named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-        open_keys = written(named.join(stats.where("low <> high").select("key", "n"), "key"), "open-keys")
-        few = open_keys.where(F.col("n") <= KEY_ROWS).select("key", "node", "component")
-        other = few.toDF("key", "node2", "component2")
-        pairs = few.join(other, "key").where("node < node2 and component <> component2").select(*_pair(F.col("node"), F.col("node2")))
-        links, labels = _extended(links, labels, pairs, nodes, docs, width, f"pairs-{level}")
-        many = open_keys.where(F.col("n") > KEY_ROWS).select("key", "node", "band")
-        if many.isEmpty():
-            break
-        more = every.select("node", F.col("band").alias("band2"), F.col("key").alias("key2"))
-        narrowed = many.join(more, "node").where("band2 > band").select(F.xxhash64("key", "band2", "key2").alias("key"), "node", F.col("band2").alias("band"))
-        narrowed = written(narrowed, "narrowed")
-        shared = narrowed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        members = written(narrowed.join(shared.select("key"), "key").select("key", "node", "band"), "members")
-    return labels
+    every = written(nodes.select("node", F.explode("bands").alias("key")), "bands")
+    shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).where("n > 1")
+    members = written(every.join(shared, "key").select("key", "node", "n", "first"), "members")
+    stars = members.where("node <> first").select(*_pair(F.col("node"), F.col("first")))
+    links, labels = _extended(None, None, stars, nodes, docs, width, "stars")
+    named = _named(members, labels)
+    ends = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    open_keys = written(named.join(ends.select("key"), "key"), "open-keys")
+    few = open_keys.where(F.col("n") <= KEY_ROWS).select("key", "node", "component")
+    pairs = few.join(few.toDF("key", "node2", "component2"), "key").where("node < node2 and component <> component2")
+    links, labels = _extended(links, labels, pairs.select(*_pair(F.col("node"), F.col("node2"))), nodes, docs, width, "pairs")
+    many = _named(open_keys.where(F.col("n") > KEY_ROWS).drop("component"), labels)
+    return _with_left_overs(labels, written(many, "large-keys"), nodes, docs, width)
+
+
+def _with_left_overs(labels: DataFrame | None, many: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame | None:
+    """The labels with the links between the left-overs of large keys and all that they share a key with."""
+    sizes = many.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+    placed = many.join(main, "key").select("main", "node", "component").distinct()
+    placed = written(placed.withColumn("left_over", F.col("component") != F.col("main")), "placed")
+    if placed.where("left_over").isEmpty():
+        return labels
+    blocks = placed.groupBy("main").agg(
+        F.ceil(F.count_if("left_over") / BLOCK_ROWS).cast("int").alias("n_left"), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("n_all")
+    ).where("n_left > 0")
+    texts = _texts(placed.select("node").distinct(), docs)
+    rows = placed.join(blocks, "main").join(nodes.select("node", "marks"), "node").join(texts, "node")
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    cells = ["main", "left_block", "block"]
+    content = ["node", "component", "marks", "text"]
+    asked = rows.where("left_over").withColumn("left_block", block("n_left")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_all") - 1)))
+    given = rows.withColumn("block", block("n_all")).withColumn("left_block", F.explode(F.sequence(F.lit(0), F.col("n_left") - 1)))
+    both = asked.select(*cells, F.lit(True).alias("asks"), *content).unionByName(given.select(*cells, F.lit(False).alias("asks"), *content))
+    kind = nodes.schema["node"].dataType.simpleString()
+
+    def compare(cell: pd.DataFrame) -> pd.DataFrame:
+        left, right = (cell[cell["asks"] == side].sort_values("node") for side in (True, False))
+        found = []
+        if len(left) and len(right):
+            own, other = (np.frombuffer(b"".join(x["marks"]), np.uint8).reshape(-1, HASHES) for x in (left, right))
+            sets: dict = {}
+            members = list(right[["node", "component", "text"]].itertuples(index=False))
+            for row, marks in zip(left.itertuples(index=False), own, strict=True):
+                agree = (other == marks).mean(axis=1)
+                done = {row.component}
+                for i in np.argsort(-agree, kind="stable"):
+                    if agree[i] < ESTIMATE:
+                        break
+                    node, component, text = members[i]
+                    if component in done:
+                        continue
+                    for key, value in ((row.node, row.text), (node, text)):
+                        if key not in sets:
+                            sets[key] = shingles(value, width)
+                    if similar(sets[row.node], sets[node]):
+                        found.append((min(row.node, node), max(row.node, node)))
+                        done.add(component)
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    links = written(both.groupBy(*cells).applyInPandas(compare, f"a {kind}, b {kind}"), "left-over-links")
+    if links.isEmpty():
+        return labels
+    return components(links if labels is None else links.union(labels.toDF("a", "b")))
 
 
 def _named(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return members.withColumn("component", F.col("node"))
-    return members.join(labels, "node", "left").select("key", "node", "band", F.coalesce("component", "node").alias("component"))
+    return members.join(labels, "node", "left").select(*members.columns, F.coalesce("component", "node").alias("component"))
 
 
 def _extended(links, labels, pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, name: str):

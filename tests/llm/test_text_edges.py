@@ -154,7 +154,8 @@ def test_near_duplicates(docs, monkeypatch):
     rows = list(enumerate(texts))
     want = brute.near_duplicates(rows, 5)
     assert sorted(tuple(r) for r in near_dup.near_duplicates(docs(*rows)).collect()) == want
-    monkeypatch.setattr(near_dup, "KEY_ROWS", 3)  # keys of more members are narrowed by further bands
+    monkeypatch.setattr(near_dup, "KEY_ROWS", 3)  # larger keys are compared in blocks
+    monkeypatch.setattr(near_dup, "BLOCK_ROWS", 7)
     assert sorted(tuple(r) for r in near_dup.near_duplicates(docs(*rows)).collect()) == want
     assert near_dup.near_duplicates(docs()).count() == 0
     assert near_dup.deduplicated(docs(*rows)).count() == sum(w[3] for w in want)
