@@ -9,7 +9,8 @@ as it takes to reach a safe place on both sides. From there on the ids agree wit
 Only hashes of chunks are shuffled to find the repeated ones. These go into a bitmap of fixed size, the one thing sent
 to all tasks; a document without a chunk in it is encoded where it is read. Documents with one (or with a chunk that
 falls on a set bit by chance, which costs work but changes nothing) have their chunks written, the distinct ones
-encoded, and the ids joined back by digest, where a chunk of a third of all documents is a split side of the join.
+encoded, and the ids joined back by digest, where a chunk of a third of all documents is a split side of the join. The
+chunks of such documents that stand alone are moved once, to the others of their document.
 
 Defined results: a NULL text is an empty one and has no ids; repeated rows each have their result; texts of any length
 are encoded whole; columns other than the id and the text are not read, those named in ``keep`` are passed on.
@@ -188,9 +189,10 @@ def encoded(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ("doc_id",
     chunks = written(numbered.mapInArrow(split, f"row long, {own_types}, place int, shared boolean, key binary, chunk string"), "chunks")
     once = chunks.where("shared").select("key", "chunk").dropDuplicates(["key"])
     table = written(once.mapInPandas(learn, "key binary, head string, ids binary, tail string"), "encoded-chunks").withColumn("found", F.lit(True))
-    own_text = F.when(~F.col("shared"), F.col("chunk")).alias("chunk")
-    met = chunks.select("row", *kept, "place", "key", own_text).join(table, "key", "left")
-    met = met.select("row", *kept, "place", "chunk", "head", "ids", "tail", F.coalesce("found", F.lit(False)).alias("found"))
+    place = ["row", *kept, "place"]
+    lone = chunks.where("not shared").select(*place, "chunk", F.lit(None).cast("string").alias("head"), F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("string").alias("tail"), F.lit(False).alias("found"))
+    met = chunks.where("shared").select(*place, "key").join(table, "key")
+    met = met.select(*place, F.lit(None).cast("string").alias("chunk"), "head", "ids", "tail", "found").unionByName(lone)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     together = met.repartition(n, "row").sortWithinPartitions("row", "place").mapInArrow(assemble, out_schema)
     done = rows.mapInArrow(alone, out_schema).unionByName(together)
