@@ -73,4 +73,65 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_warc": op10_warc,
 }
-ORACLE: dict[str, str] = {}
+
+
+# --- SQL --------------------------------------------------------------------------------------------------------
+
+_BLANK_WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
+_LOWERED = f"translate(coalesce(text, ''), '{decontaminate.UPPER}', '{decontaminate.LOWER}')"
+
+
+def _rules_sql() -> str:
+    """The threshold table as one SQL condition."""
+    parts = []
+    for r in quality_rules.RULES:
+        bounds = [f"1e0 * {r.numerator} / nullif({r.denominator}, 0) {op} {limit}" for op, limit in ((">=", r.low), ("<=", r.high)) if abs(limit) != float("inf")]
+        parts += [f"coalesce({b}, false)" for b in bounds]
+    return " AND ".join(parts)
+
+
+def _stop_words_sql() -> str:
+    words = dict.fromkeys([*quality_rules.STOP_WORDS, *(w.capitalize() for w in quality_rules.STOP_WORDS)])
+    return ", ".join(f"'{w}'" for w in words)
+
+
+ORACLE: dict[str, str] = {
+    "op3_decontamination": rf"""WITH
+dw AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+iw AS (SELECT item_id, ws, least(13, len(ws)) AS n FROM (
+  SELECT item_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark) WHERE len(ws) > 0),
+item_windows AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(ws) - n + 2), lambda i: array_to_string(ws[i:i + n - 1], ' '))) AS g FROM iw),
+widths AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (SELECT doc_id, n, unnest(list_transform(range(1, len(ws) - n + 2), lambda i: {{'i': i, 'g': array_to_string(ws[i:i + n - 1], ' ')}})) AS s FROM dw, widths),
+hits AS (SELECT doc_id, s.i AS i, d.n, item_id FROM doc_windows d JOIN item_windows w ON s.g = w.g AND d.n = w.n),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT CAST(item_id AS VARCHAR))), ',') AS ids FROM hits GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), false) AS contaminated
+FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op4_quality_rules": rf"""WITH
+d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, {_BLANK_WORDS} AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+windows AS (SELECT doc_id, unnest(list_transform(range(1, len(ws) - 1), lambda i: {{'i': i, 'g': ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]}})) AS s FROM w),
+found AS (SELECT doc_id, s.i AS i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, s.g) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM found, range(3) r(j) GROUP BY doc_id),
+m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+  coalesce(n, 0) AS n_repeat_words, len(regexp_extract_all(t, '[!?]')) AS n_marks, len(ls) AS n_lines,
+  len(list_filter(ws, lambda x: x IN ({_stop_words_sql()}))) AS n_stop_words,
+  len(list_filter(ls, lambda x: regexp_matches(ltrim(x), '^[-*•]'))) AS n_bullet_lines,
+  len(list_filter(ls, lambda x: regexp_matches(rtrim(x), '(\.\.\.|…)$'))) AS n_cut_lines
+  FROM w LEFT JOIN covered USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_rules_sql()} AS kept FROM judged""",
+    "op6_near_duplicates": rf"""WITH RECURSIVE
+w AS (SELECT doc_id, {_BLANK_WORDS} AS ws FROM (SELECT doc_id, {_LOWERED} AS t FROM documents)),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+  WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] END) AS g FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+named AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM named LEFT JOIN sizes USING (doc_id)""",
+}
