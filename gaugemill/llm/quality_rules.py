@@ -55,7 +55,7 @@ RULES = (
     Rule("symbols_per_word", "n_symbols", "n_words", high=0.1),
     Rule("marks_per_word", "n_marks", "n_words", high=0.5),
     Rule("stop_words", "n_stop_words", "n_words", low=0.02),
-    Rule("duplicate_lines", "n_dup_lines", "n_lines", high=0.3),
+    Rule("duplicate_lines", "n_dup_lines", "n_lines", high=0.5),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", high=0.9),
     Rule("cut_lines", "n_cut_lines", "n_lines", high=0.3),
 )
