@@ -203,24 +203,28 @@ def stream_predict(spark, sf_dir):
 
 
 MINIMAL_RULES = tuple(r for r in ACCOUNT_RULES if r.column not in ACCOUNT_DEFAULTS)
-MINIMAL_FULL = tuple(Rule("avg_price", gt=0) if r.column == "avg_price" else r for r in ACCOUNT_RULES)
 
 
 @query(f"""WITH {ACCOUNTS_SQL},
 facts AS (SELECT * REPLACE (coalesce(n_orders, 0) AS n_orders, coalesce(total_price, 0) AS total_price) FROM accounts),
 features AS (SELECT c_custkey, balance, {features_sql(ACCOUNTS)} FROM facts LEFT JOIN nations USING (nation)),
 train AS (SELECT * FROM features WHERE NOT {in_share_sql('c_custkey', 0.2, 42)}),
+marked AS (SELECT *, array_to_string(list_filter([CASE WHEN NOT coalesce(max_price > 0 AND max_price <= 495000, false) THEN 'max_price' END,
+  CASE WHEN NOT coalesce(first_year >= 1990, false) THEN 'first_year' END], lambda x: x IS NOT NULL), ',') AS early FROM facts),
+checked AS (SELECT *, CASE WHEN early = '' AND max_price <= 50000 THEN 'avg_price' ELSE early END AS broken FROM marked),
 minimal AS (SELECT * REPLACE (max_price AS avg_price, total_price AS open_price, 0e0 AS done_price, first_year AS last_year, 0e0 AS urgent_orders)
-  FROM facts WHERE coalesce(max_price > 0 AND max_price <= 495000 AND first_year >= 1990, false)),
+  FROM checked WHERE broken = ''),
 filled AS (SELECT c_custkey, balance, {features_sql(ACCOUNTS)} FROM minimal LEFT JOIN nations USING (nation)), {_knn_sql('filled')}
-SELECT c_custkey, round(predicted_price, 4) AS predicted_price FROM predicted""")
+SELECT c_custkey, round(predicted_price, 4) AS predicted_price, '' AS broken FROM predicted
+UNION ALL SELECT c_custkey, NULL, broken FROM checked WHERE broken <> ''""")
 def predict_minimal(spark, sf_dir):
-    """Minimal rows checked, completed and predicted."""
+    """Minimal rows checked, completed, checked again and predicted; refused rows with their reasons."""
     rows = _unlabeled(spark, sf_dir).drop(*ACCOUNT_DEFAULTS)
-    done, _ = run_minimal(
-        rows, nations(spark, sf_dir), _knn(spark, sf_dir), ACCOUNTS, INFO, MINIMAL_RULES, MINIMAL_FULL, ACCOUNT_DEFAULTS, ["c_custkey"]
+    done, refused = run_minimal(
+        rows, nations(spark, sf_dir), _knn(spark, sf_dir), ACCOUNTS, INFO, MINIMAL_RULES, ACCOUNT_RULES, ACCOUNT_DEFAULTS, ["c_custkey"]
     )
-    return done.select("c_custkey", F.round("predicted_price", 4).alias("predicted_price"))
+    done = done.select("c_custkey", F.round("predicted_price", 4).alias("predicted_price"), F.lit("").alias("broken"))
+    return done.unionByName(refused.select("c_custkey", F.lit(None).cast("double").alias("predicted_price"), F.concat_ws(",", "broken").alias("broken")))
 
 
 @query(f"""WITH e AS (SELECT vec_id, CAST(label AS DOUBLE) AS y, embedding AS v FROM embeddings),

@@ -295,8 +295,8 @@ def scaling_stats(spark, sf_dir):
 @query(f"""{FILLED_SQL}, m AS (SELECT {', '.join(f'avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s' for c in SCALED)} FROM filled)
 SELECT l_orderkey, l_linenumber, {', '.join(f'round(({c} - {c}_m) / {c}_s, 7) AS {c}' for c in SCALED)} FROM filled, m""")
 def impute_scale(spark, sf_dir):
-    """M1: filled and standardized order lines."""
-    lines = listing(spark, sf_dir)
+    """M1: filled and standardized order lines; NaN is missing like NULL."""
+    lines = listing(spark, sf_dir).withColumn("tax", F.coalesce("tax", F.lit(float("nan"))))
     prep = fit_preprocessing(lines, SCALED, [])
     return lines.select("l_orderkey", "l_linenumber", *(F.round(F.expr(prep.scaled(c)), 7).alias(c) for c in SCALED))
 

@@ -38,6 +38,7 @@ ENGINEERED_COLUMNS = (
 GEO_COLUMNS = ("geo_zip_bucket", "geo_cluster_placeholder")
 DEFAULT_REFERENCE_YEAR = 2015
 
+# Names under which a labeled table may hold truth and prediction.
 TRUTH_CANDIDATES = ("actual_price", "price", "y_true", "ground_truth")
 PREDICTION_CANDIDATES = ("predicted_price", "y_pred", "prediction")
 
@@ -63,6 +64,7 @@ class FeatureContract:
     engineered: tuple[str, ...] = ENGINEERED_COLUMNS
     geo: tuple[str, ...] = GEO_COLUMNS
     reference_year: int = DEFAULT_REFERENCE_YEAR
+    hashed: tuple[str, ...] = ()  # categorical columns whose values a model codes by hash bucket
 
     @property
     def inference_columns(self) -> tuple[str, ...]:
@@ -131,7 +133,7 @@ HOUSE = house_contract()
 
 @dataclass(frozen=True)
 class Rule:
-    """Bounds of one column; every rule also requires a value to be present."""
+    """Bounds of one column; every rule also requires a value to be present. NaN is a missing value."""
 
     column: str
     ge: float | None = None
@@ -143,6 +145,8 @@ class Rule:
     def holds(self) -> Column:
         c = F.col(self.column)
         ok = c.isNotNull()
+        if self.min_length is None:
+            ok = ok & ~F.isnan(F.coalesce(c.try_cast("double"), F.lit(0.0)))
         if self.ge is not None:
             ok = ok & (c >= self.ge)
         if self.gt is not None:
@@ -215,6 +219,7 @@ class TrainingParams:
     experiment_name: str = "house_price"
     registered_model_name: str = "house_price_regressor"
     cv_folds: int = 0
+    # The candidates of a job that names none.
     candidates: tuple[Candidate, ...] = (
         Candidate("baseline_knn", "plain"),
         Candidate("hist_gradient_boosting", "log1p"),
@@ -224,20 +229,27 @@ class TrainingParams:
 
     @classmethod
     def from_json(cls, text: str) -> TrainingParams:
-        """Values given in a JSON document (under ``training`` or at the top) over the defaults."""
-        raw = json.loads(text) or {}
-        raw = raw.get("training", raw) or {}
-        given = {
-            k: type(getattr(cls, k))(raw[k])
-            for k in (
-                "random_state", "test_size", "reference_year", "experiment_name",
-                "registered_model_name", "cv_folds",
-            )
-            if k in raw
-        }
-        models = tuple(
-            Candidate(m["name"], m.get("target_mode", "plain"), m.get("params", {}))
-            for m in raw.get("models") or ()
-            if isinstance(m, dict) and "name" in m
-        )
-        return cls(**given, **({"candidates": models} if models else {}))
+        """Parameters from a JSON document; what it leaves out keeps its default.
+
+        Settings stand at the top or below ``training``. A value that does not convert and a model entry without a
+        name raise.
+        """
+        document = json.loads(text) or {}
+        settings = document.get("training") or document
+        values: dict = {}
+        for name, default in asdict(cls()).items():
+            if name != "candidates" and name in settings:
+                values[name] = type(default)(settings[name])
+        entries = settings.get("models")
+        if entries:
+            values["candidates"] = tuple(_candidate(i, entry) for i, entry in enumerate(entries))
+        return cls(**values)
+
+
+def _candidate(position: int, entry: object) -> Candidate:
+    if not isinstance(entry, dict) or not entry.get("name"):
+        raise ValueError(f"model {position} of the training parameters has no name: {entry!r}")
+    unknown = set(entry) - {"name", "target_mode", "params"}
+    if unknown:
+        raise ValueError(f"model {entry['name']!r} has unknown settings: {sorted(unknown)}")
+    return Candidate(**entry)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from gaugemill.functions.kolmogorov import with_ks_pvalue
 from gaugemill.functions.numeric import relative_shift
 from gaugemill.operators.ranks import ROWS_PER_RANGE, rank_profile, tagged_sides
+from gaugemill.session import work_dir
 
 KS_PVALUE_THRESHOLD = 0.01
 PSI_THRESHOLD = 0.25
@@ -136,6 +137,14 @@ def _reason(flags: Sequence[tuple[Column, str]], joint: str) -> Column:
     return F.when(told == "", "none").otherwise(told)
 
 
+def held(sides: DataFrame, name: str) -> DataFrame:
+    """The projected sides, written once: scans, joins and estimates below them don't run again per statistic."""
+    spark = sides.sparkSession
+    path = work_dir(spark, name)
+    sides.write.parquet(path)
+    return spark.read.schema(sides.schema).parquet(path)
+
+
 def data_drift(
     reference: DataFrame | None,
     current: DataFrame | None,
@@ -167,6 +176,8 @@ def data_drift(
         [(i, c, c in usable) for i, c in enumerate(columns)], "seq int, feature string, present boolean"
     )
     if usable:
+        sides = held(sides, "drift-sides")
+        n_rows = sides.count() if n_rows is None else n_rows
         probabilities = bin_probabilities() if include_psi else ()
         found = rank_profile(None, None, usable, probabilities, True, rows_per_range, sides, n_rows)
         if include_psi:
@@ -234,6 +245,7 @@ def prediction_drift(
     if sides is None:
         baseline, current = baseline.select(F.col(baseline_column).alias("v")), current.select(F.col(current_column).alias("v"))
     sides = tagged_sides(baseline, current, ["v"], sides)
+    sides = held(sides, "prediction-sides")
     base, cur = F.when(F.col("is_ref"), F.col("v")), F.when(~F.col("is_ref"), F.col("v"))
     moments = sides.agg(
         F.count(F.lit(1)).alias("n_rows"), F.count(base).alias("n_baseline"), F.count(cur).alias("n_current"),

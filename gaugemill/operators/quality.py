@@ -30,11 +30,11 @@ def schema_findings(df: DataFrame, expected: Sequence[str], dataset: str, extras
     absent = [c for c in expected if c not in df.columns]
     surplus = [c for c in df.columns if c not in set(expected)]
     if absent:
-        rows.append((seq, dataset, "schema", ",".join(absent), "error", 0, f"{dataset}: missing columns: {absent}"))
+        rows.append((seq, dataset, "schema", ",".join(absent), "error", 0, f"{dataset} lacks {absent}"))
     if surplus and extras:
         rows.append(
             (seq + 1, dataset, "schema", ",".join(surplus), "warning", 0,
-             f"{dataset}: unexpected extra columns: {surplus}")
+             f"{dataset} has columns beyond the contract: {surplus}")
         )
     return df.sparkSession.createDataFrame(rows, FINDING_SCHEMA)
 
@@ -65,7 +65,7 @@ def _counted(df: DataFrame, checks: list[tuple[int, str, str, str, str, Column,
 
 def _null_checks(df: DataFrame, columns: Sequence[str], dataset: str, seq: int) -> list:
     return [
-        (seq + i, dataset, "nulls", c, "error", missing(df, c), f"{dataset}: column '{c}' has %d null values")
+        (seq + i, dataset, "nulls", c, "error", missing(df, c), f"{dataset}.{c}: %d values missing")
         for i, c in enumerate(columns)
         if c in df.columns
     ]
@@ -75,12 +75,12 @@ def _key_check(df: DataFrame, key: str, dataset: str, seq: int) -> list:
     if key not in df.columns:
         return []
     lost = normalize_key(F.col(key), df.schema[key].dataType).isNull()
-    return [(seq, dataset, "null_key", key, "error", lost, f"{dataset}: {key} is null after normalization")]
+    return [(seq, dataset, "null_key", key, "error", lost, f"{dataset}.{key}: no key left once normalized")]
 
 
 def _absent_findings(df: DataFrame, columns: Sequence[str], dataset: str, seq: int) -> DataFrame:
     rows = [
-        (seq + i, dataset, "nulls", c, "error", 0, f"{dataset}: null check requested for missing column '{c}'")
+        (seq + i, dataset, "nulls", c, "error", 0, f"{dataset}.{c}: not there to be checked for missing values")
         for i, c in enumerate(columns)
         if c not in df.columns
     ]
@@ -112,22 +112,22 @@ def duplicate_id_findings(df: DataFrame, column: str, dataset: str, seq: int = 5
     """Warning counting every row of a repeated id; no finding if there is no id column."""
     if column not in df.columns:
         return df.sparkSession.createDataFrame([], FINDING_SCHEMA)
-    text = f"{dataset}: %d rows have duplicate '{column}' values (non-unique ids)"
+    text = f"{dataset}.{column}: %d rows share their id"
     return _duplicates(df, [column], "n", (seq, dataset, "duplicate_ids", column, "warning", text))
 
 
 def duplicate_key_findings(df: DataFrame, key: str, dataset: str, seq: int = 50) -> DataFrame:
     """Error counting every row of a repeated dimension key, on the raw values."""
     if key not in df.columns:
-        row = (seq, dataset, "duplicate_keys", key, "error", 0, f"{dataset}: duplicate check requires '{key}' column")
+        row = (seq, dataset, "duplicate_keys", key, "error", 0, f"{dataset}.{key}: not there to be checked for repeats")
         return df.sparkSession.createDataFrame([row], FINDING_SCHEMA)
-    text = f"{dataset}: %d rows have duplicate {key} keys"
+    text = f"{dataset}.{key}: %d rows share their key"
     return _duplicates(df, [key], "n", (seq, dataset, "duplicate_keys", key, "error", text))
 
 
 def duplicate_row_findings(df: DataFrame, dataset: str, seq: int = 50) -> DataFrame:
     """Warning counting all but the first of each group of equal rows."""
-    text = f"{dataset}: %d fully duplicate rows"
+    text = f"{dataset}: %d rows repeat another"
     return _duplicates(df, df.columns, "n - 1", (seq, dataset, "duplicate_rows", "*", "warning", text))
 
 
@@ -178,7 +178,7 @@ def gate(findings: DataFrame, context: str) -> list[str]:
     rows = findings.orderBy("seq").collect()
     errors = [r["message"] for r in rows if r["severity"] == "error"]
     if errors:
-        raise ValueError(f"{context} validation failed: {'; '.join(errors)}")
+        raise ValueError(f"{context} refused: {'; '.join(errors)}")
     return [r["message"] for r in rows if r["severity"] == "warning"]
 
 

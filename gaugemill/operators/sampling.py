@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugemill.session import work_dir
+
 PREFIX_DIGITS = 3
 
 
@@ -61,24 +63,36 @@ def with_hash_rank(df: DataFrame, keys: Sequence[str], seed: int, name: str = "r
     )
 
 
-def split_exact(df: DataFrame, keys: Sequence[str], test_size: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def split_exact(df: DataFrame, keys: Sequence[str], test_size: float = 0.2, seed: int = 42, digits: int = PREFIX_DIGITS) -> tuple[DataFrame, DataFrame]:
     """``(train, test)`` with exactly ``ceil(test_size * n)`` test rows."""
-    ranked = with_hash_rank(df, keys, seed)
+    ranked = with_hash_rank(df, keys, seed, digits=digits)
     test = F.col("rank") < F.ceil(F.col("rank_of") * F.lit(test_size))
     return ranked.filter(~test).drop("rank", "rank_of"), ranked.filter(test).drop("rank", "rank_of")
 
 
-def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """The first ``n`` rows in digest order; each task hands on at most ``n`` rows."""
-    return df.orderBy(row_digest(keys, seed), *keys).limit(n)
+def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42, digits: int = PREFIX_DIGITS) -> DataFrame:
+    """The first ``n`` rows in digest order, in as many partitions as the prefixes fill."""
+    return with_hash_rank(df, keys, seed, digits=digits).filter(F.col("rank") < n).drop("rank", "rank_of")
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows by key."""
-    return df.orderBy(*keys).limit(n)
-
+    """The first ``n`` rows by key.
 
-def with_fold(df: DataFrame, keys: Sequence[str], folds: int, seed: int = 42, contiguous: bool = False) -> DataFrame:
+    Rows are dealt into key ranges, written, and counted per range: ranges wholly below ``n`` pass, the one that
+    ``n`` falls into is cut by rank, later ones are not read.
+    """
+    part = "__range"
+    path = work_dir(df.sparkSession, "key-ranges")
+    df.repartitionByRange(*keys).withColumn(part, F.spark_partition_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    below = Window.partitionBy(F.lit(0)).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("n")).select(part, F.coalesce(F.sum("n").over(below), F.lit(0)).alias("__start"))
+    inside = F.row_number().over(Window.partitionBy(part).orderBy(*keys))
+    kept = rows.join(F.broadcast(starts.filter(F.col("__start") < n)), part).withColumn("__inside", inside)
+    return kept.filter(F.col("__start") + F.col("__inside") <= n).select(*df.columns)
+
+
+def with_fold(df: DataFrame, keys: Sequence[str], folds: int, seed: int = 42, contiguous: bool = False, digits: int = PREFIX_DIGITS) -> DataFrame:
     """``df`` with a fold number from 0.
 
     By default the fold is the digest modulo ``folds``, without a shuffle. ``contiguous`` cuts the digest order
@@ -87,7 +101,7 @@ def with_fold(df: DataFrame, keys: Sequence[str], folds: int, seed: int = 42, co
     if not contiguous:
         number = F.conv(F.substring(row_digest(keys, seed), 1, 8), 16, 10).cast("long")
         return df.withColumn("fold", F.pmod(number, F.lit(folds)).cast("int"))
-    ranked = with_hash_rank(df, keys, seed)
+    ranked = with_hash_rank(df, keys, seed, digits=digits)
     small = F.floor(F.col("rank_of") / folds)
     large = F.pmod(F.col("rank_of"), F.lit(folds))
     edge = large * (small + 1)
@@ -97,12 +111,12 @@ def with_fold(df: DataFrame, keys: Sequence[str], folds: int, seed: int = 42, co
     return ranked.withColumn("fold", block.cast("int")).drop("rank", "rank_of")
 
 
-def permuted_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str], seed: int) -> DataFrame:
+def permuted_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str], seed: int, digits: int = PREFIX_DIGITS) -> DataFrame:
     """``df`` with columns ``<c>__permuted``: the same values handed out in another order of the rows.
 
     Both orders are digest ranks, so each row gets the values of exactly one other row.
     """
-    here = with_hash_rank(df, keys, 0, "here").drop("here_of")
-    there = with_hash_rank(df.select(*dict.fromkeys([*keys, *columns])), keys, seed, "there")
+    here = with_hash_rank(df, keys, 0, "here", digits).drop("here_of")
+    there = with_hash_rank(df.select(*dict.fromkeys([*keys, *columns])), keys, seed, "there", digits)
     there = there.select(F.col("there").alias("here"), *(F.col(c).alias(f"{c}__permuted") for c in columns))
     return here.join(there, "here").drop("here")

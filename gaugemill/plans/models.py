@@ -22,7 +22,7 @@ from gaugemill.operators.stats import regression_metrics, scaling_stats
 
 LABEL = "__label"
 HOLD_OUT = "__hold_out"
-MAX_CATEGORIES = 10_000
+MAX_CATEGORIES = 100_000  # what the driver may hold of a column
 HASHED_CATEGORIES = 4_096
 
 # Estimator settings of the candidates.
@@ -44,8 +44,8 @@ DEFAULT_PARAMS: Mapping[str, Mapping] = {
 class Preprocessing:
     """Fitted medians, means and deviations of the numeric columns and categories of the others.
 
-    A column with more than ``MAX_CATEGORIES`` values is coded by a hash bucket instead of the value, so the
-    fitted state does not grow with the table.
+    Every value is a category of its own. Columns named in ``hashed`` (a contract's choice, never made by size) are
+    coded by hash bucket instead, and that is saved with the model.
     """
 
     numeric: tuple[str, ...]
@@ -57,7 +57,7 @@ class Preprocessing:
 
     def scaled(self, name: str) -> str:
         median, mean, std = self.stats[name]
-        filled = f"coalesce(CAST(`{name}` AS DOUBLE), ({median!r}D))"
+        filled = f"coalesce(nanvl(try_cast(`{name}` AS DOUBLE), CAST(NULL AS DOUBLE)), ({median!r}D))"
         return f"({filled} - ({mean!r}D)) / ({(std or 1.0)!r}D)" if self.standardize else filled
 
     def category(self, name: str) -> str:
@@ -94,18 +94,23 @@ class Preprocessing:
 
 def fit_preprocessing(
     train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], standardize: bool = True,
-    fill_categories: bool = False, rows_per_range: int = ROWS_PER_RANGE,
+    rows_per_range: int = ROWS_PER_RANGE, hashed: Sequence[str] = (), max_categories: int = MAX_CATEGORIES,
 ) -> Preprocessing:
-    """Fit on training rows only. One row per column and at most ``MAX_CATEGORIES`` values reach the driver."""
+    """Fit on training rows only. One row per column and its categories reach the driver; more than
+    ``max_categories`` of them raise."""
     stats = {}
     if numeric:
         fitted = scaling_stats(train, list(numeric), rows_per_range).collect()
         stats = {r["feature"]: (r["median"], r["mean"], r["std"]) for r in fitted}
-    hashed: tuple[str, ...] = ()
+    hashed = tuple(c for c in categorical if c in hashed)
     categories: dict[str, tuple[str, ...]] = {}
+    exact = [c for c in categorical if c not in hashed]
+    if exact:
+        sizes = train.agg(*(F.count_distinct(F.col(c).cast("string")).alias(c) for c in exact)).first()
+        large = {c: sizes[c] for c in exact if sizes[c] > max_categories}
+        if large:
+            raise ValueError(f"more than {max_categories} categories in {large}: name the columns in the contract's 'hashed' or raise max_categories")
     if categorical:
-        sizes = train.agg(*(F.approx_count_distinct(F.col(c).cast("string")).alias(c) for c in categorical)).first()
-        hashed = tuple(c for c in categorical if sizes[c] > MAX_CATEGORIES)
         draft = Preprocessing((), tuple(categorical), {}, {}, hashed)
         found = train.agg(
             *(F.array_sort(F.collect_set(F.expr(draft.category(c)))).alias(c) for c in categorical)
@@ -216,9 +221,10 @@ def fit_model(
     row_id: str,
     seed: int = 42,
     prep: Preprocessing | None = None,
+    hashed: Sequence[str] = (),
 ) -> TreeModel | NeighbourModel:
     """Fit one candidate on feature rows. Pass ``prep`` to share the preprocessing of several candidates."""
-    prep = prep or fit_preprocessing(train, numeric, categorical)
+    prep = prep or fit_preprocessing(train, numeric, categorical, hashed=hashed)
     labeled = train.withColumn(LABEL, log_target(F.col(target).cast("double"), candidate.target_mode))
     if candidate.name == "baseline_knn":
         k = int(candidate.params.get("k", DEFAULT_PARAMS["baseline_knn"]["k"]))
@@ -235,7 +241,7 @@ def fit_model(
 
 def fit_contract_model(train: DataFrame, candidate: Candidate, contract: FeatureContract, seed: int = 42, prep: Preprocessing | None = None):
     """Fit one candidate on the columns of a contract."""
-    return fit_model(train, candidate, contract.model_numeric, contract.categorical, contract.target, contract.row_id, seed, prep)
+    return fit_model(train, candidate, contract.model_numeric, contract.categorical, contract.target, contract.row_id, seed, prep, contract.hashed)
 
 
 def cross_validated_rmse(

@@ -17,7 +17,7 @@ from gaugemill.operators.drift import (
     prediction_drift,
 )
 from gaugemill.operators.enrich import enrich
-from gaugemill.operators.quality import check_training, summarize
+from gaugemill.operators.quality import check_inference, check_training, gate, summarize
 from gaugemill.operators.stats import performance_report
 
 REPORT_VERSION = "1.0"
@@ -89,16 +89,18 @@ def monitor(
     predictions_reason: str = "predictions_file_missing",
 ) -> DataFrame:
     """One nested report row. Feature drift is skipped when quality failed, which is looked up first; the other
-    sections do not depend on it."""
+    sections do not depend on it. Rows to be scored that fail their checks raise, as do dimension keys that are equal
+    once normalized."""
     quality = quality_section(sales, dim, contract)
     found = quality.first()
     quality = sales.sparkSession.createDataFrame([found], quality.schema)
     quality = quality.select(F.struct(*quality.columns).alias("quality"))
     if found["ok"]:
+        gate(check_inference(unseen, contract), "inference")
         # the joins add no rows, so they need not run for the count
         n_rows = found["n_fact_rows"] + unseen.count()
         drift = data_drift_section(
-            enrich(sales, dim, contract.key), enrich(unseen, dim, contract.key), drift_columns, contract.metadata, n_rows
+            enrich(sales, dim, contract.key, check_unique=True), enrich(unseen, dim, contract.key), drift_columns, contract.metadata, n_rows
         )
     else:
         drift = _skipped(sales, "data_drift", "upstream_quality_failed")

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from gaugemill.contracts import FULL_ROW_RULES, HOUSE, MINIMAL_COLUMNS, Candidate, FeatureContract, TrainingParams
+from gaugemill.contracts import FULL_ROW_RULES, HOUSE, MINIMAL_COLUMNS, Candidate, FeatureContract, Rule, TrainingParams
 from gaugemill.operators.enrich import enrich
 from gaugemill.operators.knn import build_index, knn_predict, nearest_neighbours
 from gaugemill.plans import registry
@@ -186,6 +186,12 @@ def test_predictions_full_minimal_and_batch(spark, trained, sold, places, tmp_pa
     assert row["n_features"] == 53 and len(row["feature_metadata"]["final_feature_columns"]) == 53 and row["model_version"] == "1"
     short, _ = predict_minimal(sold.select("id", *MINIMAL_COLUMNS), places, found.model, HOUSE, INFO, keep=["id"])
     assert short.filter("predicted_price > 0").count() == 400
+    strict = [Rule("sqft_above", gt=float(sold.selectExpr("percentile(sqft_living, 0.5)").first()[0])) if r.column == "sqft_above" else r for r in FULL_ROW_RULES]
+    few, broken = predict_minimal(sold.select("id", *MINIMAL_COLUMNS), places, found.model, HOUSE, INFO, full_rules=strict, keep=["id"])
+    assert few.count() + broken.count() == 400 and broken.count() > 0
+    twice = places.union(places.limit(1).withColumn("zipcode", F.concat(F.lit(" "), "zipcode")))
+    with pytest.raises(ValueError, match="not unique"):
+        predict_full(rows, twice, found.model, HOUSE, INFO, FULL_ROW_RULES, keep=["id"])
     # scoring gives what training features give
     batch = score(sold.drop("id", "date", "price"), places, found.model, HOUSE, f"{tmp_path}/scores.csv")
     assert batch.columns == ["zipcode", "predicted_price"] and batch.count() == 400

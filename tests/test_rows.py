@@ -133,21 +133,21 @@ def test_sales_checks(houses, zips):
         ("schema", "lat", "error"): 0, ("schema", "extra", "warning"): 0, ("nulls", "price", "error"): 1,
         ("nulls", "zipcode", "error"): 1, ("null_key", "zipcode", "error"): 1, ("duplicate_ids", "id", "warning"): 2,
     }
-    with pytest.raises(ValueError, match="column 'price' has 1 null values"):
+    with pytest.raises(ValueError, match="sales.price: 1 values missing"):
         quality.gate(quality.check_sales(bad, HOUSE), "training")
 
 
 def test_dimension_and_inference_checks(houses, zips):
     dim = quality.check_dimension(zips("98178", "98178", "98001"), HOUSE, "demographics").collect()
     assert [(r["check"], r["n_rows"], r["message"]) for r in dim] == [
-        ("duplicate_keys", 2, "demographics: 2 rows have duplicate zipcode keys")
+        ("duplicate_keys", 2, "demographics.zipcode: 2 rows share their key")
     ]
     rows = houses({}, {}, {}, dict(lat=1.0)).drop("id", "date", "price")
     found = quality.check_inference(rows, HOUSE)
-    assert [r["message"] for r in found.collect()] == ["inference: 2 fully duplicate rows"]
-    assert quality.gate(found, "inference") == ["inference: 2 fully duplicate rows"]
+    assert [r["message"] for r in found.collect()] == ["inference: 2 rows repeat another"]
+    assert quality.gate(found, "inference") == ["inference: 2 rows repeat another"]
     gone = quality.null_findings(rows, ["color"], "inference").first()
-    assert gone["message"] == "inference: null check requested for missing column 'color'"
+    assert gone["message"] == "inference.color: not there to be checked for missing values"
     assert quality.check_merged(rows, HOUSE, "merged").first()["severity"] == "error"
 
 
@@ -155,8 +155,8 @@ def test_summary_keeps_check_order(houses, zips):
     facts, dim = houses({}, {}, dict(price=None, sqft_living=None)), zips("98178")
     row = quality.summarize(quality.check_training(facts, dim, HOUSE), facts, dim).first()
     assert not row["ok"] and (row["n_fact_rows"], row["n_dim_rows"]) == (3, 1)
-    assert row["errors"] == ["sales: column 'price' has 1 null values", "sales: column 'sqft_living' has 1 null values"]
-    assert row["warnings"] == ["sales: 3 rows have duplicate 'id' values (non-unique ids)"]
+    assert row["errors"] == ["sales.price: 1 values missing", "sales.sqft_living: 1 values missing"]
+    assert row["warnings"] == ["sales.id: 3 rows share their id"]
 
 
 def test_common_numeric_columns(spark):
@@ -188,3 +188,42 @@ def test_ranks_folds_and_permutation(spark):
     assert len(dealt) == 1003 and sorted(dealt["v__permuted"]) == sorted(dealt["v"])
     assert (dealt["v__permuted"] != dealt["v"]).mean() > 0.9
     assert sampling.sample_rows(df, ["k"], 10).count() == 10
+
+
+def test_nan_breaks_a_rule(spark):
+    from gaugemill.contracts import Rule
+    from gaugemill.operators.constraints import split_by_rules
+
+    rows = spark.createDataFrame([(1, 2.0, "abc"), (2, float("nan"), "abc"), (3, None, "abc"), (4, 1.0, "NaN")], "id long, x double, t string")
+    valid, rejected = split_by_rules(rows, [Rule("x", ge=0), Rule("t", min_length=3)], ["id"])
+    assert sorted(r["id"] for r in valid.collect()) == [1, 4]
+    assert {r["id"]: r["broken"] for r in rejected.collect()} == {2: ["x"], 3: ["x"]}
+
+
+def test_samples_and_first_rows_of_any_size(spark):
+    from gaugemill.operators.sampling import first_rows, sample_rows
+
+    df = spark.range(1000).selectExpr("id % 500 AS id", "id AS n").repartition(7)
+    assert sorted(r["id"] for r in first_rows(df, ["id"], 401).collect()) == sorted([i // 2 for i in range(401)])
+    assert first_rows(df, ["id"], 5000).count() == 1000 and first_rows(df, ["id"], 0).count() == 0
+    assert sample_rows(df, ["n"], 300).select("n").distinct().count() == 300
+
+
+def test_malformed_training_parameters_raise():
+    from gaugemill.contracts import TrainingParams
+
+    for text in ('{"models": [{"target_mode": "plain"}]}', '{"models": ["random_forest"]}', '{"models": [{"name": "x", "size": 1}]}', '{"cv_folds": "many"}'):
+        with pytest.raises(ValueError):
+            TrainingParams.from_json(text)
+
+
+def test_categories_are_exact_or_raise(spark):
+    from gaugemill.plans.models import fit_preprocessing
+
+    df = spark.createDataFrame([("a", 1.0), ("b", float("nan")), ("c", 3.0)], "c string, x double")
+    prep = fit_preprocessing(df, ["x"], ["c"])
+    assert prep.categories["c"] == ("a", "b", "c") and prep.hashed == ()
+    assert [round(r[0], 2) for r in df.selectExpr(prep.scaled("x")).collect()] == [-1.22, 0.0, 1.22]
+    with pytest.raises(ValueError, match="hashed"):
+        fit_preprocessing(df, [], ["c"], max_categories=2)
+    assert fit_preprocessing(df, [], ["c"], max_categories=2, hashed=["c"]).hashed == ("c",)
