@@ -60,6 +60,12 @@ def pairwise(first: str, second: str, by: int, fn) -> Column:
     return F.zip_with(F.slice(first, F.lit(1), n), F.slice(second, F.lit(by + 1), n), fn)
 
 
+def numbered(docs: DataFrame, text: str = "text") -> tuple[DataFrame, list[str]]:
+    """All columns as ``c0``, ``c1``, ... with the text once more as ``text``, so that added columns can't clash."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names).withColumn("text", F.col(names[docs.columns.index(text)])), names
+
+
 def map_texts(docs: DataFrame, keep: Iterable[str], text: str, start: Callable[[], Callable[[list], list]], added: str) -> DataFrame:
     """Columns computed from whole texts, beside the columns in ``keep``, which pass through unread.
 

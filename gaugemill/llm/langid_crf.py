@@ -223,7 +223,7 @@ class Labeler:
         size = 0
         for i, text in enumerate(texts):
             words = words_of(text)
-            if words:
+            if any(any(map(str.isalpha, w)) for w in words):
                 part.append(i)
                 held.append(words)
                 size += len(words)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugemill.llm._rows import map_texts
+from gaugemill.llm._rows import map_texts, numbered
 
 # The base kinds, their patterns and lengths.
 BASE = ("assign", "access", "hex")
@@ -164,9 +164,10 @@ def redacted(text: str | None, mark: str = "[SECRET]") -> str | None:
 
 def without_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """All rows and columns of ``docs``, every secret in the text replaced by the mark."""
-    others = [c for c in docs.columns if c != text]
+    rows, names = numbered(docs, text)
 
     def start():
         return lambda texts: [pa.array([redacted(t, mark) for t in texts], pa.string())]
 
-    return map_texts(docs, others, text, start, "redacted string").select(*[F.col("redacted").alias(c) if c == text else c for c in docs.columns])
+    done = map_texts(rows, names, "text", start, "redacted string")
+    return done.select(*[F.col("redacted" if c == text else n).alias(c) for n, c in zip(names, docs.columns, strict=True)])

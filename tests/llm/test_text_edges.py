@@ -249,3 +249,18 @@ def test_marginals_equal_sums_over_labelings():
     ones = np.ones(4, int)
     assert np.allclose(langid_crf.marginals(scores, ones, moves), want)
     assert np.allclose(langid_crf.forward_backward(scores, ones, moves)[0], want)
+
+
+def test_stages_keep_columns_of_clashing_names(spark, tmp_path):
+    import corpus_pipeline
+
+    names = ["doc_id", "text", "lang", "score", "lang_pred", "redacted", "own_text", "row", "kept_0", "c1", "text_key", "node"]
+    texts = [f"the river {i} runs past the old mills and password=abcdefgh{i}" for i in range(6)]
+    frame = spark.createDataFrame([(i, t, "en", *[f"v{i}"] * 9) for i, t in enumerate(texts)], "doc_id long, " + ", ".join(f"{n} string" for n in names[1:]))
+    spark.createDataFrame([(1, "nothing like it")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = frame
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns[: len(names)] == names
+    rows = docs.collect()
+    assert rows and all(r["node"] == f"v{r['doc_id']}" == r["redacted"] and "[SECRET]" in r["text"] and r["n_tokens"] == len(r["ids"]) for r in rows)
