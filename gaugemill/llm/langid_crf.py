@@ -6,6 +6,10 @@ are stretches of documents of different languages put one after the other, so th
 Forward-backward gives each word's probabilities; a document has the language with the largest sum, and its mean is the
 score.
 
+The score compares the learned languages with each other only: transitions pull a long text to one of them whatever it is
+written in. ``Support`` tells whether a text is in a learned language at all, by the bits that its words' letters take
+in letter models of the languages; what is usual is measured on documents left out of the letter counts.
+
 Training reads at most ``PER_LANGUAGE`` documents of each language (the one with the smallest hash in each of that many
 hash buckets), scoring reads all texts whole. Equal words of a worker share their feature sums. Documents of a batch go
 through the chain together, longest first, so every step is one operation over all that are long enough.
@@ -36,15 +40,26 @@ BUCKETS = 1 << 15
 LEXICON = 200
 STEPS, RATE, RIDGE = 40, 0.1, 1e-4
 WORDS = re.compile(r"[^\W\d_]+")
+PIECES = re.compile(r"(?<=[\d_])[^\W\d_]+|[^\W\d_]+(?=[\d_])")  # letters in keys, digests, names
 MAX_WORDS = 400_000
 BATCH_WORDS = 1_000_000
 UNKNOWN = "und"
+PARTS = 5  # of the training documents; each is measured with the counts of the others
+ALPHABET = 1 << 16
+SMOOTHING = 4.0
+RUN_LENGTHS = tuple(1 << i for i in range(9))  # words for which limits are measured
+USUAL, MARGIN, LEAST_MARGIN = 0.99, 3.0, 0.5  # quantile of held-out runs, multiple of its distance from the median, bits
 
 
 def words_of(text: str | None) -> list[str]:
     return WORDS.findall(text.lower()) if text else []
 
 
+def pieces_of(text: str) -> set[str]:
+    """Words that touch a digit or an underscore; they tell nothing of the language."""
+    return set(PIECES.findall(text.lower()))
+
+
 def word_features(word: str) -> list[int]:
     """Hash buckets of affixes, n-grams and the word."""
     bound = f"^{word}$"
@@ -193,17 +208,124 @@ def fit(texts: list[str], languages: list[str], seed: int = 7) -> Field:
     return Field(names, weights[:BUCKETS].astype(np.float32), lexicons, weights[BUCKETS:].astype(np.float32), moves)
 
 
+def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all words one after the other, each with marks at both ends, and the first place of each word."""
+    text = "".join([f"^^{w}$" for w in words]).encode("utf-32-le", "surrogatepass")
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 3
+    return np.frombuffer(text, np.uint32), np.cumsum(sizes) - sizes
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Place of each wanted key among the sorted ones, or one past the end."""
+    at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+    return np.where(keys[at] == wanted, at, len(keys)) if len(keys) else np.zeros(len(wanted), np.int64)
+
+
+class Letters:
+    """Bits of a letter after the two before it, one column per language; unmet letters and sequences fall back."""
+
+    def __init__(self, counts: list[Counter]):
+        parts = [_letters(list(c)) for c in counts]
+        self.alphabet = np.unique(np.concatenate([x for x, _ in parts]))
+        self.base = len(self.alphabet) + 1
+        met = []
+        for (points, starts), c in zip(parts, counts, strict=True):
+            a, b, letter, _ = self._places(points, starts)
+            times = np.repeat(np.fromiter(c.values(), np.int64, len(c)), np.diff([*starts, len(points)]) - 2)
+            met.append(((letter, (b * self.base) + letter, (a * self.base + b) * self.base + letter), times))
+        self.keys, seen = [], []
+        for k in range(3):
+            keys = np.unique(np.concatenate([m[k] for m, _ in met]))
+            seen.append(np.stack([np.bincount(_find(keys, m[k]), times, len(keys)) for m, times in met], axis=1))
+            self.keys.append(keys)
+        self.bits, self.back = [], []
+        lower = np.full((len(self.keys[0]), len(counts)), np.log2(ALPHABET))
+        for k in range(3):
+            before, of = np.unique(self.keys[k] // self.base if k else np.zeros_like(self.keys[k]), return_inverse=True)
+            total = np.stack([np.bincount(of, x, len(before)) for x in seen[k].T], axis=1)
+            if k:
+                lower = self.bits[k - 1][_find(self.keys[k - 1], self.keys[k] % self.base**k)]
+            p = (seen[k] + SMOOTHING * np.exp2(-lower)) / (total[of] + SMOOTHING)
+            back = np.log2((total + SMOOTHING) / SMOOTHING)
+            # the last row is for what was not met
+            last = np.log2(ALPHABET) + back if k == 0 else np.zeros((1, len(counts)))
+            self.bits.append(np.concatenate([-np.log2(p), last]).astype(np.float32))
+            self.back.append((before, np.concatenate([back, np.zeros((1, len(counts)))]).astype(np.float32)))
+
+    def _places(self, points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        codes = _find(self.alphabet, points)
+        inner = np.ones(len(points), bool)
+        inner[starts] = inner[starts + 1] = False
+        at = np.flatnonzero(inner)
+        return codes[at - 2], codes[at - 1], codes[at], starts - 2 * np.arange(len(starts))
+
+    def per_word(self, words: list[str]) -> np.ndarray:
+        """Mean bits of the letters of each word, one row each."""
+        step = max(1000, 100_000 // self.bits[0].shape[1])
+        return np.concatenate([np.zeros((0, self.bits[0].shape[1]), np.float32), *(self._per_word(words[i : i + step]) for i in range(0, len(words), step))])
+
+    def _per_word(self, words: list[str]) -> np.ndarray:
+        a, b, letter, starts = self._places(*_letters(words))
+        out = self.bits[0][_find(self.keys[0], letter)]
+        for k, key, context in ((1, b * self.base + letter, b), (2, (a * self.base + b) * self.base + letter, a * self.base + b)):
+            at = _find(self.keys[k], key)
+            before, back = self.back[k]
+            out = np.where((at < len(self.keys[k]))[:, None], self.bits[k][at], out + back[_find(before, context)])
+        return np.add.reduceat(out, starts, axis=0) / np.diff([*starts, len(letter)])[:, None]
+
+
+@dataclass
+class Support:
+    """Letter models of the languages and, per language and run length, the largest median of bits that is usual."""
+
+    letters: Letters
+    limits: np.ndarray
+
+
+def fit_support(texts: list[str], languages: list[str]) -> Support | None:
+    """Letter models of all documents; limits from runs of distinct whole words measured with the counts of the other parts.
+
+    A limit is a high quantile of the held-out runs plus ``MARGIN`` times its distance from their median. A language of a single
+    document has nothing to be held out and no limit. None without any words.
+    """
+    limits, counts = [], []
+    for name in sorted(set(languages)):
+        known = [(words_of(t), t) for t, x in zip(texts, languages, strict=True) if x == name]
+        own, pieces = [w for w, _ in known if w], [pieces_of(t) for w, t in known if w]
+        counts.append(Counter(w for words in own for w in words))
+        medians: list[list[float]] = [[] for _ in RUN_LENGTHS]
+        for part in range(PARTS if len(own) > 1 else 0):
+            held = [x for x in ([w for w in dict.fromkeys(words) if w not in p] for words, p in zip(own[part::PARTS], pieces[part::PARTS], strict=True)) if x]
+            if not held:
+                continue
+            others = Letters([Counter(w for i, words in enumerate(own) if i % PARTS != part for w in words)])
+            every = others.per_word([w for words in held for w in words])[:, 0]
+            for bits in np.split(every, np.cumsum([len(words) for words in held])[:-1]):
+                for k, n in enumerate(RUN_LENGTHS):
+                    if len(bits) >= n:
+                        medians[k] += np.median(bits[: len(bits) // n * n].reshape(-1, n), axis=1).tolist()
+        row, last = [], float(ALPHABET)
+        for values in medians:
+            if values:
+                usual, middle = np.quantile(values, USUAL), np.median(values)
+                last = min(last, usual + max(LEAST_MARGIN, MARGIN * (usual - middle)))
+            row.append(last)
+        limits.append(row)
+    return Support(Letters(counts), np.array(limits)) if any(counts) else None
+
+
 class Labeler:
-    """A field with the feature sums of the words it has met."""
+    """A field with the feature sums of the words it has met, and their bits if there is a ``Support``."""
 
-    def __init__(self, model: Field):
-        self.model = model
+    def __init__(self, model: Field, support: Support | None = None):
+        self.model, self.support = model, support
         self.index: dict[str, int] = {}
         self.rows = np.zeros((0, len(model.languages)), np.float32)
+        self.bits = np.zeros((0, len(model.languages)), np.float32)
 
     def _indices(self, texts: list[list[str]]) -> np.ndarray:
         if len(self.index) > MAX_WORDS:
-            self.index, self.rows = {}, self.rows[:0]
+            self.index, self.rows, self.bits = {}, self.rows[:0], self.bits[:0]
         new = []
         for words in texts:
             for w in set(words).difference(self.index):
@@ -211,13 +333,15 @@ class Labeler:
                 new.append(w)
         if new:
             self.rows = np.concatenate([self.rows, *(self.model.potentials(new[i : i + 50_000]) for i in range(0, len(new), 50_000))])
+            if self.support:
+                self.bits = np.concatenate([self.bits, self.support.letters.per_word(new)])
         return np.fromiter((i for words in texts for i in map(self.index.__getitem__, words)), np.int64, sum(map(len, texts)))
 
-    def documents(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """Language and score of each text."""
-        names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    def documents(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language and score of each text, and whether its words are usual ones (always without a ``Support``)."""
+        names, scores, usual = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         if not self.model.languages:
-            return names, scores
+            return names, scores, usual
         part: list[int] = []
         held: list[list[str]] = []
         size = 0
@@ -228,11 +352,11 @@ class Labeler:
                 held.append(words)
                 size += len(words)
             if held and (size >= BATCH_WORDS or i == len(texts) - 1):
-                self._label(part, held, names, scores)
+                self._label(part, held, names, scores, usual, [pieces_of(texts[j]) for j in part] if self.support else [])
                 part, held, size = [], [], 0
-        return names, scores
+        return names, scores, usual
 
-    def _label(self, part: list[int], held: list[list[str]], names: list[str], scores: np.ndarray) -> None:
+    def _label(self, part: list[int], held: list[list[str]], names: list[str], scores: np.ndarray, usual: np.ndarray, pieces: list[set[str]]) -> None:
         lengths = np.array([len(w) for w in held])
         packed, by_length, active = packed_order(lengths)
         places = self._indices(held)
@@ -243,6 +367,23 @@ class Labeler:
         for r, doc in enumerate(by_length):
             names[part[doc]] = self.model.languages[best[r]]
             scores[part[doc]] = min(1.0, sums[r, best[r]] / lengths[doc])
+        if self.support:
+            # each word by the languages it is taken to be in, so text switching between learned ones is usual
+            word, at = np.unique(rank * len(self.bits) + places[packed], return_inverse=True)
+            bits = np.bincount(at, (p * self.bits[places[packed]]).sum(axis=1)) / np.bincount(at)
+            odd = [r * len(self.bits) + self.index[w] for r, d in enumerate(by_length) for w in pieces[d]]
+            whole = ~np.isin(word, odd)
+            whole |= (np.bincount(word // len(self.bits), whole, len(held)) == 0)[word // len(self.bits)]  # nothing but pieces
+            word, bits = word[whole], bits[whole]
+            doc = word // len(self.bits)
+            bits = bits[np.lexsort((bits, doc))]
+            sizes = np.bincount(doc, minlength=len(held))
+            starts = np.cumsum(sizes) - sizes
+            median = (bits[starts + (sizes - 1) // 2] + bits[starts + sizes // 2]) / 2
+            column = np.minimum(np.log2(sizes).astype(int), len(RUN_LENGTHS) - 1)
+            share = sums / sums.sum(axis=1, keepdims=True)
+            limit = (share * self.support.limits[:, column].T).sum(axis=1)
+            usual[np.array(part)[by_length]] = median <= limit
 
     def words(self, text: str) -> list[tuple[str, str, float]]:
         """(word, language, probability) of every word of a text."""
@@ -259,8 +400,8 @@ def fold(doc_id: str, folds: int = FOLDS) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS, test_fold: int = TEST_FOLD) -> Field:
-    """Fit on at most ``per_language`` documents of each language outside the test fold."""
+def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS, test_fold: int = TEST_FOLD) -> tuple[list[str], list[str]]:
+    """Texts and languages of at most ``per_language`` documents of each language outside the test fold."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", folds) != test_fold))
     at = F.xxhash64(F.col("doc_id").cast("string"))
     picked = known.groupBy("lang", F.pmod(at, F.lit(per_language)).alias("bucket")).agg(F.min(F.struct(at.alias("at"), "doc_id")).alias("first"))
@@ -268,22 +409,27 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS,
     if ids.select("lang").distinct().count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages: the sample would not be bounded")
     rows = known.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "text", "doc_id").toPandas().sort_values(["lang", "doc_id", "text"])
-    return fit(rows["text"].to_list(), rows["lang"].to_list())
+    return rows["text"].to_list(), rows["lang"].to_list()
+
+
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS, test_fold: int = TEST_FOLD) -> Field:
+    """Fit on the sampled documents."""
+    return fit(*sample(docs, per_language, folds, test_fold))
 
 
-def identified(docs: DataFrame, model: Field, keep: Iterable[str] = ("doc_id",)) -> DataFrame:
-    """``lang_pred`` and ``score`` of every row beside ``keep``."""
+def identified(docs: DataFrame, model: Field, keep: Iterable[str] = ("doc_id",), support: Support | None = None) -> DataFrame:
+    """``lang_pred`` and ``score`` of every row beside ``keep``; with a ``support`` also ``usual``."""
 
     def start():
-        labeler = Labeler(model)
+        labeler = Labeler(model, support)
 
         def label(texts: list) -> list[pa.Array]:
-            names, scores = labeler.documents(texts)
-            return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            names, scores, usual = labeler.documents(texts)
+            return [pa.array(names, pa.string()), pa.array(scores, pa.float64()), *([pa.array(usual, pa.bool_())] if support else [])]
 
         return label
 
-    return map_texts(docs, keep, "text", start, "lang_pred string, score double")
+    return map_texts(docs, keep, "text", start, "lang_pred string, score double" + (", usual boolean" if support else ""))
 
 
 def languages(docs: DataFrame) -> DataFrame:
