@@ -3,9 +3,10 @@
 Base kinds (assign, access, hex) are reported as matched. Candidates of the method are confirmed by structure:
 
 * ``jwt``: three base64url parts, the first two JSON objects, the header with an ``alg``;
-* ``pem``: an armoured block whose body is base64 of a DER sequence with consistent nested lengths;
+* ``pem``: an armoured block whose body, after header lines if there are any, is base64 of a DER sequence with consistent
+  nested lengths, of an OpenSSH key of length-prefixed fields, or, where the headers name a cipher, of whole cipher blocks;
 * ``der``: a bare base64 or hex run that decodes to such a sequence with an integer or an object id in it;
-* ``basic``: ``Basic`` or ``scheme://`` credentials that decode to ``user:password``.
+* ``basic``: ``Basic`` credentials that decode to ``user:password``, or ``scheme://user:password@`` (the user may be empty).
 
 One pass over the rows, no shuffle; each batch is read with compiled patterns whose repeats can't overlap.
 
@@ -39,11 +40,17 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 VALUE_LENGTH = 6
 
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40})KEY-----([A-Za-z0-9+/=\s]+)-----END ([A-Z0-9 ]{0,40})KEY-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40})KEY-----((?:(?!-----).)+)-----END ([A-Z0-9 ]{0,40})KEY-----", re.DOTALL)
+HEADER = re.compile(r"([A-Za-z][A-Za-z0-9-]*):[ \t]*(.*)")
+CIPHER = re.compile(r"[A-Za-z0-9-]+,[0-9A-Fa-f]{16,}")
 ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 BASIC = re.compile(r"(?<![A-Za-z])Basic ([A-Za-z0-9+/]{8,}={0,2})")
+URL = re.compile(r"""://[^\s/?#:@"'<>]*:[^\s/?#"'<>]+@""")
+SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*\Z")
 KINDS = (*BASE, "jwt", "pem", "der", "basic")
 DEPTH = 8
+OPENSSH = b"openssh-key-v1\0"
+LONGEST_SCHEME = 40
 
 
 def decoded(text: str) -> bytes | None:
@@ -91,6 +98,45 @@ def is_key(data: bytes | None) -> bool:
     return bool(tags) and tags.count(0x30) >= 1 and (0x02 in tags or 0x06 in tags) and len(tags) >= 3
 
 
+def is_openssh_key(data: bytes | None) -> bool:
+    """The fields of an OpenSSH private key (cipher, derivation, its options, public keys, private part), nothing after."""
+    if not data or not data.startswith(OPENSSH):
+        return False
+    at, fields, left = len(OPENSSH), 0, 3
+    while left:
+        if at + 4 > len(data):
+            return False
+        size, at = int.from_bytes(data[at : at + 4], "big"), at + 4
+        at, fields, left = at + size, fields + 1, left - 1
+        if at > len(data):
+            return False
+        if fields == 3:  # the number of public keys, each a field, then the private part
+            n, at = int.from_bytes(data[at : at + 4], "big"), at + 4
+            if not 1 <= n <= len(data):
+                return False
+            left = n + 1
+    return at == len(data)
+
+
+def is_armoured_key(body: str) -> bool:
+    """Header lines (each may go on in indented lines), then base64 of a key."""
+    lines, headers, at = body.strip().splitlines(), {}, 0
+    while at < len(lines) and ((m := HEADER.match(lines[at])) or (headers and lines[at][:1] in (" ", "\t") and lines[at].strip())):
+        if m:
+            headers[m[1].lower()] = m[2].strip()
+        at += 1
+    data = decoded("".join("".join(lines[at:]).split()))
+    if "ENCRYPTED" in headers.get("proc-type", "") and CIPHER.fullmatch(headers.get("dek-info", "")):
+        return bool(data) and len(data) % 8 == 0
+    return is_key(data) or is_openssh_key(data)
+
+
+def url_start(text: str, at: int) -> int | None:
+    """Where the scheme before ``at`` starts; None if there is none."""
+    m = SCHEME.search(text[max(0, at - LONGEST_SCHEME) : at])
+    return None if m is None else at - len(m[0])
+
+
 def is_signed_token(header: str, claims: str) -> bool:
     for part, needed in ((header, "alg"), (claims, None)):
         data = decoded(part + "=" * (-len(part) % 4))
@@ -123,10 +169,12 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
     if "eyJ" in text:
         found += [("jwt", *m.span()) for m in JWT.finditer(text) if is_signed_token(m[1], m[2])]
     if "-----BEGIN" in text:
-        found += [("pem", *m.span()) for m in PEM.finditer(text) if is_key(decoded("".join(m[2].split())))]
+        found += [("pem", *m.span()) for m in PEM.finditer(text) if is_armoured_key(m[2])]
     found += [("der", *m.span()) for m in ENCODED.finditer(text) if is_key(decoded(m[0]))]
     if "Basic " in text:
         found += [("basic", *m.span()) for m in BASIC.finditer(text) if is_credentials(decoded(m[1]))]
+    if "://" in text:
+        found += [("basic", at, m.end()) for m in URL.finditer(text) if (at := url_start(text, m.start())) is not None]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

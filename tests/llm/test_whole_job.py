@@ -30,3 +30,36 @@ def test_pipeline_language_stage_rejects_other_languages_and_junk(spark, docs):
     rows += [(i, t, None, None, None) for i, t in (clean | bad).items()]
     kept = {r["doc_id"] for r in corpus_pipeline.languages(spark, spark.createDataFrame(rows, docs().schema), "").collect()}
     assert kept == {*range(120), *clean}
+
+
+def test_secrets_by_structure_of_urls_and_armoured_blocks():
+    import base64
+    import time
+
+    from gaugemill.llm import secret_scan
+
+    def field(data):
+        return len(data).to_bytes(4, "big") + data
+
+    def block(label, data, headers=""):
+        text = base64.b64encode(data).decode()
+        lines = "\n".join(text[i : i + 64] for i in range(0, len(text), 64))
+        return f"-----BEGIN {label}-----\n{headers}{lines}\n-----END {label}-----"
+
+    kinds = lambda t: {s[0] for s in secret_scan.find_secrets(t)}
+    url = "see https://user:pass-word@host.example/path, http://host:80/a@b and mailto://user@host"
+    assert secret_scan.find_secrets(url) == [("basic", 4, url.index("host."))]
+    assert secret_scan.redacted(url).startswith("see [SECRET]host.example/path, http://host:80/a@b")
+    assert kinds("redis://:sesame99@cache 1http://a:b@c") == {"basic"} and not kinds("://a:b@c")
+    ssh = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(bytes(51)) + field(bytes(range(136)))
+    assert kinds(block("OPENSSH PRIVATE KEY", ssh)) == {"pem"}
+    assert not kinds(block("OPENSSH PRIVATE KEY", ssh[:-1])) and not kinds(block("OPENSSH PRIVATE KEY", ssh + b"x"))
+    der = bytes([0x30, 0x26, 0x02, 0x01, 0x00, 0x30, 0x0D, 0x06, 0x09, *range(9), 0x05, 0x00, 0x04, 0x12, *range(18)])
+    assert "pem" in kinds(block("RSA PRIVATE KEY", der, "Comment: a key,\n of mine\n\n"))
+    cipher = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n"
+    assert kinds(block("RSA PRIVATE KEY", bytes(range(64)), cipher)) == {"pem"}
+    assert "pem" not in kinds(block("RSA PRIVATE KEY", bytes(range(63)), cipher)) | kinds(block("RSA PRIVATE KEY", bytes(range(64))))
+    start = time.monotonic()
+    for part in ("-----BEGIN KEY-----", "a://b:", "://", "a" * 50, "://u:"):
+        secret_scan.find_secrets(part * 20_000)
+    assert time.monotonic() - start < 20
