@@ -17,9 +17,13 @@ Equal sets are one node, so copies are never compared. Within a key no pairs of
 Components come from alternating large-star and small-star steps on (node, neighbour) rows: minima per node by grouped
 aggregation, then a join back, never a list of neighbours.
 
-Defined results: a NULL text and a text without words have an empty set, are linked with nothing and are kept; rows of
-one id count as one document; rows without id are linked but can't be a component's name unless all are; ties go to the
-smallest id; other columns are not read.
+Nodes are numbered sets; a row is named by the hashes of its id and of its text, so rows without id and rows of one id
+with several texts are told apart.
+
+Defined results: a NULL text and a text without words have an empty set, are linked with nothing and are kept; an id with
+several texts is as many documents; a component is named by its smallest id, NULL if no row has one, and its own row is
+the one of the smallest id (rows without id last) and then the smallest text hash; of equal ids and texts ``kept`` is
+alike and ``deduplicated`` keeps one row; other columns are not read, but for which of these rows that is.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugemill.llm._rows import map_texts, sieve, sifted, written
+from gaugemill.llm._rows import map_texts, numbered, sieve, sifted, text_key, written
 
 WIDTH = 5
 SIMILAR, OUT_OF = 80, 100
@@ -45,6 +49,7 @@ KEY_ROWS = 48
 BLOCK_ROWS = 256
 BLOCK = 2048
 MAX_WORDS = 500_000
+KEY = ["id_key", "text_key"]
 
 _rng = np.random.default_rng(20240607)
 FACTORS = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -102,7 +107,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, set_key, n_shingles, bands (keys), marks (low bytes of the minima) of every row."""
+    """doc_id, the row's KEY, set_key, n_shingles, bands (keys), marks (low bytes of the minima) of every row."""
 
     def start():
         return sign
@@ -123,7 +128,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
         sizes, keys, bands, marks = zip(*rows, strict=True)
         return [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())]
 
-    return map_texts(docs, ["doc_id"], "text", start, "n_shingles long, set_key binary, bands array<long>, marks binary")
+    return map_texts(docs, ["doc_id", *KEY], "text", start, "n_shingles long, set_key binary, bands array<long>, marks binary")
 
 
 def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -137,13 +142,12 @@ def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 ma, mb = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(-1, HASHES) for c in ("ma", "mb"))
                 yield batch.loc[(ma == mb).mean(axis=1) >= ESTIMATE, ["a", "b"]]
 
-    kind = nodes.schema["node"].dataType.simpleString()
-    return both.select("a", "b", "ma", "mb").mapInPandas(agree, f"a {kind}, b {kind}")
+    return both.select("a", "b", "ma", "mb").mapInPandas(agree, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """Pairs that are similar on their full sets. Only texts of nodes in pairs are moved."""
-    texts = _texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), docs)
+    texts = _texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), nodes, docs)
     both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,15 +160,21 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
                 keep.append(similar(items, shingles(r.tb, width)))
             yield batch.loc[keep, ["a", "b"]]
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return both.select("a", "b", "ta", "tb").mapInPandas(compare, f"a {kind}, b {kind}")
+    return both.select("a", "b", "ta", "tb").mapInPandas(compare, "a long, b long")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """The rows with their KEY; NULL ids have a hash like any other value."""
+    return docs.withColumns({"id_key": F.xxhash64("doc_id"), "text_key": text_key("text")})
 
 
-def _texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """node and text of the wanted nodes; other rows are dropped by a bitmap where they are read."""
-    bitmap = sieve(wanted.select(F.xxhash64("node").alias("key")), "key")
-    texts = sifted(docs.select(F.col("doc_id").alias("node"), "text"), F.xxhash64("node"), bitmap)
-    return written(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "candidate-texts")
+def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node and text of the wanted nodes, from one row each; other rows are dropped by a bitmap where they are read."""
+    named = nodes.select("node", "own.id_key", "own.text_key").join(wanted, "node", "left_semi")
+    named = written(named, "candidate-rows")
+    bitmap = sieve(named.select(F.xxhash64(*KEY).alias("key")), "key")
+    texts = sifted(docs.select(*KEY, "text"), F.xxhash64(*KEY), bitmap).dropDuplicates(KEY)
+    return written(texts.join(named, KEY).select("node", "text"), "candidate-texts")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -222,7 +232,7 @@ def _with_left_overs(labels: DataFrame | None, many: DataFrame, nodes: DataFrame
     blocks = placed.groupBy("main").agg(
         F.ceil(F.count_if("left_over") / BLOCK_ROWS).cast("int").alias("n_left"), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("n_all")
     ).where("n_left > 0")
-    texts = _texts(placed.select("node").distinct(), docs)
+    texts = _texts(placed.select("node").distinct(), nodes, docs)
     rows = placed.join(blocks, "main").join(nodes.select("node", "marks"), "node").join(texts, "node")
     block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     cells = ["main", "left_block", "block"]
@@ -230,7 +240,6 @@ def _with_left_overs(labels: DataFrame | None, many: DataFrame, nodes: DataFrame
     asked = rows.where("left_over").withColumn("left_block", block("n_left")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_all") - 1)))
     given = rows.withColumn("block", block("n_all")).withColumn("left_block", F.explode(F.sequence(F.lit(0), F.col("n_left") - 1)))
     both = asked.select(*cells, F.lit(True).alias("asks"), *content).unionByName(given.select(*cells, F.lit(False).alias("asks"), *content))
-    kind = nodes.schema["node"].dataType.simpleString()
 
     def compare(cell: pd.DataFrame) -> pd.DataFrame:
         left, right = (cell[cell["asks"] == side].sort_values("node") for side in (True, False))
@@ -256,7 +265,7 @@ def _with_left_overs(labels: DataFrame | None, many: DataFrame, nodes: DataFrame
                         done.add(component)
         return pd.DataFrame(found, columns=["a", "b"])
 
-    links = written(both.groupBy(*cells).applyInPandas(compare, f"a {kind}, b {kind}"), "left-over-links")
+    links = written(both.groupBy(*cells).applyInPandas(compare, "a long, b long"), "left-over-links")
     if links.isEmpty():
         return labels
     return components(links if labels is None else links.union(labels.toDF("a", "b")))
@@ -277,7 +286,7 @@ def _extended(links, labels, pairs: DataFrame, nodes: DataFrame, docs: DataFrame
     likely = written(estimated(pairs, nodes), f"likely-{name}")
     if likely.isEmpty():
         return links, labels
-    found = written(confirmed(likely, docs, width), f"confirmed-{name}")
+    found = written(confirmed(likely, nodes, docs, width), f"confirmed-{name}")
     if found.isEmpty():
         return links, labels
     # a node's component stands for the links found before
@@ -285,23 +294,45 @@ def _extended(links, labels, pairs: DataFrame, nodes: DataFrame, docs: DataFrame
     return links, components(links)
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and kept (the component's own row) of every row."""
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
+def judged(rows: DataFrame, width: int) -> DataFrame:
+    """doc_id, KEY, n_shingles, component_id and kept of every row with a doc_id, a KEY and a text."""
     signed = written(signatures(rows, width), "signatures")
-    nodes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
-    nodes = written(nodes, "nodes")
-    linked = nodes.where("node is not null").select("node", "bands", "marks")
-    labels = similar_links(linked, rows, width)
-    firsts = nodes.select("set_key", "node")
+    own = F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "text_key", "id_key")
+    nodes = signed.where("set_key is not null").groupBy("set_key").agg(F.min(own).alias("own"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
+    # numbers hold once they are written
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    labels = similar_links(nodes.select("node", "own", "bands", "marks"), rows, width)
+    names = nodes.select("set_key", "node", "own")
     if labels is not None:
-        firsts = firsts.join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("node"))
-    out = signed.select("doc_id", "n_shingles", "set_key").join(firsts, "set_key", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        labels = written(labels.union(labels.select("component", "component").distinct()), "components")
+        firsts = labels.join(nodes.select("node", "own"), "node").groupBy("component").agg(F.min("own").alias("first"))
+        firsts = labels.join(firsts, "component").select("node", "first")
+        names = names.join(firsts, "node", "left").select("set_key", F.coalesce("first", "own").alias("own"))
+    names = names.select("set_key", F.col("own.doc_id").alias("name"), *[F.col(f"own.{k}").alias(f"own_{k}") for k in KEY])
+    out = signed.select("doc_id", *KEY, "n_shingles", "set_key").join(names, "set_key", "left")
+    kept = F.col("set_key").isNull() | ((F.col("id_key") == F.col("own_id_key")) & (F.col("text_key") == F.col("own_text_key")))
+    return out.select("doc_id", *KEY, "n_shingles", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("name")).alias("component_id"), kept.alias("kept"), F.col("set_key").isNull().alias("empty"))
+
+
+def near_duplicates(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id and kept (the component's own row) of every row."""
+    rows = keyed(docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")))
+    return judged(rows, width).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The rows of ``docs`` with one document of each component left, all columns kept."""
-    gone = written(near_duplicates(docs, width).where(~F.col("kept")).select(F.col("doc_id").alias("_doc_id")).distinct(), "duplicates")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_doc_id"]), "left_anti")
+    """The rows of ``docs`` with one row of each component left, all columns kept."""
+    rows, names = numbered(docs)
+    rows = keyed(rows.withColumn("doc_id", F.col(names[docs.columns.index("doc_id")])))
+    found = judged(rows.select("doc_id", *KEY, "text"), width).where("not empty")
+    marks = found.groupBy(*KEY).agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("not kept or n > 1")
+    marks = written(marks, "duplicates")
+    out = rows.join(marks.select(*KEY), KEY, "left_anti").select(*names)
+    repeated = marks.where("kept").select(*KEY)
+    if not repeated.isEmpty():
+        # rows of one id and text are reduced where they are read; they can differ in other columns only
+        again = sifted(rows, F.xxhash64(*KEY), sieve(repeated.select(F.xxhash64(*KEY).alias("key")), "key"))
+        row = F.struct(*names)
+        again = again.groupBy(*KEY).agg(F.min_by(row, F.to_json(row)).alias("row")).join(repeated, KEY, "left_semi")
+        out = out.union(again.select("row.*"))
+    return out.toDF(*docs.columns)

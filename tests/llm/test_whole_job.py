@@ -63,3 +63,24 @@ def test_secrets_by_structure_of_urls_and_armoured_blocks():
     for part in ("-----BEGIN KEY-----", "a://b:", "://", "a" * 50, "://u:"):
         secret_scan.find_secrets(part * 20_000)
     assert time.monotonic() - start < 20
+
+
+def test_near_duplicates_keep_one_row_of_each_component(spark, docs):
+    from gaugemill.llm import near_dup
+
+    texts = [" ".join(f"{name}{i}" for i in range(60)) for name in "abcdef"]
+    near = texts[5] + " more"
+    rows = [
+        (1, texts[0]), (None, texts[0]), (None, texts[1]),  # a copy without id, and an unrelated row without id
+        (None, texts[2]), (None, texts[2]), (None, texts[2].upper()),  # copies of which none has an id
+        (7, texts[0]), (7, texts[3]), (8, texts[3]),  # one id with two texts, each with a copy
+        (9, texts[4]), (9, texts[4]), (9, texts[4]),  # repeated rows
+        (None, near), (12, texts[5]), (None, None), (None, None), (13, ""), (13, ""),
+    ]
+    kept = [(r["doc_id"], (r["text"] or "").lower()) for r in near_dup.deduplicated(docs(*rows)).collect()]
+    want = [(1, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (9, texts[4]), (12, texts[5]), (None, ""), (None, ""), (13, ""), (13, "")]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+    found = near_dup.near_duplicates(docs(*rows)).collect()
+    assert len(found) == len(rows) and {r["component_id"] for r in found if r["doc_id"] == 7} == {1, 7}
+    other = spark.createDataFrame([(1, texts[0], "x"), (1, texts[0], "y")], "doc_id long, text string, lang string")
+    assert [tuple(r) for r in near_dup.deduplicated(other).collect()] == [(1, texts[0], "x")]
