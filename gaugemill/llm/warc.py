@@ -11,6 +11,9 @@ Reading. Each archive is parsed in a stream, one record at a time. Whole records
 the pieces of segmented records are shuffled, by origin, ordered by segment number, checked against the total length
 and joined. Chunked framing is decoded and the payload digest compared.
 
+Record ids are made of the page id, the payload's length and digest, and, but for the first of the rows that agree in
+these, a row number, so no two written records share one and a revisit names the id of its response.
+
 Defined results: a NULL payload is an empty one; equal rows of one id are written once each; a row without id gets the
 id text ``null``; a damaged, missing or repeated segment raises.
 """
@@ -93,14 +96,18 @@ def record_id(seed: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, seed)}>"
 
 
-def page_records(page_id: str, url: str, payload: bytes, digest: str, refers_to: str | None, segment_bytes: int) -> Iterator[bytes]:
-    """The records of one page: a revisit, a response, or a response with its continuations."""
-    own = record_id(f"page:{page_id}")
+def page_records(page_id: str, url: str, payload: bytes, digest: str, refers_to: str | None, segment_bytes: int, row: str = "") -> Iterator[bytes]:
+    """The records of one page: a revisit, a response, or a response with its continuations.
+
+    ``row`` tells rows of one page id and payload apart; it is empty for the first.
+    """
+    seed = lambda page, row="", part="": record_id(f"{len(payload)}:{digest}:{row}:{part}:{page}")
+    own = seed(page_id, row)
     common = [("WARC-Record-ID", own), ("WARC-Date", DATE), ("WARC-Target-URI", url), ("X-Page-ID", page_id), ("WARC-Payload-Digest", f"sha1:{digest}")]
     if refers_to is not None:
         head = b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n" % len(payload)
         more = [("WARC-Type", "revisit"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-                ("WARC-Refers-To", record_id(f"page:{refers_to}")), ("X-Refers-To-Page-ID", refers_to)]
+                ("WARC-Refers-To", seed(refers_to)), ("X-Refers-To-Page-ID", refers_to)]
         yield record([*more, *common], head)
         return
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(payload)
@@ -110,7 +117,7 @@ def page_records(page_id: str, url: str, payload: bytes, digest: str, refers_to:
     pieces = [block[at : at + segment_bytes] for at in range(0, len(block), segment_bytes)]
     yield record([("WARC-Type", "response"), *common, ("WARC-Segment-Number", "1")], pieces[0])
     for n, piece in enumerate(pieces[1:], 2):
-        fields = [("WARC-Type", "continuation"), ("WARC-Record-ID", record_id(f"page:{page_id}:{n}")), ("WARC-Date", DATE), ("WARC-Target-URI", url),
+        fields = [("WARC-Type", "continuation"), ("WARC-Record-ID", seed(page_id, row, str(n))), ("WARC-Date", DATE), ("WARC-Target-URI", url),
                   ("WARC-Segment-Origin-ID", own), ("WARC-Segment-Number", str(n))]
         if n == len(pieces):
             fields.append(("WARC-Segment-Total-Length", str(len(block))))
@@ -122,10 +129,22 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     text = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(F.coalesce(F.col(page_id).cast("string"), F.lit("null")).alias("page_id"), F.col(page_id).alias("rank"), F.coalesce(F.col(url), F.lit("")).alias("url"), text.alias("html"))
     size, sha = F.octet_length("html").alias("size"), F.sha1(F.col("html").cast("binary")).alias("sha")
-    firsts = rows.select("rank", size, sha).where(F.col("size") >= min_bytes).groupBy("size", "sha").agg(F.count(F.lit(1)).alias("copies"), F.min("rank").alias("first"))
-    firsts = written(firsts.where("copies > 1").select("size", "sha", F.coalesce(F.col("first").cast("string"), F.lit("null")).alias("first")), "repeated-payloads")
-    known = written(rows.select("page_id", size, sha).join(firsts, ["size", "sha"]).where("page_id <> first").select("page_id", "size", "sha", "first").distinct(), "revisits")
-    planned = rows.select("page_id", "url", "html", size, sha).join(known, ["page_id", "size", "sha"], "left").select("page_id", "url", "html", "first")
+    key = ["page_id", "size", "sha"]
+    keys = written(rows.select("page_id", "rank", size, sha).groupBy(*key).agg(F.count(F.lit(1)).alias("copies"), F.min("rank").alias("rank")), "payload-keys")
+    firsts = keys.where(F.col("size") >= min_bytes).groupBy("size", "sha").agg(F.sum("copies").alias("all_copies"), F.min("rank").alias("first"))
+    firsts = written(firsts.where("all_copies > 1").select("size", "sha", F.coalesce(F.col("first").cast("string"), F.lit("null")).alias("first")), "repeated-payloads")
+    known = keys.join(firsts, ["size", "sha"], "left").select(*key, F.when(F.col("page_id") != F.col("first"), F.col("first")).alias("first"), (F.col("copies") > 1).alias("again"))
+    known = written(known.where("first is not null or again"), "revisits")
+    planned = rows.select("page_id", "url", "html", size, sha).join(known, key, "left")
+    columns = ["page_id", "url", "html", "first"]
+    if known.where("again").isEmpty():
+        planned = planned.select(*columns, F.lit("").alias("row"))
+    else:
+        # rows of one page id and payload get numbers, which hold once they are written; the smallest is the first's
+        repeated = written(planned.where("again").withColumn("row", F.monotonically_increasing_id()), "repeated-rows")
+        leaders = repeated.groupBy(*key).agg(F.min("row").alias("row")).select("row", F.lit("").alias("leader"))
+        repeated = repeated.join(leaders, "row", "left").select(*columns, F.coalesce("leader", F.col("row").cast("string")).alias("row"))
+        planned = planned.where("again is null or not again").select(*columns, F.lit("").alias("row")).union(repeated)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, folder = pafs.FileSystem.from_uri(path)
@@ -138,7 +157,7 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
                 for row in batch.itertuples(index=False):
                     payload = row.html.encode("utf-8")
                     refers_to = row.first if isinstance(row.first, str) else None
-                    for data in page_records(row.page_id, row.url, payload, sha1_name(payload), refers_to, segment_bytes):
+                    for data in page_records(row.page_id, row.url, payload, sha1_name(payload), refers_to, segment_bytes, row.row):
                         pack = zlib.compressobj(6, zlib.DEFLATED, 31)
                         size += out.write(pack.compress(data) + pack.flush())
                         n += 1

@@ -84,3 +84,22 @@ def test_near_duplicates_keep_one_row_of_each_component(spark, docs):
     assert len(found) == len(rows) and {r["component_id"] for r in found if r["doc_id"] == 7} == {1, 7}
     other = spark.createDataFrame([(1, texts[0], "x"), (1, texts[0], "y")], "doc_id long, text string, lang string")
     assert [tuple(r) for r in near_dup.deduplicated(other).collect()] == [(1, texts[0], "x")]
+
+
+def test_archives_of_repeated_ids_and_pages_without_id(spark, tmp_path):
+    from gaugemill.llm import warc
+
+    big = ["é" * 90_000, "b" * 150_000, "c" * 200_000, "d" * 150_000]
+    pages = [(1, big[0]), (1, big[0]), (1, big[1]), (2, big[0]), (2, big[0]), (None, big[2]), (None, big[2]), (None, big[3]), (3, "small"), (3, "small"), (4, "small"), (5, "one")]
+    frame = spark.createDataFrame([(i, "u", h) for i, h in pages], "page_id long, url string, html string").repartition(3)
+    uri = f"file://{tmp_path}/warc"
+    manifest = warc.write_archives(frame, uri)
+    found = sorted((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"] or "") for r in warc.read_payloads(spark, manifest, uri).collect())
+    revisits = {(2, big[0]): "1", (4, "small"): "3"}
+    assert found == sorted((str(i) if i else "null", len(h.encode()), "revisit" if (i, h) in revisits else "response", revisits.get((i, h), "")) for i, h in pages)
+    fields = [f for m in manifest.collect() for f, _ in warc.parse(open(m["path"], "rb"))]
+    ids = [f["WARC-Record-ID"] for f in fields]
+    assert len(set(ids)) == len(ids)
+    responses = {f["WARC-Record-ID"]: f for f in fields if f["WARC-Type"] == "response"}
+    named = [(f, responses[f["WARC-Refers-To"]]) for f in fields if f["WARC-Type"] == "revisit"]
+    assert len(named) == 3 and all(f["WARC-Payload-Digest"] == r["WARC-Payload-Digest"] and r["X-Page-ID"] == f["X-Refers-To-Page-ID"] for f, r in named)
