@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugemill.llm import bpe_reuse, decontaminate, langid_crf, near_dup, pii, quality_gam, quality_rules, secret_scan, token_files, warc
+from gaugemill.llm import bpe_reuse, decontaminate, digest_index, filter_audit, langid_crf, near_dup, pii, quality_gam, quality_rules, secret_scan, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("page_id").try_cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
 
 
+def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_index.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(spark, f"{sf_dir}/documents.parquet", _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality_gam": op1_quality_gam,
     "op2_language_crf": op2_language_crf,
@@ -72,6 +80,8 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_secret_scan": op9_secret_scan,
     "op10_warc": op10_warc,
+    "op11_exact_duplicates": op11_exact_duplicates,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 
@@ -95,6 +105,27 @@ def _stop_words_sql() -> str:
     return ", ".join(f"'{w}'" for w in words)
 
 
+def _audit_sql() -> str:
+    """Rows per part and mask against a table of all orders and steps; every figure is counted from the masks."""
+    steps = ", ".join(f"('{order}', {step}, {1 << place}, {before})" for order, step, place, before, _ in filter_audit.orders())
+    return rf"""WITH
+d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, {_BLANK_WORDS} AS ws FROM d),
+m AS (SELECT part, w.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good, w.doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic,
+  CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END
+  + CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) THEN 4 ELSE 0 END + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+  + CASE WHEN min(doc_id) OVER (PARTITION BY t) < doc_id THEN 16 ELSE 0 END AS mask FROM w),
+counts AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM m GROUP BY part, mask),
+steps(filter_order, step, own, before) AS (VALUES {steps}),
+figures AS (SELECT part, filter_order, step, own, sum(CASE WHEN mask & (own | before) = 0 THEN n ELSE 0 END) AS kept,
+  sum(CASE WHEN mask & before = 0 AND mask & own > 0 THEN n ELSE 0 END) AS removed, sum(CASE WHEN mask & before > 0 AND mask & own > 0 THEN n ELSE 0 END) AS redundant,
+  sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN mask & before = 0 AND mask & own > 0 THEN g ELSE 0 END) AS good_lost,
+  sum(CASE WHEN mask & before = 0 AND mask & own > 0 THEN x ELSE 0 END) AS toxic_lost FROM counts, steps GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM figures"""
+
+
 ORACLE: dict[str, str] = {
     "op3_decontamination": rf"""WITH
 dw AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
@@ -134,4 +165,8 @@ links AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q
 reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
 named AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM named LEFT JOIN sizes USING (doc_id)""",
+    "op11_exact_duplicates": """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op12_filter_audit": _audit_sql(),
 }
