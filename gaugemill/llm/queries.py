@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugemill.llm import bpe_reuse, decontaminate, digest_index, filter_audit, langid_crf, near_dup, pii, quality_gam, quality_rules, secret_scan, token_files, warc
+from gaugemill.llm import bpe_reuse, decontaminate, digest_index, divergence, filter_audit, langid_crf, near_dup, pii, quality_gam, quality_rules, secret_scan, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(spark, f"{sf_dir}/documents.parquet", _table(spark, sf_dir, "labels"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_gam": op1_quality_gam,
     "op2_language_crf": op2_language_crf,
@@ -82,6 +86,7 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_exact_duplicates": op11_exact_duplicates,
     "op12_filter_audit": op12_filter_audit,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 
@@ -169,4 +174,22 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
   row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
     "op12_filter_audit": _audit_sql(),
+    "op13_source_divergence": rf"""WITH
+d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWERED} AS t FROM documents),
+w AS (SELECT lang, source, row_number() OVER () AS row, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS ln FROM (SELECT lang, term, row, count(*) AS c FROM w GROUP BY ALL) GROUP BY ALL HAVING count(*) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+lang_totals AS (SELECT lang, term, sum(n) AS ln FROM n SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+cells AS (SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n, k.ln, count(*) OVER (PARTITION BY g.lang, g.source) AS v
+  FROM g JOIN lang_totals k USING (lang) LEFT JOIN n USING (lang, source, term)),
+totals AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total, sum(ln) OVER (PARTITION BY lang, source) AS lang_total FROM cells),
+p AS (SELECT lang, source, term, n, CAST(1 + 1000000000 * CAST(n + 2 AS HUGEINT) // CAST(total + 2 * v AS HUGEINT) AS HUGEINT) AS p,
+  CAST(1 + 1000000000 * CAST(ln + 2 AS HUGEINT) // CAST(lang_total + 2 * v AS HUGEINT) AS HUGEINT) AS q FROM totals),
+prices AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN prices x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10""",
 }
