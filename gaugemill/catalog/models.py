@@ -26,6 +26,7 @@ from gaugemill.plans.importance import permutation_importance as importance_of
 from gaugemill.plans.models import cross_validated_rmse, fit_contract_model, fit_preprocessing, load_model, preprocessing_stages
 from gaugemill.plans.scoring import predict_full as run_full
 from gaugemill.plans.scoring import predict_minimal as run_minimal
+from gaugemill.plans.scoring import predict_requests as run_requests
 from gaugemill.plans.scoring import score, scored_rows
 from gaugemill.plans.training import train, train_baseline
 from gaugemill.session import work_dir
@@ -158,7 +159,7 @@ UNION ALL SELECT c_custkey, nation, -1, 'balance', '1', {len(ACCOUNTS.final)},
     CASE WHEN urgent_orders IS NULL THEN 'urgent_orders' END], lambda x: x IS NOT NULL), ',')
 FROM features WHERE NOT {RULES_SQL}""")
 def predict_full(spark, sf_dir):
-    """Checked rows predicted, refused rows with their reasons."""
+    """Checked rows predicted, refused rows with their reasons."""
     model = _knn(spark, sf_dir)
     done, refused = run_full(
         _unlabeled(spark, sf_dir), nations(spark, sf_dir), model, ACCOUNTS, INFO, ACCOUNT_RULES, keep=["c_custkey"]
@@ -224,6 +225,47 @@ def predict_minimal(spark, sf_dir):
     return done.unionByName(refused.select("c_custkey", F.lit(None).cast("double").alias("predicted_price"), F.concat_ws(",", "broken").alias("broken")))
 
 
+# requests of five customers each, one per nation, and one of all customers taken often enough to pass the limit
+REQUESTS_SQL = """asked AS (
+  SELECT 'five-' || CAST(c_custkey // 5 AS VARCHAR) AS request, * FROM features
+  UNION ALL SELECT 'nation-' || nation, * FROM features
+  UNION ALL SELECT CASE WHEN row_number() OVER (ORDER BY c_custkey) <= 501 THEN 'many' ELSE 'rest' END, * FROM features)"""
+
+
+@query(f"""{FACTS_SQL}, {REQUESTS_SQL},
+sizes AS (SELECT request, count(*) AS n_rows, count(*) FILTER (NOT {RULES_SQL}) AS n_bad,
+  coalesce(bool_or(NOT coalesce(avg_price > 50000, false)), false) AS bad_avg, coalesce(bool_or(NOT coalesce(max_price > 0 AND max_price <= 495000, false)), false) AS bad_max,
+  bool_or(open_price IS NULL) AS bad_open FROM asked GROUP BY request UNION ALL SELECT 'silent', 0, 0, false, false, false),
+valid AS (SELECT * FROM features WHERE {RULES_SQL}), {_knn_sql('valid')},
+answers AS (SELECT request, sum(predicted_price) AS total, count(*) AS n_answers FROM asked JOIN predicted USING (c_custkey) GROUP BY request)
+SELECT request, n_rows, n_bad, CASE WHEN n_rows = 0 THEN 'no rows' WHEN n_rows > 500 THEN CAST(n_rows AS VARCHAR) || ' rows, at most 500 allowed'
+    WHEN n_bad > 0 THEN CAST(n_bad AS VARCHAR) || ' rows break a rule' ELSE '' END AS reason,
+  CAST(bad_avg AS INTEGER) + 2 * CAST(bad_max AS INTEGER) + 4 * CAST(bad_open AS INTEGER) AS broken_sum,
+  CASE WHEN n_rows BETWEEN 1 AND 500 AND n_bad = 0 THEN n_answers ELSE 0 END AS n_answers,
+  round(CASE WHEN n_rows BETWEEN 1 AND 500 AND n_bad = 0 THEN total ELSE 0 END, 3) AS predicted_sum
+FROM sizes LEFT JOIN answers USING (request)""")
+def predict_requests(spark, sf_dir):
+    """Requests answered or refused as a whole: too many rows, one bad row among good ones, no rows."""
+    customers = _unlabeled(spark, sf_dir)
+    many = customers.select("c_custkey").orderBy("c_custkey").limit(501).withColumn("first", F.lit(True))
+    nation = F.lpad(F.col("nation").cast("string"), 5, "0")
+    asked = customers.withColumn("request", F.concat(F.lit("five-"), F.floor(F.col("c_custkey") / 5).cast("string")))
+    asked = asked.unionByName(customers.withColumn("request", F.concat(F.lit("nation-"), nation)))
+    asked = asked.unionByName(
+        customers.join(many, "c_custkey", "left").withColumn("request", F.when(F.col("first"), "many").otherwise("rest")).drop("first")
+    )
+    known = asked.select("request").unionByName(spark.createDataFrame([("silent",)], "request string"))
+    answered, verdicts = run_requests(
+        asked, "request", nations(spark, sf_dir), _knn(spark, sf_dir), ACCOUNTS, INFO, ACCOUNT_RULES, ["c_custkey"], expected=known
+    )
+    totals = answered.groupBy("request").agg(F.count(F.lit(1)).alias("n_answers"), F.sum("predicted_price").alias("total"))
+    broken = sum((F.array_contains("broken", c).cast("int") * n for c, n in (("avg_price", 1), ("max_price", 2), ("open_price", 4))), F.lit(0))
+    return verdicts.join(totals, "request", "left").select(
+        "request", "n_rows", "n_bad", F.coalesce("reason", F.lit("")).alias("reason"), broken.alias("broken_sum"),
+        F.coalesce("n_answers", F.lit(0)).alias("n_answers"), F.round(F.coalesce("total", F.lit(0.0)), 3).alias("predicted_sum"),
+    )
+
+
 @query(f"""WITH e AS (SELECT vec_id, CAST(label AS DOUBLE) AS y, embedding AS v FROM embeddings),
 train AS (SELECT * FROM e WHERE NOT {in_share_sql('vec_id', 0.2, 42)}), 
 pairs AS (SELECT q.vec_id AS q_id, t.vec_id AS t_id, t.y, list_distance(CAST(q.v AS DOUBLE[]), CAST(t.v AS DOUBLE[])) AS d FROM e q, train t),

@@ -12,7 +12,12 @@ from gaugemill.operators.enrich import enrich
 from gaugemill.plans.importance import permutation_importance as importance_of
 from gaugemill.plans.models import fit_preprocessing
 from gaugemill.plans.monitoring import monitor
+from gaugemill.plans.monitoring import monitoring_job as run_monitoring
 from gaugemill.plans import registry
+from gaugemill.session import work_dir
+from gaugemill.sources.readers import RawTables
+from gaugemill.sources.reports import read_reports, report_summary
+from gaugemill.sources.writers import write_rows
 
 QUERIES, ORACLE = {}, {}
 
@@ -435,7 +440,7 @@ SELECT '1.0' AS report_version, true AS ok, 0 AS n_errors, (SELECT count(*) FROM
   (SELECT round(avg(total_price / 100), 4) FROM rich) AS current_mean, (SELECT round(avg(balance), 4) FROM rich) AS baseline_mean,
   'ok' AS status, (SELECT count(*) FROM rich) AS n_samples, (SELECT round(avg(abs(balance - total_price / 100)), 4) FROM rich) AS mae""")
 def monitoring_report(spark, sf_dir):
-    """All accounts against two market segments, estimates against balances, flattened."""
+    """W5 on frames: all accounts against two market segments, estimates against balances, flattened."""
     facts, dim = accounts(spark, sf_dir).fillna(0.0, ["n_orders", "total_price"]), nations(spark, sf_dir)
     unseen = facts.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).drop("c_custkey", "balance")
     scored = facts.select((F.col("total_price") / 100).alias("predicted_price"), F.col("balance").alias("actual_price"))
@@ -452,3 +457,47 @@ def monitoring_report(spark, sf_dir):
         F.round("prediction_drift.summary_stats.baseline_mean", 4).alias("baseline_mean"),
         "model_performance.status", "model_performance.n_samples", F.round("model_performance.mae", 4).alias("mae"),
     )
+
+
+def _told_sql(name: str, value: str) -> str:
+    return f"(SELECT array_to_string(list(feature || ':' || CAST(round({value} * 1e6) AS BIGINT) ORDER BY feature), ',') FROM {name})"
+
+
+@query(f"""{MONITOR_SQL}, figures AS (
+SELECT (SELECT count(*) FROM accounts) AS n_fact_rows, (SELECT count(*) FROM psi) AS n_features_evaluated,
+  {_told_sql('ks', 'd')} AS ks_millionths, {_told_sql('psi', 'psi')} AS psi_millionths)
+SELECT 'absent' AS run_id, figures.*, true AS prediction_drift_skipped, 'predictions_file_missing' AS prediction_drift_reason, CAST(NULL AS DOUBLE) AS current_mean,
+  'skipped' AS performance_status, 'no_labels_file_configured' AS performance_reason, CAST(NULL AS BIGINT) AS n_samples, CAST(NULL AS DOUBLE) AS mae FROM figures
+UNION ALL SELECT 'incomplete', figures.*, true, 'missing_predicted_price_column', NULL, 'skipped', 'y_true_or_y_pred_not_provided', NULL, NULL FROM figures
+UNION ALL SELECT 'present', figures.*, false, NULL, (SELECT round(avg(total_price / 100), 4) FROM rich), 'ok', NULL,
+  (SELECT count(*) FROM rich), (SELECT round(avg(abs(balance - total_price / 100)), 4) FROM rich) FROM figures""")
+def monitoring_job(spark, sf_dir):
+    """Reports of three runs from the paths of CSV tables. The predictions and labels are not there, without
+    their columns, and there; the last run is a repeated one, first made without them."""
+    base = work_dir(spark, "monitoring")
+    facts = accounts(spark, sf_dir).fillna(0.0, ["n_orders", "total_price"])
+    unseen = facts.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).drop("c_custkey", "balance")
+    for name, rows in (("accounts", facts), ("nations", nations(spark, sf_dir)), ("unseen", unseen)):
+        write_rows(rows, f"{base}/raw/{name}.csv")
+    scored = facts.select((F.col("total_price") / 100).alias("predicted_price"), F.col("balance").alias("actual_price"))
+    write_rows(scored, f"{base}/scored.csv")
+    write_rows(scored.select(F.col("predicted_price").alias("other")), f"{base}/other.csv")
+    numbers = dict.fromkeys((*ACCOUNTS.numeric, ACCOUNTS.target, *ACCOUNTS.attributes), "double") | {"c_custkey": "bigint"}
+    tables = RawTables("accounts.csv", "nations.csv", "unseen.csv", numbers, numbers)
+
+    def run(run_id, scores):
+        return run_monitoring(spark, f"{base}/raw", f"{base}/reports", run_id, ACCOUNTS, tables, scores, scores, MONITORED)
+
+    for run_id, scores in (("absent", None), ("incomplete", f"{base}/other.csv"), ("present", f"{base}/none.csv"), ("present", f"{base}/scored.csv")):
+        run(run_id, scores)
+    reports = read_reports(spark, f"{base}/reports")
+    features = F.array_sort("data_drift.features")
+
+    def told(name):
+        return F.array_join(F.transform(features, lambda f: F.concat_ws(":", f["feature"], F.round(f[name] * 1e6).cast("long"))), ",")
+
+    flat = report_summary(reports).join(reports.select("run_id", told("ks_statistic").alias("ks_millionths"), told("psi").alias("psi_millionths")), "run_id")
+    return flat.select(
+        "run_id", "n_fact_rows", "n_features_evaluated", "ks_millionths", "psi_millionths", "prediction_drift_skipped", "prediction_drift_reason",
+        F.round("current_mean", 4).alias("current_mean"), "performance_status", "performance_reason", "n_samples", F.round("mae", 4).alias("mae"),
+    )

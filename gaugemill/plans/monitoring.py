@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugemill.contracts import FeatureContract
+from gaugemill.contracts import PREDICTION_CANDIDATES, TRUTH_CANDIDATES, FeatureContract
 from gaugemill.operators.drift import (
     KS_PVALUE_THRESHOLD,
     PSI_THRESHOLD,
@@ -18,7 +18,10 @@ from gaugemill.operators.drift import (
 )
 from gaugemill.operators.enrich import enrich
 from gaugemill.operators.quality import check_inference, check_training, gate, summarize
-from gaugemill.operators.stats import performance_report
+from gaugemill.operators.stats import baseline_stats, performance_report
+from gaugemill.sources.readers import HOUSE_TABLES, RawTables, read_all, read_if_usable
+from gaugemill.sources.reports import read_reports, write_report
+from gaugemill.sources.writers import write_rows
 
 REPORT_VERSION = "1.0"
 
@@ -53,9 +56,13 @@ def data_drift_section(
     )
 
 
+def _told(spark: SparkSession, name: str, values: Mapping[str, Column]) -> DataFrame:
+    """One row with a struct of known values: a one-row range, which the planner knows to be small."""
+    return spark.range(1).select(F.struct(*(v.alias(k) for k, v in values.items())).alias(name))
+
+
 def _skipped(df: DataFrame, name: str, reason: str) -> DataFrame:
-    row = df.sparkSession.createDataFrame([(name, True, reason)], "kind string, skipped boolean, reason string")
-    return row.select(F.struct("kind", "skipped", "reason").alias(name))
+    return _told(df.sparkSession, name, {"kind": F.lit(name), "skipped": F.lit(True), "reason": F.lit(reason)})
 
 
 def prediction_drift_section(sales: DataFrame, predictions: DataFrame | None, target: str, column: str = "predicted_price", reason: str = "predictions_file_missing") -> DataFrame:
@@ -75,10 +82,9 @@ def prediction_drift_section(sales: DataFrame, predictions: DataFrame | None, ta
 
 def performance_section(sales: DataFrame, labeled: DataFrame | None) -> DataFrame:
     if labeled is None:
-        row = ("model_performance", "skipped", "no_labels_file_configured")
-        df = sales.sparkSession.createDataFrame([row], "kind string, status string, reason string")
-    else:
-        df = performance_report(labeled).select(F.lit("model_performance").alias("kind"), "*")
+        told = {"kind": "model_performance", "status": "skipped", "reason": "no_labels_file_configured"}
+        return _told(sales.sparkSession, "model_performance", {k: F.lit(v) for k, v in told.items()})
+    df = performance_report(labeled).select(F.lit("model_performance").alias("kind"), "*")
     return df.select(F.struct(*df.columns).alias("model_performance"))
 
 
@@ -93,8 +99,10 @@ def monitor(
     once normalized."""
     quality = quality_section(sales, dim, contract)
     found = quality.first()
-    quality = sales.sparkSession.createDataFrame([found], quality.schema)
-    quality = quality.select(F.struct(*quality.columns).alias("quality"))
+    quality = _told(sales.sparkSession, "quality", {
+        f.name: F.array(*map(F.lit, found[f.name])).cast(f.dataType) if isinstance(found[f.name], list) else F.lit(found[f.name]).cast(f.dataType)
+        for f in quality.schema
+    })
     if found["ok"]:
         gate(check_inference(unseen, contract), "inference")
         # the joins add no rows, so they need not run for the count
@@ -113,3 +121,28 @@ def monitor(
     keyed = [s.withColumn("__one", F.lit(1)) for s in sections]
     joined = reduce(lambda a, b: a.join(b, "__one"), keyed).drop("__one")
     return joined.select(F.lit(REPORT_VERSION).alias("report_version"), F.current_timestamp().alias("timestamp_utc"), "*")
+
+
+def monitoring_job(
+    spark: SparkSession, raw: str, reports: str, run_id: str, contract: FeatureContract, tables: RawTables = HOUSE_TABLES,
+    predictions: str | None = None, labels: str | None = None, drift_columns: Sequence[str] | None = None,
+    prediction_column: str = "predicted_price", stats: str | None = None, stats_columns: Sequence[str] = (),
+) -> DataFrame:
+    """From the paths of the raw tables, the last predictions and the labels to the report of a run, which is returned as read back.
+
+    A source that is not named or not there skips its section with a reason, as does one without the columns asked for.
+    Where ``stats`` is given the mean and deviation of ``stats_columns`` of the labeled rows go there. A run can be
+    repeated: its report is replaced.
+    """
+    raw_tables = read_all(spark, raw, tables)
+    scored, why = read_if_usable(spark, predictions, [prediction_column], {prediction_column: "double"})
+    numbers = dict.fromkeys((*TRUTH_CANDIDATES, *PREDICTION_CANDIDATES), "double")
+    labeled, _ = read_if_usable(spark, labels, (), numbers)
+    report = monitor(
+        raw_tables["sales"], raw_tables["unseen"], raw_tables["demographics"], contract, scored, labeled, drift_columns,
+        prediction_column, why or "predictions_file_missing",
+    )
+    if stats is not None:
+        write_rows(baseline_stats(raw_tables["sales"], stats_columns or (contract.target,)), stats)
+    write_report(report, reports, run_id)
+    return read_reports(spark, reports, run_id)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,24 +47,39 @@ def read_table(spark: SparkSession, path: str, types: Mapping[str, str] | None =
     return raw.select(*(typed(c) for c in raw.columns))
 
 
-def read_sales(spark: SparkSession, base: str = "data/raw", name: str = SALES_FILE) -> DataFrame:
+@dataclass(frozen=True)
+class RawTables:
+    """Names and column types of the three raw tables below one folder."""
+
+    sales: str = SALES_FILE
+    demographics: str = DEMOGRAPHICS_FILE
+    unseen: str = UNSEEN_FILE
+    sales_types: Mapping[str, str] = field(default_factory=lambda: SALES_TYPES)
+    demographic_types: Mapping[str, str] = field(default_factory=lambda: DEMOGRAPHIC_TYPES)
+
+
+HOUSE_TABLES = RawTables()
+
+
+def read_sales(spark: SparkSession, base: str = "data/raw", tables: RawTables = HOUSE_TABLES) -> DataFrame:
     """Labeled fact rows."""
-    return read_table(spark, f"{base.rstrip('/')}/{name}", SALES_TYPES)
+    return read_table(spark, f"{base.rstrip('/')}/{tables.sales}", tables.sales_types)
 
 
-def read_demographics(spark: SparkSession, base: str = "data/raw", name: str = DEMOGRAPHICS_FILE) -> DataFrame:
+def read_demographics(spark: SparkSession, base: str = "data/raw", tables: RawTables = HOUSE_TABLES) -> DataFrame:
     """Dimension rows."""
-    return read_table(spark, f"{base.rstrip('/')}/{name}", DEMOGRAPHIC_TYPES)
+    return read_table(spark, f"{base.rstrip('/')}/{tables.demographics}", tables.demographic_types)
 
 
-def read_unseen(spark: SparkSession, base: str = "data/raw", name: str = UNSEEN_FILE) -> DataFrame:
+def read_unseen(spark: SparkSession, base: str = "data/raw", tables: RawTables = HOUSE_TABLES) -> DataFrame:
     """Unlabeled rows to be scored."""
-    return read_table(spark, f"{base.rstrip('/')}/{name}", SALES_TYPES)
+    return read_table(spark, f"{base.rstrip('/')}/{tables.unseen}", tables.sales_types)
 
 
-def read_all(spark: SparkSession, base: str = "data/raw") -> dict[str, DataFrame]:
+def read_all(spark: SparkSession, base: str = "data/raw", tables: RawTables = HOUSE_TABLES) -> dict[str, DataFrame]:
     """All three tables, lazily."""
-    return {"sales": read_sales(spark, base), "demographics": read_demographics(spark, base), "unseen": read_unseen(spark, base)}
+    readers = {"sales": read_sales, "demographics": read_demographics, "unseen": read_unseen}
+    return {name: read(spark, base, tables) for name, read in readers.items()}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

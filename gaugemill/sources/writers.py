@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gaugemill.contracts import FeatureContract
 
@@ -20,12 +19,6 @@ def write_rows(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return path
 
 
-def append_report(report: DataFrame, path: str, run_id: str) -> str:
-    """One JSON document per run, below ``run_id=...``."""
-    report.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").json(path)
-    return path
-
-
 def write_contract(spark: SparkSession, contract: FeatureContract, path: str) -> str:
     """Contract as one JSON text."""
     spark.createDataFrame([(contract.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)

@@ -14,7 +14,8 @@ from gaugemill.plans.monitoring import monitor
 from gaugemill.plans.scoring import predict_full, predict_minimal, score
 from gaugemill.plans.training import train
 from gaugemill.sources.readers import read_if_usable, read_table
-from gaugemill.sources.writers import append_report, read_contract, write_rows
+from gaugemill.sources.reports import read_reports, write_report
+from gaugemill.sources.writers import read_contract, write_rows
 from gaugemill.streaming.scoring import predict_stream
 
 
@@ -235,8 +236,8 @@ def test_monitoring_report(spark, sold, places, tmp_path):
     scored = sold.select("zipcode", (F.col("price") * 2).alias("predicted_price"))
     labeled = sold.select(F.col("price").alias("actual_price"), F.col("price").alias("prediction"))
     report = monitor(sold, unseen, places, HOUSE, scored, labeled)
-    append_report(report, f"{tmp_path}/reports", "run1")
-    row = spark.read.json(f"{tmp_path}/reports").first()
+    write_report(report, f"{tmp_path}/reports", "run1")
+    row = read_reports(spark, f"{tmp_path}/reports", "run1").first()
     assert row["report_version"] == "1.0" and row["quality"]["ok"] and row["quality"]["n_fact_rows"] == 400
     assert row["data_drift"]["summary"]["n_features_evaluated"] == len(row["data_drift"]["features"]) == 43
     assert row["prediction_drift"]["drift"] and row["model_performance"]["mae"] == 0.0
