@@ -13,6 +13,9 @@ what a filter removes depends only on the set before it.
 Hot texts: each task hands on one row per text (its smallest id), and one count per part and mask, so a text that makes up
 a third of the table is one row per task. Labels are joined on a salted id: rows of one hot id are spread over ``SALTS`` keys.
 
+The state takes about 100 bytes a text. It lies in the state store that the session names: Spark's own keeps it in executor
+memory, RocksDB on their disks at 4 MB a partition or more; both save it in the shared folder.
+
 Recovery: offsets, state and output are in the shared work folder; Spark's file sink writes each micro-batch once.
 
 Defined results: NULL texts are empty, a NULL source is the part ``''``. Rows without id are nobody's smaller copy and have
@@ -154,22 +157,11 @@ def streamed_counts(spark: SparkSession, path: str, labels: DataFrame, rounds: i
         .applyInPandasWithState(retract, "part string, mask int, n long", "texts string", "append", GroupStateTimeout.NoTimeout)
     )
     folder = work_dir(spark, "filter-audit")
-    settings = {
-        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
-    }
-    earlier = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        query = (
-            signed.writeStream.format("parquet").option("path", f"{folder}/counts").option("checkpointLocation", f"{folder}/checkpoint")
-            .outputMode("append").trigger(availableNow=True).start()
-        )
-        query.awaitTermination()
-    finally:
-        for k, v in earlier.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    query = (
+        signed.writeStream.format("parquet").option("path", f"{folder}/counts").option("checkpointLocation", f"{folder}/checkpoint")
+        .outputMode("append").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
     counts = spark.read.schema("part string, mask int, n long").parquet(f"{folder}/counts")
     return counts.groupBy("part", "mask").agg(F.sum("n").alias("n")).where("n <> 0")
 
