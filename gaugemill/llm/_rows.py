@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,11 +67,25 @@ def numbered(docs: DataFrame, text: str = "text") -> tuple[DataFrame, list[str]]
     return docs.toDF(*names).withColumn("text", F.col(names[docs.columns.index(text)])), names
 
 
-def map_texts(docs: DataFrame, keep: Iterable[str], text: str, start: Callable[[], Callable[[list], list]], added: str) -> DataFrame:
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int | None) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of rows whose texts take at most so many bytes together; a longer text is a slice of its own."""
+    start, held = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist() if most_bytes else ()):
+        if held and held + n > most_bytes:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    yield batch.slice(start)
+
+
+def map_texts(
+    docs: DataFrame, keep: Iterable[str], text: str, start: Callable[[], Callable[[list], list]], added: str, most_bytes: int | None = None,
+) -> DataFrame:
     """Columns computed from whole texts, beside the columns in ``keep``, which pass through unread.
 
     ``start()`` is called once in each task and returns the function from a list of texts (None for NULL) to a list of
-    Arrow arrays, one per column of the schema text ``added``.
+    Arrow arrays, one per column of the schema text ``added``. With ``most_bytes`` a list has no more text than that,
+    or one text; else it is an Arrow batch.
     """
     keep = list(keep)
     own = [f"kept_{i}" for i in range(len(keep))]
@@ -81,8 +96,9 @@ def map_texts(docs: DataFrame, keep: Iterable[str], text: str, start: Callable[[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = start()
         for batch in batches:
-            if batch.num_rows:
-                yield pa.record_batch([*batch.select(own).columns, *compute(batch.column("text").to_pylist())], names=[*own, *names])
+            for part in slices(batch, "text", most_bytes):
+                if part.num_rows:
+                    yield pa.record_batch([*part.select(own).columns, *compute(part.column("text").to_pylist())], names=[*own, *names])
 
     out = rows.mapInArrow(run, schema)
     return out.select(*[F.col(k).alias(c) for k, c in zip(own, keep, strict=True)], *names)

@@ -135,7 +135,7 @@ def priced(rows: pd.DataFrame) -> pd.DataFrame:
     terms, t = np.unique(rows["term"].to_numpy(), return_inverse=True)
     counts = np.zeros((len(sources), 1 << max(0, len(terms) - 1).bit_length()), np.int64)
     counts[np.searchsorted(sources, rows["g"].to_numpy()), t] = rows["n"].to_numpy()
-    side = sources // SIDE
+    side = alone["side"].to_numpy()
     first, second = np.triu_indices(len(sources), 1)
     wanted = (side[first] == side_a) & (side[second] == side_b)
     first, second = first[wanted], second[wanted]
@@ -196,7 +196,7 @@ def _pairs(found: DataFrame, groups: DataFrame) -> DataFrame:
     cells = with_terms.select(*shared).unionByName(without.select(*shared))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last_side"))))
     cells = cells.select(
-        "lang", "block", F.least("side", "other").alias("square_a"), F.greatest("side", "other").alias("square_b"), "g", "whole", F.col("term").cast("binary").alias("term"), "n",
+        "lang", "block", F.least("side", "other").alias("square_a"), F.greatest("side", "other").alias("square_b"), "g", "side", "whole", F.col("term").cast("binary").alias("term"), "n",
     )
     prices = cells.groupBy("lang", "block", "square_a", "square_b").applyInPandas(priced, "lang string, a long, b long, value long, seen long")
     prices = prices.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))

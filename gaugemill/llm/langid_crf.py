@@ -2,7 +2,8 @@
 
 A word's features are its affixes, its character n-grams, itself, and membership in the lexicons of frequent words that
 are learned per language; transitions between the languages of neighbouring words are learned with them. Training runs
-are stretches of documents of different languages put one after the other, so the transitions know code-switched text.
+are stretches of documents of different languages put one after the other, so the transitions know code-switched text:
+of each training document at most ``RUNS`` stretches of ``RUN`` words, and of frequent languages a random part of these.
 Forward-backward gives each word's probabilities; a document has the language with the largest sum, and its mean is the
 score.
 
@@ -10,8 +11,8 @@ The score compares the learned languages with each other only: transitions pull
 written in. ``Support`` tells whether a text is in a learned language at all, by the bits that its words' letters take
 in letter models of the languages; what is usual is measured on documents left out of the letter counts.
 
-Training reads at most ``PER_LANGUAGE`` documents of each language (the one with the smallest hash in each of that many
-hash buckets), scoring reads all texts whole. Equal words of a worker share their feature sums. Documents of a batch go
+Training reads at most ``PER_LANGUAGE`` documents of each language (one row of the smallest hash in each of that many
+hash buckets, at most ``TRAINING_CHARS`` characters), scoring reads all texts whole. Equal words of a worker share their feature sums. Documents of a batch go
 through the chain together, longest first, so every step is one operation over all that are long enough.
 
 Defined results: a NULL text and a text without a letter are ``und`` with score 0; without training rows every text is;
@@ -25,13 +26,14 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugemill.llm._rows import map_texts, written
+from gaugemill.llm._rows import map_texts, text_key, written
 
 FOLDS, TEST_FOLD = 4, 2
 PER_LANGUAGE, MAX_LANGUAGES = 200, 200
@@ -41,8 +43,10 @@ LEXICON = 200
 STEPS, RATE, RIDGE = 40, 0.1, 1e-4
 WORDS = re.compile(r"[^\W\d_]+")
 PIECES = re.compile(r"(?<=[\d_])[^\W\d_]+|[^\W\d_]+(?=[\d_])")  # letters in keys, digests, names
-MAX_WORDS = 400_000
-BATCH_WORDS = 1_000_000
+MAX_CELLS = 1_600_000  # words times languages that a worker holds sums of
+BATCH_WORDS = 150_000  # words that go through the chain together, or one text
+BATCH_BYTES = 2_000_000  # of texts that a worker holds as Python strings at once, or one text
+TRAINING_CHARS = 200_000  # of a training document
 UNKNOWN = "und"
 PARTS = 5  # of the training documents; each is measured with the counts of the others
 ALPHABET = 1 << 16
@@ -315,52 +319,75 @@ def fit_support(texts: list[str], languages: list[str]) -> Support | None:
 
 
 class Labeler:
-    """A field with the feature sums of the words it has met, and their bits if there is a ``Support``."""
+    """A field with the feature sums of the words it has met, and their bits if there is a ``Support``.
+
+    Words are numbered as soon as a text is cut, so a text is held as an array of numbers, however long it is. The table of
+    words is emptied once it is full, when the texts that refer to it are done.
+    """
 
     def __init__(self, model: Field, support: Support | None = None):
         self.model, self.support = model, support
+        self.most = max(1, MAX_CELLS // max(1, len(model.languages)))
+        self._empty()
+
+    def _empty(self) -> None:
         self.index: dict[str, int] = {}
-        self.rows = np.zeros((0, len(model.languages)), np.float32)
-        self.bits = np.zeros((0, len(model.languages)), np.float32)
-
-    def _indices(self, texts: list[list[str]]) -> np.ndarray:
-        if len(self.index) > MAX_WORDS:
-            self.index, self.rows, self.bits = {}, self.rows[:0], self.bits[:0]
-        new = []
-        for words in texts:
-            for w in set(words).difference(self.index):
-                self.index[w] = len(self.index)
-                new.append(w)
-        if new:
-            self.rows = np.concatenate([self.rows, *(self.model.potentials(new[i : i + 50_000]) for i in range(0, len(new), 50_000))])
+        self.known = 0  # words whose sums are there
+        self.has_letter = np.zeros(0, bool)
+        self.rows = np.zeros((0, len(self.model.languages)), np.float32)
+        self.bits = np.zeros((0, len(self.model.languages)), np.float32)
+
+    def _numbers(self, text: str) -> np.ndarray:
+        index = self.index
+        return np.fromiter((index.setdefault(m.group(), len(index)) for m in WORDS.finditer(text.lower())), np.int32)
+
+    def _sums(self) -> None:
+        """Sums of the words numbered since the last call; tables grow by doubling."""
+        new = list(islice(self.index, self.known, None))
+        if not new:
+            return
+        if len(self.index) > len(self.rows):
+            more = max(2 * len(self.rows), len(self.index)) - len(self.rows)
+            self.rows, self.bits = (np.concatenate([x, np.zeros((more, x.shape[1]), np.float32)]) for x in (self.rows, self.bits))
+            self.has_letter = np.concatenate([self.has_letter, np.zeros(more, bool)])
+        for at in range(0, len(new), 10_000):
+            words, place = new[at : at + 10_000], slice(self.known + at, self.known + at + len(new[at : at + 10_000]))
+            self.rows[place] = self.model.potentials(words)
+            self.has_letter[place] = [any(map(str.isalpha, w)) for w in words]
             if self.support:
-                self.bits = np.concatenate([self.bits, self.support.letters.per_word(new)])
-        return np.fromiter((i for words in texts for i in map(self.index.__getitem__, words)), np.int64, sum(map(len, texts)))
+                self.bits[place] = self.support.letters.per_word(words)
+        self.known = len(self.index)
 
-    def documents(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    def documents(self, texts: Iterable[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language and score of each text, and whether its words are usual ones (always without a ``Support``)."""
+        texts = list(texts)
         names, scores, usual = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         if not self.model.languages:
             return names, scores, usual
-        part: list[int] = []
-        held: list[list[str]] = []
+        held: list[tuple[int, np.ndarray, np.ndarray]] = []
         size = 0
         for i, text in enumerate(texts):
-            words = words_of(text)
-            if any(any(map(str.isalpha, w)) for w in words):
-                part.append(i)
-                held.append(words)
-                size += len(words)
-            if held and (size >= BATCH_WORDS or i == len(texts) - 1):
-                self._label(part, held, names, scores, usual, [pieces_of(texts[j]) for j in part] if self.support else [])
-                part, held, size = [], [], 0
+            numbers = self._numbers(text or "")
+            pieces = pieces_of(text or "") if self.support else ()
+            held.append((i, numbers, np.fromiter((self.index[w] for w in pieces), np.int32)))
+            size += len(numbers)
+            full = len(self.index) > self.most
+            if size >= BATCH_WORDS or full or i == len(texts) - 1:
+                self._sums()
+                lettered = [h for h in held if self.has_letter[h[1]].any()]
+                if lettered:
+                    self._label(lettered, names, scores, usual)
+                held, size = [], 0
+                if full:
+                    self._empty()
         return names, scores, usual
 
-    def _label(self, part: list[int], held: list[list[str]], names: list[str], scores: np.ndarray, usual: np.ndarray, pieces: list[set[str]]) -> None:
-        lengths = np.array([len(w) for w in held])
+    def _label(self, held: list[tuple[int, np.ndarray, np.ndarray]], names: list[str], scores: np.ndarray, usual: np.ndarray) -> None:
+        part = np.array([h[0] for h in held])
+        lengths = np.array([len(h[1]) for h in held])
         packed, by_length, active = packed_order(lengths)
-        places = self._indices(held)
-        p = marginals(self.rows[places[packed]], active, self.model.transitions)
+        word_at = np.concatenate([h[1] for h in held])[packed]
+        p = marginals(self.rows[word_at], active, self.model.transitions)
         rank = np.arange(len(packed)) - np.repeat(np.cumsum(active) - active, active)
         sums = np.stack([np.bincount(rank, p[:, j], len(held)) for j in range(p.shape[1])], axis=1)
         best = sums.argmax(axis=1)
@@ -369,13 +396,15 @@ class Labeler:
             scores[part[doc]] = min(1.0, sums[r, best[r]] / lengths[doc])
         if self.support:
             # each word by the languages it is taken to be in, so text switching between learned ones is usual
-            word, at = np.unique(rank * len(self.bits) + places[packed], return_inverse=True)
-            bits = np.bincount(at, (p * self.bits[places[packed]]).sum(axis=1)) / np.bincount(at)
-            odd = [r * len(self.bits) + self.index[w] for r, d in enumerate(by_length) for w in pieces[d]]
+            bits = np.einsum("ij,ij->i", p, self.bits[word_at])
+            del p
+            word, at = np.unique(rank * self.known + word_at, return_inverse=True)
+            bits = np.bincount(at, bits) / np.bincount(at)
+            odd = np.concatenate([r * self.known + held[d][2].astype(np.int64) for r, d in enumerate(by_length)])
             whole = ~np.isin(word, odd)
-            whole |= (np.bincount(word // len(self.bits), whole, len(held)) == 0)[word // len(self.bits)]  # nothing but pieces
+            whole |= (np.bincount(word // self.known, whole, len(held)) == 0)[word // self.known]  # nothing but pieces
             word, bits = word[whole], bits[whole]
-            doc = word // len(self.bits)
+            doc = word // self.known
             bits = bits[np.lexsort((bits, doc))]
             sizes = np.bincount(doc, minlength=len(held))
             starts = np.cumsum(sizes) - sizes
@@ -383,14 +412,17 @@ class Labeler:
             column = np.minimum(np.log2(sizes).astype(int), len(RUN_LENGTHS) - 1)
             share = sums / sums.sum(axis=1, keepdims=True)
             limit = (share * self.support.limits[:, column].T).sum(axis=1)
-            usual[np.array(part)[by_length]] = median <= limit
+            usual[part[by_length]] = median <= limit
 
     def words(self, text: str) -> list[tuple[str, str, float]]:
         """(word, language, probability) of every word of a text."""
         words = words_of(text)
         if not words or not self.model.languages:
             return [(w, UNKNOWN, 0.0) for w in words]
-        places = self._indices([words])
+        if len(self.index) > self.most:
+            self._empty()
+        places = self._numbers(text)
+        self._sums()
         p = marginals(self.rows[places], np.ones(len(words), np.int64), self.model.transitions)
         best = p.argmax(axis=1)
         return [(w, self.model.languages[j], float(p[i, j])) for i, (w, j) in enumerate(zip(words, best, strict=True))]
@@ -401,14 +433,21 @@ def fold(doc_id: str, folds: int = FOLDS) -> Column:
 
 
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS, test_fold: int = TEST_FOLD) -> tuple[list[str], list[str]]:
-    """Texts and languages of at most ``per_language`` documents of each language outside the test fold."""
+    """Texts and languages of at most ``per_language`` documents of each language outside the test fold, one row each.
+
+    They come to the driver, so a longer training document is cut to its first ``TRAINING_CHARS`` characters.
+    """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", folds) != test_fold))
     at = F.xxhash64(F.col("doc_id").cast("string"))
-    picked = known.groupBy("lang", F.pmod(at, F.lit(per_language)).alias("bucket")).agg(F.min(F.struct(at.alias("at"), "doc_id")).alias("first"))
-    ids = written(picked.select("lang", F.col("first.doc_id").alias("doc_id")), "language-sample")
+    known = known.select("lang", "doc_id", "text", F.pmod(at, F.lit(per_language)).alias("bucket"), at.alias("at"), text_key("text").alias("text_at"))
+    row = ["lang", "bucket", "doc_id", "text_at"]
+    picked = known.groupBy("lang", "bucket").agg(F.min(F.struct("at", "doc_id", "text_at")).alias("first"))
+    ids = written(picked.select("lang", "bucket", "first.doc_id", "first.text_at"), "language-sample")
     if ids.select("lang").distinct().count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages: the sample would not be bounded")
-    rows = known.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "text", "doc_id").toPandas().sort_values(["lang", "doc_id", "text"])
+    # rows that repeat a sampled one are one
+    rows = known.join(F.broadcast(ids), row).groupBy("lang", "bucket", "doc_id").agg(F.first(F.substring("text", 1, TRAINING_CHARS)).alias("text"))
+    rows = rows.toPandas().sort_values(["lang", "doc_id", "text"])
     return rows["text"].to_list(), rows["lang"].to_list()
 
 
@@ -418,18 +457,18 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS,
 
 
 def identified(docs: DataFrame, model: Field, keep: Iterable[str] = ("doc_id",), support: Support | None = None) -> DataFrame:
-    """``lang_pred`` and ``score`` of every row beside ``keep``; with a ``support`` also ``usual``."""
+    """``lang_pred``, ``score`` and ``usual`` (true without a ``support``) of every row beside ``keep``."""
 
     def start():
         labeler = Labeler(model, support)
 
         def label(texts: list) -> list[pa.Array]:
             names, scores, usual = labeler.documents(texts)
-            return [pa.array(names, pa.string()), pa.array(scores, pa.float64()), *([pa.array(usual, pa.bool_())] if support else [])]
+            return [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(usual, pa.bool_())]
 
         return label
 
-    return map_texts(docs, keep, "text", start, "lang_pred string, score double" + (", usual boolean" if support else ""))
+    return map_texts(docs, keep, "text", start, "lang_pred string, score double, usual boolean", BATCH_BYTES)
 
 
 def languages(docs: DataFrame) -> DataFrame:
