@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -19,18 +20,23 @@ from gaugemill.operators.knn import NeighbourIndex, build_index, knn_predict, lo
 from gaugemill.operators.ranks import ROWS_PER_RANGE
 from gaugemill.operators.sampling import in_share, with_fold
 from gaugemill.operators.stats import regression_metrics, scaling_stats
+from gaugemill.plans.trees import fit_boosting, fit_random_cuts
+from gaugemill.session import work_dir
 
 LABEL = "__label"
 HOLD_OUT = "__hold_out"
 MAX_CATEGORIES = 100_000  # what the driver may hold of a column
 HASHED_CATEGORIES = 4_096
+FIT_ROWS = 100_000  # labeled rows that a tree ensemble is fitted on
+PART_ROWS = 5_000  # of them in a partition
+OWN_PARAMS = ("validation_fraction", "patience")  # settings of the fit, not of Spark's learners
 
 # Estimator settings of the candidates.
 DEFAULT_PARAMS: Mapping[str, Mapping] = {
     "baseline_knn": {"k": 5},
     "hist_gradient_boosting": {
         "maxDepth": 8, "stepSize": 0.08, "maxIter": 500, "minInstancesPerNode": 20, "maxBins": 256,
-        "validation_fraction": 0.1,
+        "validation_fraction": 0.1, "patience": 20,
     },
     "random_forest": {"numTrees": 200, "maxDepth": 24, "minInstancesPerNode": 2, "featureSubsetStrategy": "all"},
     "extra_trees": {
@@ -146,16 +152,45 @@ def preprocessing_stages(prep: Preprocessing) -> list:
 
 
 def estimator(name: str, seed: int, **overrides):
-    """Unfitted regressor. ``extra_trees`` is an approximation: Spark has no random split thresholds, so trees
-    differ by the columns tried at each split. Boosting stops by Spark's own validation rule."""
+    """Unfitted regressor. Node ids are kept with the rows between levels, so deep trees need not be walked again."""
     if name not in DEFAULT_PARAMS or name == "baseline_knn":
         raise ValueError(f"unknown estimator {name!r}")
-    params = {**DEFAULT_PARAMS[name], **overrides}
-    fraction = params.pop("validation_fraction", 0)
-    common = {"featuresCol": "features", "labelCol": LABEL, "predictionCol": "__raw", "seed": seed}
-    if name == "hist_gradient_boosting":
-        return GBTRegressor(**common, **params, **({"validationIndicatorCol": HOLD_OUT} if fraction else {}))
-    return RandomForestRegressor(**common, **params)
+    params = {k: v for k, v in {**DEFAULT_PARAMS[name], **overrides}.items() if k not in OWN_PARAMS}
+    common = {"featuresCol": "features", "labelCol": LABEL, "predictionCol": "__raw", "seed": seed, "cacheNodeIds": True}
+    return (GBTRegressor if name == "hist_gradient_boosting" else RandomForestRegressor)(**common, **params)
+
+
+def fit_trees(labeled: DataFrame, candidate: Candidate, prep: Preprocessing, row_id: str, seed: int, max_rows: int = FIT_ROWS) -> PipelineModel:
+    """Preprocessing, the candidate's trees and the way back to target units as one pipeline.
+
+    At most about ``max_rows`` labeled rows are fitted (a share by the row id's digest), since the nodes of a forest grow
+    with them and are held by the driver. The features are made once and written, in as many parts as ``PART_ROWS`` asks
+    for: each level of a tree adds up one table of statistics per part.
+    """
+    params = {**DEFAULT_PARAMS[candidate.name], **candidate.params}
+    n = labeled.count()
+    if n > max_rows:
+        labeled = labeled.filter(in_share([row_id], max_rows / n, seed + 2))
+    fraction = params.get("validation_fraction", 0)
+    held = in_share([row_id], fraction, seed + 1) if fraction else F.lit(False)
+    stages = Pipeline(stages=preprocessing_stages(prep)).fit(labeled).stages
+    inputs = stages[-1].getInputCols()
+    made = PipelineModel(stages).transform(labeled).select(LABEL, "features", *(f"`{c}`" for c in inputs), held.alias(HOLD_OUT))
+    path = work_dir(labeled.sparkSession, "training-features")
+    made.repartition(max(1, math.ceil(min(n, max_rows) / PART_ROWS))).write.parquet(path)
+    ready = labeled.sparkSession.read.parquet(path)
+    regressor = estimator(candidate.name, seed, **candidate.params)
+    if candidate.name == "extra_trees":
+        scaled = [f"{c}__z" for c in prep.numeric]
+        fitted = fit_random_cuts(ready, scaled, [c for c in inputs if c not in scaled], regressor, seed)
+    elif candidate.name == "hist_gradient_boosting":
+        train, held_out = ready.filter(~F.col(HOLD_OUT)), ready.filter(HOLD_OUT)
+        fitted = [fit_boosting(regressor, train, held_out if fraction and not held_out.isEmpty() else None, params["patience"])]
+    else:
+        fitted = [regressor.fit(ready)]
+    back = {"plain": "__raw", "log1p": "expm1(__raw)"}[candidate.target_mode]
+    finish = SQLTransformer(statement=f"SELECT *, {back} AS prediction FROM __THIS__")
+    return PipelineModel([*stages, *fitted, finish])
 
 
 @dataclass
@@ -222,21 +257,19 @@ def fit_model(
     seed: int = 42,
     prep: Preprocessing | None = None,
     hashed: Sequence[str] = (),
+    max_rows: int = FIT_ROWS,
 ) -> TreeModel | NeighbourModel:
-    """Fit one candidate on feature rows. Pass ``prep`` to share the preprocessing of several candidates."""
+    """Fit one candidate on feature rows. Pass ``prep`` to share the preprocessing of several candidates.
+
+    ``max_rows`` bounds the labeled rows of a tree ensemble; the neighbour model keeps them all.
+    """
     prep = prep or fit_preprocessing(train, numeric, categorical, hashed=hashed)
     labeled = train.withColumn(LABEL, log_target(F.col(target).cast("double"), candidate.target_mode))
     if candidate.name == "baseline_knn":
         k = int(candidate.params.get("k", DEFAULT_PARAMS["baseline_knn"]["k"]))
         index = build_index(labeled, row_id, LABEL, prep.vector(), len(prep.categorical), k)
         return NeighbourModel(prep, index, candidate.target_mode)
-    regressor = estimator(candidate.name, seed, **candidate.params)
-    fraction = {**DEFAULT_PARAMS[candidate.name], **candidate.params}.get("validation_fraction", 0)
-    if fraction:
-        labeled = labeled.withColumn(HOLD_OUT, in_share([row_id], fraction, seed + 1))
-    back = {"plain": "__raw", "log1p": "expm1(__raw)"}[candidate.target_mode]
-    finish = SQLTransformer(statement=f"SELECT *, {back} AS prediction FROM __THIS__")
-    return TreeModel(Pipeline(stages=[*preprocessing_stages(prep), regressor, finish]).fit(labeled))
+    return TreeModel(fit_trees(labeled, candidate, prep, row_id, seed, max_rows))
 
 
 def fit_contract_model(train: DataFrame, candidate: Candidate, contract: FeatureContract, seed: int = 42, prep: Preprocessing | None = None):
