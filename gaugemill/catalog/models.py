@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from gaugemill.catalog.tables import (
@@ -23,15 +25,23 @@ from gaugemill.plans import registry
 from gaugemill.plans.features import build_features
 from gaugemill.plans.importance import feature_ablation as ablate
 from gaugemill.plans.importance import permutation_importance as importance_of
-from gaugemill.plans.models import cross_validated_rmse, fit_contract_model, fit_preprocessing, load_model, preprocessing_stages
+from gaugemill.plans.models import (
+    cross_validated,
+    cross_validated_rmse,
+    fit_contract_model,
+    fit_model,
+    fit_preprocessing,
+    load_model,
+    preprocessing_stages,
+)
 from gaugemill.plans.scoring import predict_full as run_full
 from gaugemill.plans.scoring import predict_minimal as run_minimal
 from gaugemill.plans.scoring import predict_requests as run_requests
 from gaugemill.plans.scoring import score, scored_rows
-from gaugemill.plans.training import train, train_baseline
+from gaugemill.plans.training import read_comparison, train, train_baseline
 from gaugemill.session import work_dir
 from gaugemill.sources.readers import read_table
-from gaugemill.sources.writers import write_rows
+from gaugemill.sources.writers import read_contract, read_params, write_rows
 from gaugemill.streaming.scoring import predict_stream
 
 QUERIES, ORACLE = {}, {}
@@ -364,6 +374,101 @@ def feature_ablation(spark, sf_dir):
     return ablate(fit_rows, test_rows, scenarios, TREES["random_forest"], "balance", "c_custkey")
 
 
+# --- the same estimators where their answer is known: flags that a tree can tell apart completely ------------------
+
+FLAG_SQL = "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 1e0 ELSE 0e0 END"
+RICH_SQL = "CASE WHEN total_price > 2000000 THEN 1e0 ELSE 0e0 END"
+
+
+def _flagged(spark, sf_dir):
+    flags = {"flag": F.expr(FLAG_SQL.replace("e0", "D")), "rich": F.expr(RICH_SQL.replace("e0", "D"))}
+    return tuple(side.withColumns(flags) for side in _split_features(spark, sf_dir))
+
+
+def _group_means(spark, sf_dir, name):
+    fit_rows, test_rows = _flagged(spark, sf_dir)
+    model = fit_model(fit_rows, Candidate(name, "log1p", {"bootstrap": False} if name == "random_forest" else {}), ["flag"], [], "total_price", "c_custkey")
+    return model.transform(test_rows).select("c_custkey", F.round("prediction", 2).alias("prediction"))
+
+
+def _group_means_sql(condition: str = "true") -> str:
+    return f"""{FACTS_SQL}, means AS (SELECT {FLAG_SQL} AS flag, exp(avg(ln(1 + total_price))) - 1 AS m FROM train WHERE {condition} GROUP BY 1)
+SELECT c_custkey, round(m, 2) AS prediction FROM test_rows JOIN means ON flag = {FLAG_SQL}"""
+
+
+@query(_group_means_sql())
+def forest_group_means(spark, sf_dir):
+    """M6, M3: a forest of the declared size and depth on one flag, without resampling, of a log1p target: group means."""
+    return _group_means(spark, sf_dir, "random_forest")
+
+
+@query(_group_means_sql())
+def extra_trees_group_means(spark, sf_dir):
+    """M7, M3: random cut points between the two values of the flag; the declared settings."""
+    return _group_means(spark, sf_dir, "extra_trees")
+
+
+@query(_group_means_sql(f"NOT {in_share_sql('c_custkey', 0.1, 43)}"))
+def boosting_group_means(spark, sf_dir):
+    """M5, M3: 500 rounds allowed, none gains after the first, so the ensemble is cut there; a tenth of the rows only decides that."""
+    return _group_means(spark, sf_dir, "hist_gradient_boosting")
+
+
+FULL_TREES = Candidate("random_forest", "plain", {"bootstrap": False, "numTrees": 5})
+
+
+@query(f"""{FACTS_SQL}, folded AS (SELECT *, {FLAG_SQL} AS flag, CAST(CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR) || ':42'), 1, 8) AS BIGINT) % 3 AS INTEGER) AS fold FROM train),
+means AS (SELECT f.fold, t.flag, avg(t.balance) AS m FROM (SELECT DISTINCT fold FROM folded) f JOIN folded t ON t.fold <> f.fold GROUP BY 1, 2)
+SELECT fold, count(*) AS n, round(sqrt(avg(pow(balance - m, 2))), 6) AS rmse FROM folded JOIN means USING (fold, flag) GROUP BY fold""")
+def cv_group_means(spark, sf_dir):
+    """M8: the folds and their errors, each predicted by the group means of the others."""
+    fit_rows, _ = _flagged(spark, sf_dir)
+    found = cross_validated(fit_rows, lambda rows: fit_model(rows, FULL_TREES, ["flag"], [], "balance", "c_custkey"), "c_custkey", "balance", 3)
+    return found.withColumn("rmse", F.round("rmse", 6))
+
+
+def _ablation_sql() -> str:
+    def scored(name: str, keys: str) -> str:
+        on = " AND ".join(f"{x} = m.k{i}" for i, x in enumerate(keys.split(" | ")))
+        cells = ", ".join(f"{x} AS k{i}" for i, x in enumerate(keys.split(" | ")))
+        groups = ", ".join(str(i + 1) for i in range(len(keys.split(" | "))))
+        return f"""SELECT '{name}' AS scenario, t.balance AS y, m.p FROM test_rows t JOIN (SELECT {cells}, avg(balance) AS p FROM train GROUP BY {groups}) m ON {on}"""
+
+    return f"""{FACTS_SQL}, scored AS ({scored('flag', FLAG_SQL)} UNION ALL {scored('both', FLAG_SQL + ' | ' + RICH_SQL)}),
+rows_ AS (SELECT scenario, avg(abs(y - p)) AS mae, sqrt(avg(pow(y - p, 2))) AS rmse, 1 - avg(pow(y - p, 2)) / var_pop(y) AS r2 FROM scored GROUP BY scenario)
+SELECT r.scenario, round(r.mae, 6) AS mae, round(r.rmse, 6) AS rmse, round(r.r2, 6) AS r2, round(b.mae - r.mae, 6) AS mae_improvement,
+  round(b.rmse - r.rmse, 6) AS rmse_improvement, round(r.r2 - b.r2, 6) AS r2_gain FROM rows_ r, (SELECT * FROM rows_ WHERE scenario = 'flag') b"""
+
+
+@query(_ablation_sql())
+def ablation_group_means(spark, sf_dir):
+    """One flag against two, where a full tree predicts the means of the groups."""
+    fit_rows, test_rows = _flagged(spark, sf_dir)
+    found = ablate(fit_rows, test_rows, {"flag": (["flag"], []), "both": (["flag", "rich"], [])}, FULL_TREES, "balance", "c_custkey")
+    figures = ("mae", "rmse", "r2", "mae_improvement", "rmse_improvement", "r2_gain")
+    return found.select("scenario", *(F.round(c, 6).alias(c) for c in figures))
+
+
+OTHER_SPLIT = FACTS_SQL.replace(in_share_sql("c_custkey", 0.2, 42), in_share_sql("c_custkey", 0.3, 7))
+
+
+@query(f"""{OTHER_SPLIT}, {_knn_sql()} SELECT 'baseline_knn_plain' AS key, true AS best, round(avg(abs(balance - predicted_price)), 4) AS mae,
+  round(sqrt(avg(pow(balance - predicted_price, 2))), 4) AS rmse, 0.3 AS test_size, 7 AS random_state, 'accounts' AS contract, 'balance' AS target,
+  {len(ACCOUNTS.final)} AS n_features, '{",".join(ACCOUNTS.final)}' AS features FROM predicted JOIN test_rows USING (c_custkey)""")
+def training_artifacts(spark, sf_dir):
+    """A training job whose parameters come from a JSON text; its comparison, parameters and contract read back."""
+    base = work_dir(spark, "training")
+    settings = {"training": {"test_size": 0.3, "random_state": 7, "reference_year": ACCOUNTS.reference_year, "models": [{"name": "baseline_knn"}]}}
+    spark.createDataFrame([(json.dumps(settings),)], "value string").write.text(f"{base}/given")
+    train(_facts(spark, sf_dir), nations(spark, sf_dir), ACCOUNTS, f"{base}/out", read_params(spark, f"{base}/given"))
+    params, contract = read_params(spark, f"{base}/out/params"), read_contract(spark, f"{base}/out/contract")
+    return read_comparison(spark, f"{base}/out").select(
+        "key", "best", F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"), F.lit(params.test_size).alias("test_size"),
+        F.lit(params.random_state).alias("random_state"), F.lit(contract.name).alias("contract"), F.lit(contract.target).alias("target"),
+        F.lit(len(contract.final)).alias("n_features"), F.lit(",".join(contract.final)).alias("features"),
+    )
+
+
 @query(f"""{FACTS_SQL} SELECT c_custkey, round(2e0 * (CASE WHEN c_mktsegment IN (SELECT c_mktsegment FROM train) THEN 1 ELSE 0 END)
   + (CASE WHEN nation IN (SELECT nation FROM train) THEN 1 ELSE 0 END), 1) AS hot FROM test_rows""")
 def one_hot_stages(spark, sf_dir):
@@ -386,7 +491,7 @@ RUNS_SQL = f"""{FACTS_SQL}, runs AS (SELECT c_mktsegment AS key, count(*) AS n,
 
 @query(f"""{RUNS_SQL} SELECT key, n, round(mae, 4) AS mae, CAST(row_number() OVER (ORDER BY key) AS INTEGER) AS version FROM runs""")
 def run_log(spark, sf_dir):
-    """A run and a registered version per market segment, read back from the tables."""
+    """A run and a registered version per market segment, read back from the tables."""
     base = work_dir(spark, "registry")
     scored = _facts(spark, sf_dir).withColumn("predicted_price", F.col("total_price") / 100)
     rows = regression_metrics(scored, "balance", "predicted_price", ["c_mktsegment"]).orderBy("c_mktsegment").collect()

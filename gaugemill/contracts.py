@@ -227,6 +227,11 @@ class TrainingParams:
         Candidate("extra_trees", "log1p"),
     )
 
+    def to_json(self) -> str:
+        settings = {k: v for k, v in asdict(self).items() if k != "candidates"}
+        models = [{"name": c.name, "target_mode": c.target_mode, "params": dict(c.params)} for c in self.candidates]
+        return json.dumps({"training": {**settings, "models": models}}, indent=2)
+
     @classmethod
     def from_json(cls, text: str) -> TrainingParams:
         """Parameters from a JSON document; what it leaves out keeps its default.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -282,12 +282,22 @@ def cross_validated_rmse(
     contiguous: bool = False,
 ) -> DataFrame:
     """``(fold, n, rmse)`` on held-out folds in target units; preprocessing is fitted inside each fold."""
-    marked = with_fold(train, [contract.row_id], folds, seed, contiguous)
+    def fit(rows: DataFrame):
+        return fit_contract_model(rows, candidate, contract, seed)
+
+    return cross_validated(train, fit, contract.row_id, contract.target, folds, seed, contiguous)
+
+
+def cross_validated(
+    train: DataFrame, fit: Callable[[DataFrame], TreeModel | NeighbourModel], row_id: str, target: str, folds: int, seed: int = 42, contiguous: bool = False,
+) -> DataFrame:
+    """``(fold, n, rmse)``: each fold predicted by what ``fit`` makes of the others."""
+    marked = with_fold(train, [row_id], folds, seed, contiguous)
     parts = []
     for fold in range(folds):
-        model = fit_contract_model(marked.filter(F.col("fold") != fold).drop("fold"), candidate, contract, seed)
+        model = fit(marked.filter(F.col("fold") != fold).drop("fold"))
         scored = model.transform(marked.filter(F.col("fold") == fold))
-        parts.append(regression_metrics(scored, contract.target, "prediction").select(F.lit(fold).alias("fold"), "n", "rmse"))
+        parts.append(regression_metrics(scored, target, "prediction").select(F.lit(fold).alias("fold"), "n", "rmse"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

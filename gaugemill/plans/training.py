@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugemill.contracts import FeatureContract, TrainingParams
@@ -23,7 +23,7 @@ from gaugemill.plans.models import (
     fit_preprocessing,
 )
 from gaugemill.session import work_dir
-from gaugemill.sources.writers import write_contract, write_rows
+from gaugemill.sources.writers import write_contract, write_params, write_rows
 
 COMPARISON_SCHEMA = (
     "position int, key string, model string, target_mode string, mae double, rmse double, r2 double, "
@@ -133,6 +133,7 @@ def train(
     best = best_candidate(table).first().asDict()
     write_rows(table.withColumn("best", F.col("position") == best["position"]), f"{out}/comparison")
     write_contract(spark, contract, f"{out}/contract")
+    write_params(spark, params, f"{out}/params")
     model = models[best["position"]]
     model.save(f"{out}/best_model")
     version = None
@@ -144,6 +145,11 @@ def train(
     return TrainingResult(table, best, model, f"{out}/best_model", version, params, warnings)
 
 
+def read_comparison(spark: SparkSession, out: str) -> DataFrame:
+    """The metric rows that a training job left below ``out``, the best one marked."""
+    return spark.read.schema(f"{COMPARISON_SCHEMA}, best boolean").parquet(f"{out}/comparison")
+
+
 def train_baseline(sales: DataFrame, dim: DataFrame, contract: FeatureContract, out: str, **kwargs) -> TrainingResult:
     """Training with the nearest-neighbour baseline alone."""
     return train(sales, dim, contract, out, only=["baseline_knn"], **kwargs)

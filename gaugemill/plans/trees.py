@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PATIENCE = 20  # rounds without gain after which boosting stops
+LEAST_GAIN = 1e-7
 FIRST_ROUNDS = 40
 CUT_GROUPS, CUTS = 10, 15  # groups of trees with cut points of their own, cut points of a column
 
@@ -21,10 +22,13 @@ CUT_GROUPS, CUTS = 10, 15  # groups of trees with cut points of their own, cut p
 
 
 def stop_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """Number of rounds with the least loss before ``patience`` rounds passed without a lower one, and whether they did."""
+    """Number of rounds with the least loss before ``patience`` rounds passed without a lower one, and whether they did.
+
+    A loss is lower by more than ``LEAST_GAIN``, so that rounding alone keeps nothing going.
+    """
     best = 0
     for i, loss in enumerate(losses):
-        if loss < losses[best]:
+        if loss < losses[best] - LEAST_GAIN:
             best = i
         elif i - best >= patience:
             return best + 1, True

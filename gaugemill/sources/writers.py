@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugemill.contracts import FeatureContract
+from gaugemill.contracts import FeatureContract, TrainingParams
 
 
 def write_rows(df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> str:
@@ -19,12 +19,29 @@ def write_rows(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return path
 
 
+def _write_document(spark: SparkSession, text: str, path: str) -> str:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+def _read_document(spark: SparkSession, path: str) -> str:
+    return "".join(r["value"] for r in spark.read.option("wholetext", True).text(path).collect())
+
+
 def write_contract(spark: SparkSession, contract: FeatureContract, path: str) -> str:
     """Contract as one JSON text."""
-    spark.createDataFrame([(contract.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
-    return path
+    return _write_document(spark, contract.to_json(), path)
 
 
 def read_contract(spark: SparkSession, path: str) -> FeatureContract:
-    rows = spark.read.option("wholetext", True).text(path).collect()
-    return FeatureContract.from_json("".join(r["value"] for r in rows))
+    return FeatureContract.from_json(_read_document(spark, path))
+
+
+def write_params(spark: SparkSession, params: TrainingParams, path: str) -> str:
+    """Training parameters as one JSON text."""
+    return _write_document(spark, params.to_json(), path)
+
+
+def read_params(spark: SparkSession, path: str) -> TrainingParams:
+    """Parameters of a training job from a JSON text, written by :func:`write_params` or by hand."""
+    return TrainingParams.from_json(_read_document(spark, path))
