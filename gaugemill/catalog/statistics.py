@@ -377,18 +377,26 @@ def _variant(changed: str) -> str:
 
 def _importance_sql() -> str:
     filled = ", ".join(f"coalesce({c}, 0e0) AS {c}" for c in IMPORTANCE_FEATURES)
-    order = "row_number() OVER (ORDER BY md5(CAST(c_custkey AS VARCHAR) || ':{seed}'), c_custkey)"
-    repeats = " UNION ALL ".join(
-        f"SELECT {r} AS repeat, a.balance, "
-        + ", ".join(f"a.{c}, b.{c} AS {c}__b" for c in IMPORTANCE_FEATURES)
-        + f" FROM (SELECT *, {order.format(seed=0)} AS rk FROM f) a JOIN (SELECT *, {order.format(seed=43 + r)} AS rk FROM f) b ON a.rk = b.rk"
-        for r in range(5)
-    )
+    def draw(value: str, i: int) -> str:
+        return f"CAST('0x' || substr(md5(CAST({value} AS VARCHAR) || ':{i}:' || CAST(seed AS VARCHAR)), 1, 8) AS BIGINT)"
+
+    columns = ", ".join(f"a.{c}, b.{c} AS {c}__b" for c in IMPORTANCE_FEATURES)
+    repeats = f"SELECT a.repeat, a.balance, {columns} FROM given a JOIN ranked b ON a.want = b.rk"
+    permutation = f"""ranked AS (SELECT *, row_number() OVER (ORDER BY md5(CAST(c_custkey AS VARCHAR) || ':0'), c_custkey) - 1 AS rk FROM f),
+sizes AS (SELECT n, CAST(greatest(1, floor(sqrt(n))) AS BIGINT) AS top FROM (SELECT count(*) AS n FROM f)),
+grid AS (SELECT n, a, (n + a - 1) // a AS b FROM sizes, range(1, 100001) r(a) WHERE a <= top AND a > greatest(0, top // 2 - 1, top - 1001) ORDER BY (n + a - 1) // a * a, a DESC LIMIT 1),
+r0 AS (SELECT seed, x, x % a AS l, x // a AS r, a, b, n FROM grid, range(43, 48) s(seed), LATERAL (SELECT unnest(range(a * b)) AS x)),
+r1 AS (SELECT * REPLACE ((l + {draw('r', 0)}) % a AS l) FROM r0), r2 AS (SELECT * REPLACE ((r + {draw('l', 1)}) % b AS r) FROM r1),
+r3 AS (SELECT * REPLACE ((l + {draw('r', 2)}) % a AS l) FROM r2), r4 AS (SELECT * REPLACE ((r + {draw('l', 3)}) % b AS r) FROM r3),
+pi AS (SELECT seed, x, l + a * r AS y, n FROM r4),
+walk AS (SELECT seed, x AS start, y, n FROM pi WHERE x < n UNION ALL SELECT w.seed, w.start, p.y, w.n FROM walk w JOIN pi p ON w.seed = p.seed AND w.y = p.x WHERE w.y >= w.n),
+given AS (SELECT w.seed - 43 AS repeat, w.y AS want, k.* FROM walk w JOIN ranked k ON k.rk = w.start WHERE w.y < w.n)"""
     maes = " UNION ALL ".join(
         f"SELECT repeat, '{c}' AS feature, avg(abs(balance - ({ESTIMATE.replace(c, c + '__b')}))) - avg(abs(balance - ({ESTIMATE}))) AS rise FROM dealt GROUP BY repeat"
         for c in IMPORTANCE_FEATURES
     )
-    return f"""WITH {ACCOUNTS_SQL}, f AS (SELECT c_custkey, balance, {filled} FROM accounts LEFT JOIN nations USING (nation)),
+    return f"""WITH RECURSIVE {ACCOUNTS_SQL}, f AS (SELECT c_custkey, balance, {filled} FROM accounts LEFT JOIN nations USING (nation)),
+{permutation},
 dealt AS ({repeats}), rises AS ({maes}),
 importance AS (SELECT feature, avg(rise) AS importance_mean, stddev_pop(rise) AS importance_std FROM rises GROUP BY feature)"""
 

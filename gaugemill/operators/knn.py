@@ -86,7 +86,8 @@ def _closest(a: np.ndarray, b: np.ndarray, n_codes: int, k: int) -> tuple[np.nda
 
 
 def _matrix(values: pd.Series) -> np.ndarray:
-    return np.array(values.tolist(), dtype=np.float64)
+    """Vectors of equal length as rows of one array."""
+    return np.concatenate(values.to_numpy()).reshape(len(values), -1) if len(values) else np.zeros((0, 0))
 
 
 @dataclass
@@ -211,9 +212,14 @@ def nearest_neighbours(index: NeighbourIndex, queries: DataFrame, row_id: str, v
     """
     k, n_codes, chunk, group = index.k, index.n_codes, index.chunk_rows, index.groups()
     spark = queries.sparkSession
-    visits = queries.select(F.col(row_id).alias("q_id"), vector.alias("q_vec")).withColumn(
-        "group", F.explode(_groups_to_visit(index, group)("q_vec"))
-    )
+    rows = queries.select(F.col(row_id).alias("q_id"), vector.alias("q_vec"))
+    if group.max():
+        # the pivots are measured once: the visits are counted, then read again
+        path = work_dir(spark, "visits")
+        rows.withColumn("group", F.explode(_groups_to_visit(index, group)("q_vec"))).write.parquet(path)
+        visits = spark.read.parquet(path)
+    else:
+        visits = rows.withColumn("group", F.lit(0))  # a single group needs no choice
     asked = {r["group"]: r["count"] for r in visits.groupBy("group").count().collect()}
     # query chunks are full where that leaves enough blocks for all cores, and smaller otherwise
     spread = sum(asked.values()) // (4 * spark.sparkContext.defaultParallelism)

@@ -7,6 +7,7 @@ counted per digest prefix, and only inside one prefix are they sorted, each pref
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from gaugemill.session import work_dir
 
 PREFIX_DIGITS = 3
+MIXING_ROUNDS = 4
 
 
 def row_digest(keys: Sequence[str], seed: int) -> Column:
@@ -120,3 +122,50 @@ def permuted_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     there = with_hash_rank(df.select(*dict.fromkeys([*keys, *columns])), keys, seed, "there", digits)
     there = there.select(F.col("there").alias("here"), *(F.col(c).alias(f"{c}__permuted") for c in columns))
     return here.join(there, "here").drop("here")
+
+
+def grid_of(n: int) -> tuple[int, int]:
+    """Sides ``(a, b)`` of a grid of at least ``n`` cells, as few more as can be with ``a`` near the square root of ``n``."""
+    top = max(1, math.isqrt(n))
+    widths = range(top, max(0, top // 2 - 1, top - 1001), -1)
+    return min(((a, -(-n // a)) for a in widths), key=lambda side: side[0] * side[1])
+
+
+def permuted_rank(rank: Column, n: int, seed: Column) -> Column:
+    """A permutation of the ranks ``0 .. n - 1`` that depends on ``seed`` alone: no sort, no table.
+
+    The rank is a cell of a grid; in each round one coordinate is moved by a digest of the other, which can be undone, so
+    no two cells meet. A cell beyond ``n`` is moved again until it lies within; there are fewer such cells than columns,
+    and no walk can take more steps than there are cells beyond.
+    """
+    a, b = grid_of(n)
+
+    def draw(value: Column, i: Column) -> Column:
+        digest = F.md5(F.concat_ws(":", value.cast("string"), i.cast("string"), seed.cast("string")))
+        return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+    def cell(left: Column, right: Column) -> Column:
+        return F.struct(left.cast("bigint").alias("left"), right.cast("bigint").alias("right"))
+
+    def moved(c: Column, i: Column) -> Column:
+        across = cell(F.pmod(c["left"] + draw(c["right"], i), F.lit(a)), c["right"])
+        down = cell(c["left"], F.pmod(c["right"] + draw(c["left"], i), F.lit(b)))
+        return F.when(i % 2 == 0, across).otherwise(down)
+
+    def mixed(x: Column) -> Column:
+        start = cell(F.pmod(x, F.lit(a)), F.floor(x / F.lit(a)))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(MIXING_ROUNDS - 1)), start, moved, lambda c: c["left"] + F.lit(a) * c["right"])
+
+    out, beyond = mixed(rank), a * b - n
+    if not beyond:
+        return out
+    return F.aggregate(F.sequence(F.lit(1), F.lit(beyond)), out, lambda x, _: F.when(x < n, x).otherwise(mixed(x)))
+
+
+def dealt_values(ranked: DataFrame, n: int, columns: Sequence[str], seeds: Sequence[int], rank: str = "rank") -> DataFrame:
+    """Rows of ``ranked`` once per seed, numbered ``repeat``, with ``<c>__permuted``: the values of the row that the seed's
+    permutation of the ranks names. One join serves all seeds; every row gives its values away exactly once per seed."""
+    numbered = F.posexplode(F.array(*(F.lit(s).cast("bigint") for s in seeds))).alias("repeat", "__seed")
+    rows = ranked.select("*", numbered).withColumn("__from", permuted_rank(F.col(rank), n, F.col("__seed")))
+    values = ranked.select(F.col(rank).alias("__from"), *(F.col(c).alias(f"{c}__permuted") for c in columns))
+    return rows.join(values, "__from").drop("__from", "__seed")

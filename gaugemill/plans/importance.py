@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugemill.contracts import Candidate
-from gaugemill.operators.sampling import permuted_values
+from gaugemill.operators.sampling import dealt_values, with_hash_rank
 from gaugemill.operators.selection import ablation_deltas
 from gaugemill.operators.stats import regression_metrics
 from gaugemill.plans.models import fit_model, fit_preprocessing
@@ -24,31 +24,26 @@ def permutation_importance(
     """``(feature, importance_mean, importance_std)``: rise of the MAE when a column's values are dealt out anew,
     mean and population deviation over the repeats.
 
-    ``predict`` adds ``prediction`` in the units of ``target``. Each repeat deals all columns out with one join;
-    the variants of a row (one column exchanged each, and the unchanged row) are scored together. The rows are
-    written to the shared work folder first, because every repeat reads them again.
+    ``predict`` adds ``prediction`` in the units of ``target``. The rows are ranked by the digest of their key once and
+    written; all repeats are permutations of these ranks and meet their values in one join. The variants of a row (one
+    column exchanged each) are scored together, the unchanged rows once.
     """
     path = work_dir(df.sparkSession, "importance")
-    df.select(*dict.fromkeys([*keys, target, *features])).write.parquet(path)
-    base = df.sparkSession.read.parquet(path)
-    scored = None
-    for repeat in range(repeats):
-        dealt = permuted_values(base, keys, features, seed + 1 + repeat)
-        types = {f.name: f.dataType for f in base.schema}
-        variants = F.array(
-            *(
-                F.struct(
-                    F.lit(name).alias("feature"),
-                    *(F.col(f"{c}__permuted" if c == name else c).cast(types[c]).alias(c) for c in features),
-                )
-                for name in (BASE_LABEL, *features)
-            )
+    with_hash_rank(df.select(*dict.fromkeys([*keys, target, *features])), keys, 0).drop("rank_of").write.parquet(path)
+    ranked = df.sparkSession.read.parquet(path)
+    types = {f.name: f.dataType for f in ranked.schema}
+    dealt = dealt_values(ranked, ranked.count(), features, [seed + 1 + r for r in range(repeats)])
+    variants = F.array(
+        *(
+            F.struct(F.lit(name).alias("feature"), *(F.col(f"{c}__permuted" if c == name else c).cast(types[c]).alias(c) for c in features))
+            for name in features
         )
-        rows = dealt.select(F.lit(repeat).alias("repeat"), target, F.inline(variants))
-        scored = rows if scored is None else scored.unionByName(rows)
+    )
+    base = ranked.select(F.lit(None).cast("int").alias("repeat"), target, F.lit(BASE_LABEL).alias("feature"), *features)
+    scored = dealt.select("repeat", target, F.inline(variants)).unionByName(base)
     maes = predict(scored).groupBy("repeat", "feature").agg(F.avg(F.abs(F.col(target) - F.col("prediction"))).alias("mae"))
-    whole = maes.filter(F.col("feature") == BASE_LABEL).select("repeat", F.col("mae").alias("base"))
-    rise = maes.filter(F.col("feature") != BASE_LABEL).join(F.broadcast(whole), "repeat")  # one row per repeat
+    whole = maes.filter(F.col("feature") == BASE_LABEL).select(F.col("mae").alias("base"), F.lit(1).alias("__one"))
+    rise = maes.filter(F.col("feature") != BASE_LABEL).withColumn("__one", F.lit(1)).join(F.broadcast(whole), "__one")  # one row
     return rise.groupBy("feature").agg(
         F.avg(F.col("mae") - F.col("base")).alias("importance_mean"),
         F.stddev_pop(F.col("mae") - F.col("base")).alias("importance_std"),

@@ -227,3 +227,25 @@ def test_categories_are_exact_or_raise(spark):
     with pytest.raises(ValueError, match="hashed"):
         fit_preprocessing(df, [], ["c"], max_categories=2)
     assert fit_preprocessing(df, [], ["c"], max_categories=2, hashed=["c"]).hashed == ("c",)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 100, 101, 997])
+def test_permuted_ranks_are_a_permutation(spark, n):
+    a, b = sampling.grid_of(n)
+    assert 0 <= a * b - n < a <= b
+    out = spark.range(n).select("id", *(sampling.permuted_rank(F.col("id"), n, F.lit(s)).alias(f"s{s}") for s in (1, 2))).orderBy("id").collect()
+    assert sorted(r["s1"] for r in out) == sorted(r["s2"] for r in out) == list(range(n))
+    if n >= 100:
+        same = sum(r["s1"] == r["s2"] for r in out) + sum(r["s1"] == r["id"] for r in out)
+        steps = {out[i + 1]["s1"] - out[i]["s1"] for i in range(n - 1)}
+        assert same < n // 5 and len(steps) > n // 3  # neither the identity nor a shift
+
+
+def test_dealt_values_give_every_row_away_once(spark):
+    ranked = spark.range(60).select(F.col("id").alias("rank"), (F.col("id") * 10).alias("v"))
+    out = sampling.dealt_values(ranked, 60, ["v"], [5, 6, 7])
+    for repeat in range(3):
+        given = [r["v__permuted"] for r in out.where(F.col("repeat") == repeat).collect()]
+        assert sorted(given) == [10 * i for i in range(60)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1  # one join, whatever the number of seeds
