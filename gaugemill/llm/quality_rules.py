@@ -30,8 +30,6 @@ STOP_WORDS = (
     "el los y del se las por con no una su para al lo como"
 ).split()
 
-POSITION_BITS = 28
-POSITIONS = (1 << POSITION_BITS) - 1
 
 
 @dataclass(frozen=True)
@@ -66,8 +64,8 @@ MAX_REPEAT_PERCENT = 50
 def measured(docs: DataFrame, keep: Iterable[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """Counts per text, beside the columns named in ``keep``.
 
-    ``n_repeat_words`` counts the words that lie in a 3-word window found twice or more. Windows are sorted by 36 bits
-    of their hash together with their position; neighbours of equal hash are confirmed on the words themselves.
+    ``n_repeat_words`` counts the words that lie in a 3-word window found twice or more. Windows are sorted by the 64 bits
+    of their hash, then their position; neighbours of equal hash are confirmed on the words themselves.
     """
     keep = list(keep)
     rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
@@ -80,15 +78,14 @@ def measured(docs: DataFrame, keep: Iterable[str] = ("doc_id",), text: str = "te
     rows = rows.select(*carried, F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
     rows = rows.select(*carried, "_hashes", pairwise("_hashes", "_hashes", 1, lambda a, b: F.xxhash64(a, b)).alias("_pairs"))
     rows = rows.select(*carried, pairwise("_pairs", "_hashes", 2, lambda a, b: F.xxhash64(a, b)).alias("_windows"))
-    placed = F.transform("_windows", lambda h, i: F.shiftleft(h, POSITION_BITS).bitwiseOR(i.cast("long")))
+    placed = F.transform("_windows", lambda h, i: F.struct(h.alias("hash"), i.alias("at")))
     rows = rows.select(*carried, F.sort_array(placed).alias("_windows"))
 
     def both(a: Column, b: Column) -> Column:
-        p, q = a.bitwiseAND(F.lit(POSITIONS)).cast("int"), b.bitwiseAND(F.lit(POSITIONS)).cast("int")
-        equal = F.shiftright(a.bitwiseXOR(b), POSITION_BITS) == 0
+        equal = a["hash"] == b["hash"]
         for j in range(3):
-            equal = equal & (F.get("_words", p + j) == F.get("_words", q + j))
-        return F.when(equal, F.array(p, q))
+            equal = equal & (F.get("_words", a["at"] + j) == F.get("_words", b["at"] + j))
+        return F.when(equal, F.array(a["at"], b["at"]))
 
     found = F.flatten(F.filter(pairwise("_windows", "_windows", 1, both), lambda x: x.isNotNull()))
     rows = rows.select(*carried, F.sort_array(F.array_distinct(found)).alias("_found"))

@@ -26,6 +26,7 @@ import io
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -92,6 +93,18 @@ def record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return END.join([*head, b"", block, b"", b""])
 
 
+def header_text(value: str, reversible: bool = False) -> str:
+    """A value that stays within its header line: control characters and blanks at the ends are percent-encoded.
+
+    ``reversible`` also encodes the percent sign, so that ``unquote`` gives back any text.
+    """
+    marks = "%" if reversible else ""
+    inner = len(value) - len(value.lstrip()), len(value.rstrip())
+    return "".join(
+        quote(c, safe="") if c in marks or not c.isprintable() or (c.isspace() and not inner[0] <= i < inner[1]) else c for i, c in enumerate(value)
+    )
+
+
 def record_id(seed: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, seed)}>"
 
@@ -103,11 +116,12 @@ def page_records(page_id: str, url: str, payload: bytes, digest: str, refers_to:
     """
     seed = lambda page, row="", part="": record_id(f"{len(payload)}:{digest}:{row}:{part}:{page}")
     own = seed(page_id, row)
-    common = [("WARC-Record-ID", own), ("WARC-Date", DATE), ("WARC-Target-URI", url), ("X-Page-ID", page_id), ("WARC-Payload-Digest", f"sha1:{digest}")]
+    url = header_text(url)
+    common = [("WARC-Record-ID", own), ("WARC-Date", DATE), ("WARC-Target-URI", url), ("X-Page-ID", header_text(page_id, True)), ("WARC-Payload-Digest", f"sha1:{digest}")]
     if refers_to is not None:
         head = b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n" % len(payload)
         more = [("WARC-Type", "revisit"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-                ("WARC-Refers-To", seed(refers_to)), ("X-Refers-To-Page-ID", refers_to)]
+                ("WARC-Refers-To", seed(refers_to)), ("X-Refers-To-Page-ID", header_text(refers_to, True))]
         yield record([*more, *common], head)
         return
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(payload)
@@ -205,7 +219,8 @@ def read_records(spark: SparkSession, manifest: DataFrame, uri: str) -> DataFram
                         segment = int(fields.get("WARC-Segment-Number", 0))
                         origin = fields.get("WARC-Segment-Origin-ID") or (fields["WARC-Record-ID"] if segment else None)
                         total = fields.get("WARC-Segment-Total-Length")
-                        rows.append((fields.get("X-Page-ID"), fields["WARC-Type"], fields.get("X-Refers-To-Page-ID"), fields.get("WARC-Payload-Digest"), origin, segment, int(total) if total else None, block))
+                        ids = [v if v is None else unquote(v) for v in map(fields.get, ("X-Page-ID", "X-Refers-To-Page-ID"))]
+                        rows.append((ids[0], fields["WARC-Type"], ids[1], fields.get("WARC-Payload-Digest"), origin, segment, int(total) if total else None, block))
                         held += len(block)
                         if held >= BATCH_BYTES:
                             yield _frame(rows)

@@ -264,3 +264,52 @@ def test_stages_keep_columns_of_clashing_names(spark, tmp_path):
         assert docs.columns[: len(names)] == names
     rows = docs.collect()
     assert rows and all(r["node"] == f"v{r['doc_id']}" == r["redacted"] and "[SECRET]" in r["text"] and r["n_tokens"] == len(r["ids"]) for r in rows)
+
+
+def test_repeats_whose_hashes_share_36_bits(docs):
+    """The hashes of two windows agree in 36 bits, so their places interleave when no more than those are compared."""
+    texts = ["x y w713610 p q x y w809224 r s x y w713610 t u x y w809224", "x y w713610 p q x y w8 r s x y w713610 t u x y w8"]
+    found = quality_rules.measured(docs(*texts)).select("n_repeat_words").collect()
+    assert [r[0] for r in found] == [12, 12]
+
+
+def test_header_lines_of_archives_hold_any_text(spark, tmp_path):
+    pages = [("a\r\nContent-Length: 3\r\n\r\nx", "http://x/\r\n\r\n?q=%20 é", "one"), (" 100% ", "\x00u ", "one"), ("b%0A", "", "two"), ("", "u", "three")]
+    frame = spark.createDataFrame(pages, "page_id string, url string, html string")
+    uri = f"file://{tmp_path}/warc"
+    manifest = warc.write_archives(frame, uri)
+    found = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.read_payloads(spark, manifest, uri).collect()}
+    assert found == {" 100% ": ("response", None), pages[0][0]: ("revisit", " 100% "), "b%0A": ("response", None), "": ("response", None)}
+    urls = {f["WARC-Target-URI"] for m in manifest.collect() for f, _ in warc.parse(open(m["path"], "rb"))}
+    assert urls == {"http://x/%0D%0A%0D%0A?q=%20 é", "%00u%20", "", "u"}
+
+
+def test_sample_has_one_row_of_a_repeated_id(spark, docs):
+    rows = [(1, f"un texte {i % 3} de la page", "fr", "s", 1) for i in range(300)] + [(i, "ein Text", "de", "s", 1) for i in range(2, 6)]
+    df = spark.createDataFrame(rows, docs().schema)
+    texts, labels = langid_crf.sample(df)
+    assert labels.count("fr") == 1 and labels.count("de") >= 1 and len(texts) <= 5
+
+
+def test_labeler_empties_its_table_of_words(monkeypatch):
+    texts = [f"le mot numero {chr(97 + i)}{chr(97 + i)} est ici" for i in range(20)] + [f"das wort nummer {chr(97 + i)} ist da" for i in range(20)]
+    langs = ["fr"] * 20 + ["de"] * 20
+    model, support = langid_crf.fit(texts, langs), langid_crf.fit_support(texts, langs)
+    given = [*texts, None, "", "12 34", "le " * 500]
+    whole = langid_crf.Labeler(model, support).documents(given)
+    monkeypatch.setattr(langid_crf, "MAX_CELLS", 6)
+    monkeypatch.setattr(langid_crf, "BATCH_WORDS", 10)
+    small = langid_crf.Labeler(model, support).documents(given)
+    assert whole[0] == small[0] and np.allclose(whole[1], small[1]) and (whole[2] == small[2]).all()
+    assert whole[0][:20] == ["fr"] * 20 and whole[0][40:43] == ["und"] * 3
+
+
+def test_slices_hold_whole_texts():
+    import pyarrow as pa
+
+    from gaugemill.llm._rows import slices
+
+    batch = pa.record_batch({"text": ["aaaa", None, "bb", "c" * 50, "d", ""], "i": list(range(6))})
+    parts = [p.column("i").to_pylist() for p in slices(batch, "text", 6)]
+    assert parts == [[0, 1, 2], [3], [4, 5]]
+    assert [p.num_rows for p in slices(batch, "text", None)] == [6]

@@ -103,3 +103,29 @@ def test_archives_of_repeated_ids_and_pages_without_id(spark, tmp_path):
     responses = {f["WARC-Record-ID"]: f for f in fields if f["WARC-Type"] == "response"}
     named = [(f, responses[f["WARC-Refers-To"]]) for f in fields if f["WARC-Type"] == "revisit"]
     assert len(named) == 3 and all(f["WARC-Payload-Digest"] == r["WARC-Payload-Digest"] and r["X-Page-ID"] == f["X-Refers-To-Page-ID"] for f, r in named)
+
+
+def test_pipeline_keeps_rows_that_teach_no_language(spark, docs, tmp_path):
+    import corpus_pipeline
+
+    rows = [(i, f"Some words that nobody has labelled, number {i}, and more of them." * 3, None, "s", 1) for i in range(5)]
+    for part in (rows, []):
+        frame = spark.createDataFrame(part, docs().schema)
+        assert sorted(r["doc_id"] for r in corpus_pipeline.languages(spark, frame, "").collect()) == [r[0] for r in part]
+    for name, frame in (("documents", spark.createDataFrame([], docs().schema)), ("benchmark", spark.createDataFrame([(1, "a b c")], "item_id long, text string"))):
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_rejects_foreign_texts_of_a_table(spark, docs, tmp_path):
+    """Foreign and letterless rows added to a table go, and every other row of the run stays as without them."""
+    import corpus_pipeline
+
+    known = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    foreign = ["Це зовсім інша мова, якої ніхто не вчив у цій таблиці, і вона має піти геть звідси." * 4, "これは別の言語で書かれた文章です。誰も教えていません。" * 6, "12345 67890 !!!"]
+    more = spark.createDataFrame([(10**9 + i, t, None, "s", 1) for i, t in enumerate(foreign)], docs().schema)
+    known.select(*docs().columns).unionByName(more).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    ids = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()}
+    assert not ids & {10**9, 10**9 + 1, 10**9 + 2}
+    assert ids == {r["doc_id"] for r in corpus_pipeline.run(spark, "/root/testdata/sf0.001").select("doc_id").collect()}
