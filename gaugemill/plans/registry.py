@@ -7,12 +7,14 @@ import logging
 import uuid
 from collections.abc import Mapping
 from datetime import UTC, datetime
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugemill.plans.models import load_model
 from gaugemill.sources.readers import path_exists
+from gaugemill.sources.writers import create_once
 
 log = logging.getLogger(__name__)
 
@@ -56,19 +58,37 @@ def latest_versions(table: DataFrame) -> DataFrame:
     return table.groupBy("name").agg(F.max_by(F.struct(*table.columns), "version").alias("v")).select("v.*")
 
 
+def last_version(spark: SparkSession, base: str, name: str) -> int:
+    """The highest version of ``name`` in the table, 0 without any."""
+    if not path_exists(spark, f"{base}/model_versions"):
+        return 0
+    return versions(spark, base).filter(F.col("name") == name).agg(F.max("version")).first()[0] or 0
+
+
+def claim_version(spark: SparkSession, base: str, name: str, after: int) -> int:
+    """The first version above ``after`` that nobody has claimed, now claimed.
+
+    A claim is a file that can be created once; a file system on which creating is exclusive (HDFS, for one) gives a number
+    to one writer only, however many read the table at the same time. A writer that fails later leaves a gap.
+    """
+    folder = f"{base}/model_claims/{quote(name, safe='')}"
+    version = after + 1
+    while not create_once(spark, f"{folder}/{version}"):
+        version += 1
+    return version
+
+
 def register_model(
     spark: SparkSession, base: str, name: str, path: str, run_id: str | None = None,
     metrics: Mapping | None = None, tags: Mapping[str, str] | None = None,
 ) -> int | None:
-    """Append the next version of ``name``. A failure is only logged. One writer per name at a time."""
+    """Append the next version of ``name``; writers at the same time get numbers of their own. A failure is only logged."""
     try:
-        last = 0
-        if path_exists(spark, f"{base}/model_versions"):
-            last = versions(spark, base).filter(F.col("name") == name).agg(F.max("version")).first()[0] or 0
+        version = claim_version(spark, base, name, last_version(spark, base, name))
         numbers = {k: float(v) for k, v in (metrics or {}).items() if v is not None}
-        row = (name, last + 1, path, run_id, numbers, dict(tags or {}), datetime.now(UTC))
+        row = (name, version, path, run_id, numbers, dict(tags or {}), datetime.now(UTC))
         spark.createDataFrame([row], VERSION_SCHEMA).write.mode("append").parquet(f"{base}/model_versions")
-        return last + 1
+        return version
     except Exception as problem:  # registration must not fail a finished training
         log.warning("model not registered: %s", problem)
         return None

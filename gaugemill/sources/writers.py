@@ -19,6 +19,19 @@ def write_rows(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return path
 
 
+def create_once(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there already."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        system.create(file, False).close()
+    except Exception:
+        if system.exists(file):
+            return False
+        raise
+    return True
+
+
 def _write_document(spark: SparkSession, text: str, path: str) -> str:
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return path

@@ -260,3 +260,14 @@ def test_sources(spark, tmp_path):
     assert read_if_usable(spark, f"{tmp_path}/rows.csv", ["a"])[1] == "missing_predicted_price_column"
     assert read_if_usable(spark, f"{tmp_path}/rows.csv", ["id"])[1] is None
     assert isinstance(HOUSE, FeatureContract)
+
+
+def test_writers_at_the_same_time_get_versions_of_their_own(spark, tmp_path, monkeypatch):
+    base = f"{tmp_path}/registry"
+    monkeypatch.setattr(registry, "last_version", lambda *_: 0)  # each reads the table before the others write
+    got = [registry.register_model(spark, base, "a/b", f"path{i}") for i in range(3)] + [registry.register_model(spark, base, "c", "p")]
+    assert got == [1, 2, 3, 1]
+    rows = registry.versions(spark, base).where("name = 'a/b'").collect()
+    assert sorted((r["version"], r["path"]) for r in rows) == [(1, "path0"), (2, "path1"), (3, "path2")]
+    monkeypatch.undo()
+    assert registry.register_model(spark, base, "a/b", "path3") == 4
