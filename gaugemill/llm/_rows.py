@@ -6,13 +6,14 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugemill.session import work_dir
 
 SIEVE_WORDS = 1 << 17
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def text_key(text: str) -> Column:
@@ -67,6 +68,16 @@ def numbered(docs: DataFrame, text: str = "text") -> tuple[DataFrame, list[str]]
     return docs.toDF(*names).withColumn("text", F.col(names[docs.columns.index(text)])), names
 
 
+def small_batches(spark: SparkSession, most_bytes: int = BATCH_BYTES) -> None:
+    """Let the session hand rows to Python in batches of at most so many bytes, unless it names fewer itself.
+
+    By rows alone a batch of long texts has no bound, and it is held by the JVM and by Python, in each task.
+    """
+    held = spark.conf.get(BATCH_SETTING, None)
+    if held is None or not held.isdigit() or int(held) > most_bytes:
+        spark.conf.set(BATCH_SETTING, str(most_bytes))
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int | None) -> Iterator[pa.RecordBatch]:
     """The batch in slices of rows whose texts take at most so many bytes together; a longer text is a slice of its own."""
     start, held = 0, 0

@@ -325,9 +325,9 @@ class Labeler:
     words is emptied once it is full, when the texts that refer to it are done.
     """
 
-    def __init__(self, model: Field, support: Support | None = None):
+    def __init__(self, model: Field, support: Support | None = None, cells: int | None = None):
         self.model, self.support = model, support
-        self.most = max(1, MAX_CELLS // max(1, len(model.languages)))
+        self.most = max(1, (cells or MAX_CELLS) // max(1, len(model.languages)))
         self._empty()
 
     def _empty(self) -> None:
@@ -456,11 +456,14 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS,
     return fit(*sample(docs, per_language, folds, test_fold))
 
 
-def identified(docs: DataFrame, model: Field, keep: Iterable[str] = ("doc_id",), support: Support | None = None) -> DataFrame:
-    """``lang_pred``, ``score`` and ``usual`` (true without a ``support``) of every row beside ``keep``."""
+def identified(docs: DataFrame, model: Field, keep: Iterable[str] = ("doc_id",), support: Support | None = None, cells: int | None = None) -> DataFrame:
+    """``lang_pred``, ``score`` and ``usual`` (true without a ``support``) of every row beside ``keep``.
+
+    ``cells`` bounds the sums that a worker holds of the words it has met (``MAX_CELLS``); it changes no result.
+    """
 
     def start():
-        labeler = Labeler(model, support)
+        labeler = Labeler(model, support, cells)
 
         def label(texts: list) -> list[pa.Array]:
             names, scores, usual = labeler.documents(texts)
