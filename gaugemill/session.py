@@ -26,16 +26,24 @@ def build_session(app: str = "gaugemill", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+WORK_DIR = "gaugemill.work.dir"
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
+    """A fresh path below the shared work folder of the session.
 
-    Without that setting only a local master gets a folder of its own (tests); a cluster must name one,
-    since a machine-local folder is not visible to other executors.
+    That is the folder named by ``spark.checkpoint.dir`` when the session was built, else the one the session names as
+    ``gaugemill.work.dir``, which can be set at any time. Without either only a local master gets a folder of its own
+    (tests); a cluster must name one, since a machine-local folder is not visible to other executors. What is written
+    there lasts until the owner of the folder removes it: results may read it for as long as they are used.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(WORK_DIR, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+            raise ValueError(
+                "no work folder: build the session with spark.checkpoint.dir, or call "
+                f'spark.conf.set("{WORK_DIR}", ...), with a folder shared by all executors'
+            )
         root = tempfile.mkdtemp(prefix="gaugemill-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.conf.set(WORK_DIR, root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
