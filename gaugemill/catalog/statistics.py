@@ -77,7 +77,7 @@ def _theta_sql(power: int, half: float) -> str:
     return f"list_sum(list_transform(range({start}, {start + 10}), lambda k: 2e0 * pow({x}, {power}) * exp(-{x} / (2e0 * z * z))))"
 
 
-# Pelz-Good series; from n d² = 2.2 on twice the one-sided tail, summed exactly for n up to 100,000
+# Pelz-Good series; from n d² = 2.2 on twice the one-sided sum less the share of both sides
 PVALUE_SQL = f"""
 sized AS (SELECT *, round_even(CAST(n1 AS DOUBLE) * n2 / (n1 + n2), 0) AS n FROM ks),
 scaled AS (SELECT *, greatest(sqrt(n) * d, 0.1e0) AS z, sqrt(pi() / 2) AS c FROM sized),
@@ -91,9 +91,8 @@ pvalues AS (SELECT feature, n1, n2, d, least(1e0, greatest(0e0,
       + (c / (6480 * pow(z, 10)) * ((5 - 30 * z * z) * s3 + (212 * pow(z, 4) - 60 * z * z) * s2
          + (135 * pow(z, 4) - 96 * pow(z, 6)) * s1 - (30 * pow(z, 6) + 90 * pow(z, 8)) * s0)
          + c / (108 * pow(z, 6)) * (3 * z * z * t1 - t2)) / (n * sqrt(n)))
-    WHEN n > 100000 THEN 2 * exp(-pow(6 * n * d + 1, 2) / (18 * n) - 4e0 / 9 * n * pow(d, 4))
     ELSE 2 * d * list_sum(list_transform(range(0, CAST(floor(n * (1 - d)) AS BIGINT) + 1), lambda j: CASE WHEN 1 - d - j / n <= 0 THEN 0e0
-      ELSE exp(lgamma(n + 1) - lgamma(j + 1e0) - lgamma(n - j + 1) + (j - 1) * ln(d + j / n) + (n - j) * ln(1 - d - j / n)) END)) END)) AS p FROM sums)"""
+      ELSE exp(lgamma(n + 1) - lgamma(j + 1e0) - lgamma(n - j + 1) + (j - 1) * ln(d + j / n) + (n - j) * ln(1 - d - j / n)) END)) - 2 * exp(-8 * n * d * d) END)) AS p FROM sums)"""
 
 EDGES_SQL = """
 sorted AS (SELECT feature, list_sort(list(v)) AS a, count(*) AS n FROM long WHERE is_ref GROUP BY feature),

@@ -1,11 +1,10 @@
 """p-values of the two-sided two-sample Kolmogorov-Smirnov test.
 
-Large samples use the limit of the one-sample statistic at ``n = round(n1 n2 / (n1 + n2))`` as a column
-expression: the series of Pelz and Good (1976) in the middle and twice the one-sided tail beyond. Where both
-samples hold at most 10,000 values the exact two-sample distribution is used (share of lattice paths, Hodges
-1958); for ``n`` up to 140 the exact one-sample one (Marsaglia, Tsang and Wang 2003), and up to 100,000 the
-summed one-sided tail (Birnbaum and Tingey 1951). These run as an Arrow function over the per-feature result,
-one short row per feature.
+Large samples use the one-sample statistic at ``n = round(n1 n2 / (n1 + n2))``: in the middle the series of Pelz and
+Good (1976) as a column expression, in the tail the one-sided sum of Birnbaum and Tingey (1951), for every ``n``. Where
+both samples hold at most 10,000 values the exact two-sample distribution is used (share of lattice paths, Hodges
+1958), and for ``n`` up to 140 the exact one-sample one (Marsaglia, Tsang and Wang 2003). All but the series run as an
+Arrow function over the per-feature result, one short row per feature.
 """
 
 from __future__ import annotations
@@ -20,8 +19,8 @@ from pyspark.sql import types as T
 
 EXACT_UP_TO = 10_000
 SMALL_N = 140
-SUMMED_N = 100_000
 TAIL_FROM = 2.2
+TAIL_POINTS = 200_000
 TERMS = 10
 
 
@@ -34,7 +33,7 @@ def _theta(power: int, half: float) -> str:
 
 
 def with_large_sample_pvalue(df: DataFrame, d: str, n: str, name: str) -> DataFrame:
-    """``df`` with P(D >= d) for the one-sample statistic at size ``n``."""
+    """``df`` with P(D >= d) for the one-sample statistic at size ``n``, good where ``n d²`` is below ``TAIL_FROM``."""
     # below z = 0.1 the distribution function is smaller than any double near 1
     steps = df.withColumns({"z": F.expr(f"greatest(sqrt({n}) * {d}, 0.1D)"), "c": F.expr("sqrt(pi() / 2)")})
     steps = steps.withColumns(
@@ -53,9 +52,7 @@ def with_large_sample_pvalue(df: DataFrame, d: str, n: str, name: str) -> DataFr
             " + c / (108 * pow(z, 6)) * (3 * z * z * t1 - t2)"
         ),
     })
-    tail = f"2 * exp(-pow(6 * {n} * {d} + 1, 2) / (18 * {n}) - 4D / 9 * {n} * pow({d}, 4))"
-    middle = f"1 - (k0 + k1 / sqrt({n}) + k2 / {n} + k3 / ({n} * sqrt({n})))"
-    p = F.expr(f"least(1D, greatest(0D, CASE WHEN {n} * {d} * {d} >= {TAIL_FROM} THEN {tail} ELSE {middle} END))")
+    p = F.expr(f"least(1D, greatest(0D, 1 - (k0 + k1 / sqrt({n}) + k2 / {n} + k3 / ({n} * sqrt({n})))))")
     return steps.withColumn(name, p).select(*df.columns, name)
 
 
@@ -84,14 +81,39 @@ def exact_two_sample(d: float, n1: int, n2: int) -> float:
     return float(min(1.0, left[n1 + 1]))
 
 
+def _stirling_rest(x: np.ndarray) -> np.ndarray:
+    """What Stirling's formula leaves out of log x!."""
+    small = np.array([0.0] + [math.lgamma(k + 1) - (k + 0.5) * math.log(k) + k - 0.5 * math.log(2 * math.pi) for k in range(1, 16)])
+    large = np.maximum(x, 16.0)
+    series = (1 / 12 - (1 / 360 - (1 / 1260 - 1 / (1680 * large**2)) / large**2) / large**2) / large
+    return np.where(x < 16, small[np.minimum(x, 15).astype(int)], series)
+
+
 def _one_sided(d: float, n: int) -> float:
-    """P(D+ >= d) for sample size ``n``, summed in logarithms."""
-    log_fact = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, n + 1, dtype=np.float64)))))
-    j = np.arange(math.floor(n * (1 - d)) + 1)
-    rest = 1 - d - j / n
-    j, rest = j[rest > 0], rest[rest > 0]
-    log = log_fact[n] - log_fact[j] - log_fact[n - j] + (j - 1) * np.log(d + j / n) + (n - j) * np.log(rest)
-    return float(min(1.0, d * np.exp(log).sum()))
+    """P(D+ >= d) for sample size ``n``.
+
+    The terms of the sum form one smooth hill, summed in logarithms. The large parts of their logarithms cancel, so they
+    are taken as differences: log1p of the small ratios, and the rests of Stirling's formula. A hill wider than
+    ``TAIL_POINTS`` terms is measured at as many places at an even distance, which for such a hill is the sum itself but
+    for rounding.
+    """
+    last = math.ceil(n * (1 - d)) - 1
+    total = (1 - d) ** n
+    if last < 1:
+        return min(1.0, total)
+    step = max(1, -(-last // TAIL_POINTS))
+    j = np.arange(1 + step // 2, last + 1, step, dtype=np.float64)
+    u, v = j / n, (n - j) / n
+    gain = n * (u * np.log1p(d / u) + v * np.log1p(np.maximum(-d / v, -1 + 1e-300)))
+    log = gain - np.log(d + u) - 0.5 * np.log(2 * np.pi * n * u * v) + _stirling_rest(np.array([float(n)]))[0] - _stirling_rest(j) - _stirling_rest(n - j)
+    return float(min(1.0, total + d * step * np.exp(log).sum()))
+
+
+def one_sample_tail(d: float, n: int) -> float:
+    """P(D >= d) where ``n d²`` is at least ``TAIL_FROM``: twice the one-sided tail, less what both sides share."""
+    if d >= 1:
+        return 0.0
+    return min(1.0, max(0.0, 2 * _one_sided(d, n) - 2 * math.exp(-8.0 * n * d * d)))
 
 
 def exact_one_sample(d: float, n: int) -> float:
@@ -122,7 +144,8 @@ def _exact_pvalue(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
             return None
         if max(n1, n2) <= EXACT_UP_TO:
             return exact_two_sample(d, int(n1), int(n2))
-        return exact_one_sample(d, round(n1 * n2 / (n1 + n2)))
+        n = round(n1 * n2 / (n1 + n2))
+        return exact_one_sample(d, n) if n <= SMALL_N else one_sample_tail(d, n)
 
     return pd.Series([one(*row) for row in zip(d, n1, n2, strict=True)], dtype="float64")
 
@@ -132,7 +155,7 @@ def with_ks_pvalue(df: DataFrame, statistic: str = "ks_statistic", n1: str = "n_
     # size of the limit distribution, halves to even
     sized = df.withColumn("__n", F.expr(f"rint(try_divide(CAST({n1} AS DOUBLE) * {n2}, {n1} + {n2}))"))
     sized = with_large_sample_pvalue(sized, statistic, "__n", "__limit")
-    in_tail = f"(__n <= {SUMMED_N} AND __n * {statistic} * {statistic} >= {TAIL_FROM})"
+    in_tail = f"__n * {statistic} * {statistic} >= {TAIL_FROM}"
     exact = F.expr(f"greatest({n1}, {n2}) <= {EXACT_UP_TO} OR __n <= {SMALL_N} OR {in_tail}")
     by_hand = _exact_pvalue(F.when(exact, F.col(statistic)), F.col(n1).cast("double"), F.col(n2).cast("double"))
     value = F.when(F.col(statistic).isNull(), None).when(exact, by_hand).otherwise(F.col("__limit"))

@@ -109,3 +109,35 @@ def test_pvalue_picks_the_regime(spark):
     assert got[3] == 0.0
     assert got[4] is None
     assert got[5] == pytest.approx(0.6993742, abs=1e-4)  # limit distribution at z = sqrt(1/2)
+
+
+def one_sided_in_decimals(d, n):
+    """The sum of Birnbaum and Tingey with 60 digits."""
+    from decimal import Decimal, localcontext
+
+    with localcontext() as context:
+        context.prec = 60
+        d, total, choose = Decimal(d), Decimal(0), Decimal(1)
+        for j in range(int(n * (1 - d)) + 1):
+            rest = 1 - d - Decimal(j) / n
+            if rest > 0:
+                total += choose * (d + Decimal(j) / n) ** (j - 1) * rest ** (n - j)
+            choose = choose * (n - j) / (j + 1)
+        return float(d * total)
+
+
+@pytest.mark.parametrize(("d", "n"), [("0.4", 20), ("0.9", 7), ("0.15", 150), ("0.05", 1000), ("0.07", 500), ("0.3", 500), ("0.05", 3000)])
+def test_tail_agrees_with_sum_in_decimals(d, n):
+    want = one_sided_in_decimals(d, n)
+    assert kolmogorov._one_sided(float(d), n) == pytest.approx(want, rel=1e-12)
+
+
+def test_tail_of_any_size(monkeypatch):
+    for n in (10**5, 10**6, 10**9, 10**12):
+        z2 = 3.0
+        got = kolmogorov.one_sample_tail((z2 / n) ** 0.5, n)
+        # the limit, and the first term beyond it (Smirnov 1944)
+        assert got == pytest.approx(2 * np.exp(-2 * z2) * (1 - 2 * z2**0.5 / (3 * n**0.5)) - 2 * np.exp(-8 * z2), rel=5 / n + 1e-8)
+    whole = kolmogorov._one_sided(0.005, 150_000)
+    monkeypatch.setattr(kolmogorov, "TAIL_POINTS", 10_000)
+    assert kolmogorov._one_sided(0.005, 150_000) == pytest.approx(whole, rel=1e-12)
