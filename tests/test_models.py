@@ -54,6 +54,19 @@ def test_neighbour_join_is_exact(spark, pivots, chunk):
         assert predicted[q] == pytest.approx(mean)
 
 
+def test_equal_training_vectors_are_kept_k_times(spark):
+    spots = [[0.0, 0.0], [3.0, 4.0], [9.0, 9.0]]
+    rows = [(900 - i, float(i), spots[0 if i < 700 else 1 + i % 2]) for i in range(900)]
+    fit_rows = spark.createDataFrame(rows, "id long, y double, v array<double>").repartition(6)
+    index = build_index(fit_rows, "id", "y", F.col("v"), 0, 5)
+    kept = {tuple(r["t_vec"]): sorted(r["ids"]) for r in index.rows.groupBy("t_vec").agg(F.collect_list("t_id").alias("ids")).collect()}
+    assert kept == {tuple(s): sorted(i for i, _, v in rows if v == s)[:5] for s in spots}
+    asked = spark.createDataFrame([(0, [0.0, 0.0]), (1, [3.0, 3.0])], "q long, v array<double>")
+    got = nearest_neighbours(index, asked, "q", F.col("v")).toPandas()
+    for q, spot in ((0, spots[0]), (1, spots[1])):
+        assert sorted(got[got.q_id == q].t_id) == kept[tuple(spot)]
+
+
 def test_too_few_training_rows(spark):
     rows = spark.createDataFrame([(1, 1.0, [0.0])], "id long, y double, v array<double>")
     with pytest.raises(ValueError, match="fewer than k"):
