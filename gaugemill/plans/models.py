@@ -27,8 +27,7 @@ LABEL = "__label"
 HOLD_OUT = "__hold_out"
 MAX_CATEGORIES = 100_000  # what the driver may hold of a column
 HASHED_CATEGORIES = 4_096
-FIT_ROWS = 100_000  # labeled rows that a tree ensemble is fitted on
-PART_ROWS = 5_000  # of them in a partition
+PART_ROWS, MAX_PARTS = 5_000, 200  # labeled rows in a partition of a tree ensemble's fit, and partitions
 OWN_PARAMS = ("validation_fraction", "patience")  # settings of the fit, not of Spark's learners
 
 # Estimator settings of the candidates.
@@ -160,24 +159,24 @@ def estimator(name: str, seed: int, **overrides):
     return (GBTRegressor if name == "hist_gradient_boosting" else RandomForestRegressor)(**common, **params)
 
 
-def fit_trees(labeled: DataFrame, candidate: Candidate, prep: Preprocessing, row_id: str, seed: int, max_rows: int = FIT_ROWS) -> PipelineModel:
+def fit_trees(labeled: DataFrame, candidate: Candidate, prep: Preprocessing, row_id: str, seed: int, max_rows: int | None = None) -> PipelineModel:
     """Preprocessing, the candidate's trees and the way back to target units as one pipeline.
 
-    At most about ``max_rows`` labeled rows are fitted (a share by the row id's digest), since the nodes of a forest grow
-    with them and are held by the driver. The features are made once and written, in as many parts as ``PART_ROWS`` asks
-    for: each level of a tree adds up one table of statistics per part.
+    All labeled rows are fitted, unless ``max_rows`` asks for about that many (a share by the row id's digest): the nodes of
+    a deep forest grow with them and are held by the driver. The features are made once and written, in as many parts as
+    ``PART_ROWS`` asks for, and at most ``MAX_PARTS``: each level of a tree adds up one table of statistics per part.
     """
     params = {**DEFAULT_PARAMS[candidate.name], **candidate.params}
     n = labeled.count()
-    if n > max_rows:
-        labeled = labeled.filter(in_share([row_id], max_rows / n, seed + 2))
+    if max_rows is not None and n > max_rows:
+        n, labeled = max_rows, labeled.filter(in_share([row_id], max_rows / n, seed + 2))
     fraction = params.get("validation_fraction", 0)
     held = in_share([row_id], fraction, seed + 1) if fraction else F.lit(False)
     stages = Pipeline(stages=preprocessing_stages(prep)).fit(labeled).stages
     inputs = stages[-1].getInputCols()
     made = PipelineModel(stages).transform(labeled).select(LABEL, "features", *(f"`{c}`" for c in inputs), held.alias(HOLD_OUT))
     path = work_dir(labeled.sparkSession, "training-features")
-    made.repartition(max(1, math.ceil(min(n, max_rows) / PART_ROWS))).write.parquet(path)
+    made.repartition(min(MAX_PARTS, max(1, math.ceil(n / PART_ROWS)))).write.parquet(path)
     ready = labeled.sparkSession.read.parquet(path)
     regressor = estimator(candidate.name, seed, **candidate.params)
     if candidate.name == "extra_trees":
@@ -257,11 +256,11 @@ def fit_model(
     seed: int = 42,
     prep: Preprocessing | None = None,
     hashed: Sequence[str] = (),
-    max_rows: int = FIT_ROWS,
+    max_rows: int | None = None,
 ) -> TreeModel | NeighbourModel:
     """Fit one candidate on feature rows. Pass ``prep`` to share the preprocessing of several candidates.
 
-    ``max_rows`` bounds the labeled rows of a tree ensemble; the neighbour model keeps them all.
+    ``max_rows``, where it is given, bounds the labeled rows of a tree ensemble; the neighbour model keeps them all.
     """
     prep = prep or fit_preprocessing(train, numeric, categorical, hashed=hashed)
     labeled = train.withColumn(LABEL, log_target(F.col(target).cast("double"), candidate.target_mode))

@@ -109,6 +109,15 @@ def test_rows_of_a_fit_are_bounded(spark, lined, monkeypatch):
     assert 20 <= seen[0] <= 60
 
 
+def test_all_rows_are_fitted_unless_told(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(models.RandomForestRegressor, "fit", lambda self, df: _stop(seen, df))
+    rows = spark.range(130_000).select("id", (F.col("id") % 7).cast("double").alias("x"), F.col("id").cast("double").alias("y"))
+    with pytest.raises(StopIteration):
+        models.fit_model(rows, Candidate("random_forest", "plain", {"numTrees": 1}), ["x"], [], "y", "id")
+    assert seen == [130_000]
+
+
 def _stop(seen, df):
     seen.append(df.count())
     raise StopIteration
