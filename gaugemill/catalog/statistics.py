@@ -409,8 +409,8 @@ def permutation_importance(spark, sf_dir):
 @query(f"{_importance_sql()} SELECT feature, round(importance_mean, 4) AS importance_mean FROM importance ORDER BY importance_mean DESC, feature LIMIT 2")
 def importance_topk(spark, sf_dir):
     """T2."""
-    top = selection.importance_topk(_importance(spark, sf_dir), 2)
-    return top.select("feature", F.round("importance_mean", 4).alias("importance_mean"))
+    top = selection.importance_topk(_importance(spark, sf_dir), 2, digits=4)
+    return top.select("feature", "importance_mean")
 
 
 # --- tables of runs and versions --------------------------------------------------------------------------------

@@ -13,8 +13,14 @@ def best_candidate(rows: DataFrame, position: str = "position") -> DataFrame:
     return rows.orderBy("rmse", "mae", F.desc("r2"), position).limit(1)
 
 
-def importance_topk(rows: DataFrame, n: int = 15, by: str = "importance_mean", tie: str = "feature") -> DataFrame:
-    """The ``n`` rows with the largest importance."""
+def importance_topk(rows: DataFrame, n: int = 15, by: str = "importance_mean", tie: str = "feature", digits: int | None = None) -> DataFrame:
+    """The ``n`` rows with the largest importance; equal ones by ``tie``.
+
+    With ``digits`` importances are told and compared to so many decimals: differences below are left by the order in
+    which a sum was added up, and change with the layout of the rows.
+    """
+    if digits is not None:
+        rows = rows.withColumn(by, F.round(by, digits))
     return rows.orderBy(F.desc(by), tie).limit(n)
 
 

@@ -183,3 +183,11 @@ def test_selection(spark):
     assert selection.best_candidate(rows).first()["scenario"] == "c"
     gains = {r["scenario"]: r for r in selection.ablation_deltas(rows, "a").collect()}
     assert gains["c"]["mae_improvement"] == 1.0 and gains["c"]["r2_gain"] == pytest.approx(0.1) and gains["a"]["rmse_improvement"] == 0.0
+
+
+def test_importances_that_differ_by_noise_are_ties(frame):
+    from gaugemill.operators.selection import importance_topk
+
+    rows = frame([("c", 3.4e-10), ("b", 2.9e-12), ("a", -2.4e-10), ("d", 0.5)], "feature string, importance_mean double")
+    assert [r["feature"] for r in importance_topk(rows, 3, digits=4).collect()] == ["d", "a", "b"]
+    assert [r["feature"] for r in importance_topk(rows, 3).collect()] == ["d", "c", "b"]
