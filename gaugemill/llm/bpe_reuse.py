@@ -120,8 +120,11 @@ def repeated_chunks(docs: DataFrame) -> Bitmap:
     return Bitmap(sieve(counts.where("n > 1"), "chunk").collect())  # at most SIEVE_WORDS rows
 
 
-def encoded(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """``ids`` (array<int>) and ``decoded`` beside ``keep``, one row per row of ``docs``."""
+def encoded(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text", most_pieces: int | None = None) -> DataFrame:
+    """``ids`` (array<int>) and ``decoded`` beside ``keep``, one row per row of ``docs``.
+
+    ``most_pieces`` bounds the pieces whose ids a worker holds (``MAX_PIECES``); it changes no result.
+    """
     rows = docs.select(*[docs[c].alias(f"k{i}") for i, c in enumerate(keep)], docs[text].alias("text"))
     kept = [f"k{i}" for i in range(len(keep))]
     types = {k: rows.schema[k].dataType.simpleString() for k in kept}
@@ -129,7 +132,7 @@ def encoded(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ("doc_id",
     bitmap = repeated_chunks(rows)
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
+        encode = encoder(vocabulary, most_pieces)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             own = [i for i, t in enumerate(texts) if not any(bitmap.has(chunk_hash(c)) for c in cut(t or ""))]
@@ -154,14 +157,14 @@ def encoded(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ("doc_id",
                 yield pa.record_batch([*columns, *values], names=["row", *kept, "place", "shared", "key", "chunk"])
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary)
+        encode = encoder(vocabulary, most_pieces)
         for batch in batches:
             done = [encode_chunk(c, encode) for c in batch["chunk"]]
             yield pd.DataFrame({"key": batch["key"], "head": [p.head for p in done], "ids": [p.ids for p in done], "tail": [p.tail for p in done]})
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Chunks come by row and place; a row may go on in the next batch."""
-        encode = encoder(vocabulary)
+        encode = encoder(vocabulary, most_pieces)
         row, pieces, first, ready = None, [], None, []
 
         def flush():

@@ -129,3 +129,20 @@ def test_pipeline_rejects_foreign_texts_of_a_table(spark, docs, tmp_path):
     ids = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()}
     assert not ids & {10**9, 10**9 + 1, 10**9 + 2}
     assert ids == {r["doc_id"] for r in corpus_pipeline.run(spark, "/root/testdata/sf0.001").select("doc_id").collect()}
+
+
+def test_bounded_table_of_pieces(docs):
+    import public_tokenizers
+
+    from gaugemill.llm import _bpe, bpe_reuse
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [" ".join(f"word{chr(97 + (i * j) % 26)}{chr(97 + i % 26)}" for i in range(40)) for j in range(30)]
+    want = [_bpe.encoder(path).encode(t) for t in texts]
+    _bpe._held.clear()
+    few = _bpe.encoder(path, 20)
+    for text, ids in zip(texts, want, strict=True):
+        assert few.encode(text) == ids and len(few) <= 20 + 40
+    rows = docs(*texts)
+    whole, bounded = (sorted(map(tuple, bpe_reuse.encoded(rows, path, most_pieces=n).collect())) for n in (None, 20))
+    assert whole == bounded and len(whole) == 30
