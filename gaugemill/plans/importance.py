@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,7 @@ from gaugemill.plans.models import fit_model, fit_preprocessing
 from gaugemill.session import work_dir
 
 BASE_LABEL = "__unchanged"
+PART_ROWS = 10_000  # rows that a task scores, about
 
 
 def permutation_importance(
@@ -26,13 +28,16 @@ def permutation_importance(
 
     ``predict`` adds ``prediction`` in the units of ``target``. The rows are ranked by the digest of their key once and
     written; all repeats are permutations of these ranks and meet their values in one join. The variants of a row (one
-    column exchanged each) are scored together, the unchanged rows once.
+    column exchanged each) are scored together, the unchanged rows once. The rows are dealt into as many tasks as
+    their variants ask for: by their bytes alone they would end in a few.
     """
     path = work_dir(df.sparkSession, "importance")
     with_hash_rank(df.select(*dict.fromkeys([*keys, target, *features])), keys, 0).drop("rank_of").write.parquet(path)
     ranked = df.sparkSession.read.parquet(path)
     types = {f.name: f.dataType for f in ranked.schema}
-    dealt = dealt_values(ranked, ranked.count(), features, [seed + 1 + r for r in range(repeats)])
+    n = ranked.count()
+    dealt = dealt_values(ranked, n, features, [seed + 1 + r for r in range(repeats)])
+    dealt = dealt.repartition(max(1, math.ceil(n * repeats * len(features) / PART_ROWS)))
     variants = F.array(
         *(
             F.struct(F.lit(name).alias("feature"), *(F.col(f"{c}__permuted" if c == name else c).cast(types[c]).alias(c) for c in features))

@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import functions as F
 
-from gaugemill.plans import forest
+from gaugemill.plans import forest, importance
 
 
 @pytest.fixture(scope="module")
@@ -91,3 +91,16 @@ def test_columns_tried():
     names = ["all", "onethird", "auto", "sqrt", "log2", "4", "0.5"]
     assert [forest.columns_tried(s, 10, 5) for s in names] == [10, 4, 4, 4, 4, 4, 5]
     assert forest.columns_tried("auto", 10, 1) == 10
+
+
+def test_importance_is_scored_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(importance, "PART_ROWS", 50)
+    rows = spark.range(100).select("id", F.col("id").cast("double").alias("a"), F.lit(1.0).alias("b"), F.col("id").cast("double").alias("y"))
+    seen = []
+
+    def predict(scored):
+        seen.append(scored.rdd.getNumPartitions())
+        return scored.withColumn("prediction", F.col("a"))
+
+    found = {r["feature"]: r["importance_mean"] for r in importance.permutation_importance(rows, predict, ["a", "b"], "y", ["id"], repeats=3).collect()}
+    assert seen[0] >= 12 and found["b"] == 0 and found["a"] > 10
