@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugemill.llm._rows import pairwise, same_row, sieve, sifted, text_key, written
+from gaugemill.llm._rows import numbered, pairwise, same_row, sieve, sifted, text_key, unlisted, written
 
 # The word definition and the length of a window in words.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # taken before A-Z are lower-cased
@@ -132,7 +132,7 @@ def _extended(laid: DataFrame, span: int) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that aren't contaminated, all columns kept."""
-    bad = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key")).distinct()
-    bad = written(bad, "contaminated")
-    condition = docs["doc_id"].eqNullSafe(bad["_doc_id"]) & text_key("text").eqNullSafe(bad["_text_key"])
-    return docs.join(bad, condition, "left_anti")
+    bad = written(contamination(docs, benchmark).where("contaminated").select(*KEY).distinct(), "contaminated")
+    rows, names = numbered(docs)
+    rows = rows.select(*names, F.col(names[docs.columns.index("doc_id")]).alias("doc_id"), text_key("text").alias("text_key"))
+    return unlisted(rows, bad, KEY).select(*names).toDF(*docs.columns)

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugemill.llm._rows import map_texts, numbered, sieve, sifted, text_key, written
+from gaugemill.llm._rows import map_texts, numbered, sieve, sifted, text_key, unlisted, written
 
 WIDTH = 5
 SIMILAR, OUT_OF = 80, 100
@@ -327,12 +327,13 @@ def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     found = judged(rows.select("doc_id", *KEY, "text"), width).where("not empty")
     marks = found.groupBy(*KEY).agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("not kept or n > 1")
     marks = written(marks, "duplicates")
-    out = rows.join(marks.select(*KEY), KEY, "left_anti").select(*names)
+    out = unlisted(rows, marks, KEY).select(*names)
     repeated = marks.where("kept").select(*KEY)
     if not repeated.isEmpty():
         # rows of one id and text are reduced where they are read; they can differ in other columns only
         again = sifted(rows, F.xxhash64(*KEY), sieve(repeated.select(F.xxhash64(*KEY).alias("key")), "key"))
         row = F.struct(*names)
-        again = again.groupBy(*KEY).agg(F.min_by(row, F.to_json(row)).alias("row")).join(repeated, KEY, "left_semi")
+        # not a semi-join, which would be pushed below the bitmap
+        again = again.groupBy(*KEY).agg(F.min_by(row, F.to_json(row)).alias("row")).join(repeated, KEY)
         out = out.union(again.select("row.*"))
     return out.toDF(*docs.columns)

@@ -146,3 +146,45 @@ def test_bounded_table_of_pieces(docs):
     rows = docs(*texts)
     whole, bounded = (sorted(map(tuple, bpe_reuse.encoded(rows, path, most_pieces=n).collect())) for n in (None, 20))
     assert whole == bounded and len(whole) == 30
+
+
+def _moved(df):
+    """The rows of a frame and how many records its shuffles wrote."""
+    rows, found, plans = df.collect(), 0, [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        node = plans.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(node.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                found += node.metrics().get("shuffleRecordsWritten").get().value()
+            plans += [node.children().apply(i) for i in range(node.children().size())]
+    return rows, found
+
+
+def test_texts_that_are_kept_are_not_moved(spark, docs, tmp_path):
+    """Joins with what goes are made for the rows that its bitmap meets, also where it is too large to broadcast."""
+    from gaugemill.llm import decontaminate, near_dup
+    from gaugemill.llm._rows import unlisted
+
+    own = [(i, " ".join(f"word{i}x{j}" for j in range(30))) for i in range(600)]
+    passage = " ".join(f"item{j}" for j in range(20))
+    rows = [*own, (700, own[5][1]), (701, own[9][1]), (701, own[9][1]), (None, own[9][1]), (702, passage), (703, passage + " end")]
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept, moved = _moved(near_dup.deduplicated(docs(*rows)))
+        assert sorted(r["doc_id"] for r in kept) == [*range(600), 702] and moved < 100
+        kept, moved = _moved(decontaminate.clean(docs(*rows), bench))
+        assert len(kept) == 604 and not {702, 703} & {r["doc_id"] for r in kept} and moved < 100
+        twice = docs(*rows, *rows)
+        listed = spark.createDataFrame([(None, own[9][1]), (3, own[4][1]), (4, own[4][1])], "doc_id long, text string")
+        for words in (1, 1 << 17):  # a full bitmap costs work and changes nothing
+            found = sorted((r["doc_id"] or -1, r["text"]) for r in unlisted(twice, listed, ["doc_id", "text"], words).collect())
+            assert found == sorted((-1 if i is None else i or -1, t) for i, t in rows * 2 if (i, t) not in {(None, own[9][1]), (4, own[4][1])})
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
