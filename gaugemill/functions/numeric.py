@@ -11,8 +11,8 @@ def to_double(c: Column, dtype: T.DataType) -> Column:
     """Double value of a column, or NULL. ``12d`` and ``1f`` are not numbers, ``inf`` is one."""
     if isinstance(dtype, T.StringType):
         readable = F.when(~c.rlike(r"[0-9.][dDfF]\s*$"), c)
-        value = readable.try_cast("double")
-        return F.when(~F.isnan(value), value)
+        # a CASE on isnan would read the text twice
+        return F.nullif(readable.try_cast("double"), F.lit(float("nan")))
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(c), c.cast("double"))
     if isinstance(dtype, (T.NumericType, T.BooleanType)):

@@ -137,12 +137,16 @@ def _reason(flags: Sequence[tuple[Column, str]], joint: str) -> Column:
     return F.when(told == "", "none").otherwise(told)
 
 
-def held(sides: DataFrame, name: str) -> DataFrame:
-    """The projected sides, written once: scans, joins and estimates below them don't run again per statistic."""
-    spark = sides.sparkSession
+def held(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, written once: scans, joins and estimates below them don't run again per statistic.
+
+    Rows without columns, which no file can hold, stay as they are."""
+    if not rows.columns:
+        return rows
+    spark = rows.sparkSession
     path = work_dir(spark, name)
-    sides.write.parquet(path)
-    return spark.read.schema(sides.schema).parquet(path)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def data_drift(

@@ -14,6 +14,7 @@ from gaugemill.operators.drift import (
     PSI_THRESHOLD,
     common_numeric_columns,
     data_drift,
+    held,
     prediction_drift,
 )
 from gaugemill.operators.enrich import enrich
@@ -135,14 +136,16 @@ def monitoring_job(
     repeated: its report is replaced.
     """
     raw_tables = read_all(spark, raw, tables)
+    # text tables are parsed once; checks, sizes and drift each read the typed rows
+    sales, unseen = held(raw_tables["sales"], "monitored-sales"), held(raw_tables["unseen"], "monitored-unseen")
     scored, why = read_if_usable(spark, predictions, [prediction_column], {prediction_column: "double"})
     numbers = dict.fromkeys((*TRUTH_CANDIDATES, *PREDICTION_CANDIDATES), "double")
     labeled, _ = read_if_usable(spark, labels, (), numbers)
     report = monitor(
-        raw_tables["sales"], raw_tables["unseen"], raw_tables["demographics"], contract, scored, labeled, drift_columns,
+        sales, unseen, raw_tables["demographics"], contract, scored, labeled, drift_columns,
         prediction_column, why or "predictions_file_missing",
     )
     if stats is not None:
-        write_rows(baseline_stats(raw_tables["sales"], stats_columns or (contract.target,)), stats)
+        write_rows(baseline_stats(sales, stats_columns or (contract.target,)), stats)
     write_report(report, reports, run_id)
     return read_reports(spark, reports, run_id)
