@@ -9,9 +9,10 @@ score.
 
 The score compares the learned languages with each other only: transitions pull a long text to one of them whatever it is
 written in. ``Support`` tells whether a text is in a learned language at all, by the bits that its words' letters take
-in letter models of the languages; what is usual is measured on documents left out of the letter counts.
+in letter models of the languages; what is usual is measured on documents left out of the letter counts. Letters are
+counted, and their bits measured, in all training rows whole.
 
-Training reads at most ``PER_LANGUAGE`` documents of each language (one row of the smallest hash in each of that many
+The field's training reads at most ``PER_LANGUAGE`` documents of each language (one row of the smallest hash in each of that many
 hash buckets, at most ``TRAINING_CHARS`` characters), scoring reads all texts whole. Equal words of a worker share their feature sums. Documents of a batch go
 through the chain together, longest first, so every step is one operation over all that are long enough.
 
@@ -23,8 +24,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
-from collections.abc import Iterable
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import islice
 
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugemill.llm._rows import map_texts, text_key, written
+from gaugemill.llm._rows import map_texts, slices, text_key, written
 
 FOLDS, TEST_FOLD = 4, 2
 PER_LANGUAGE, MAX_LANGUAGES = 200, 200
@@ -42,6 +43,7 @@ BUCKETS = 1 << 15
 LEXICON = 200
 STEPS, RATE, RIDGE = 40, 0.1, 1e-4
 WORDS = re.compile(r"[^\W\d_]+")
+HAS_WORD = r"[\p{L}\p{Nl}\p{No}]"  # what ``WORDS`` takes, for Spark
 PIECES = re.compile(r"(?<=[\d_])[^\W\d_]+|[^\W\d_]+(?=[\d_])")  # letters in keys, digests, names
 MAX_CELLS = 1_600_000  # words times languages that a worker holds sums of
 BATCH_WORDS = 150_000  # words that go through the chain together, or one text
@@ -49,6 +51,8 @@ BATCH_BYTES = 2_000_000  # of texts that a worker holds as Python strings at onc
 TRAINING_CHARS = 200_000  # of a training document
 UNKNOWN = "und"
 PARTS = 5  # of the training documents; each is measured with the counts of the others
+COUNTED_WORDS = 100_000  # different ones that a worker holds
+CELLS = 1024  # of a bit; medians of held-out runs are counted by the nearest
 ALPHABET = 1 << 16
 SMOOTHING = 4.0
 RUN_LENGTHS = tuple(1 << i for i in range(9))  # words for which limits are measured
@@ -225,25 +229,36 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, len(keys)) if len(keys) else np.zeros(len(wanted), np.int64)
 
 
+def letter_runs(words: Counter) -> tuple[np.ndarray, np.ndarray]:
+    """Letters of counted words with the two before them, as ascending numbers of three code points, and how often each occurs."""
+    points, starts = _letters(list(words))
+    inner = np.ones(len(points), bool)
+    inner[starts] = inner[starts + 1] = False
+    at = np.flatnonzero(inner)
+    points = points.astype(np.int64)
+    times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.diff([*starts, len(points)]) - 2)
+    runs, of = np.unique(points[at - 2] << 42 | points[at - 1] << 21 | points[at], return_inverse=True)
+    return runs, np.bincount(of, times, len(runs)).astype(np.int64)
+
+
 class Letters:
-    """Bits of a letter after the two before it, one column per language; unmet letters and sequences fall back."""
+    """Bits of a letter after the two before it, one column per column of counts; unmet letters and sequences fall back.
+
+    ``runs`` are different numbers of ``letter_runs``, ``times`` has a row for each.
+    """
 
-    def __init__(self, counts: list[Counter]):
-        parts = [_letters(list(c)) for c in counts]
-        self.alphabet = np.unique(np.concatenate([x for x, _ in parts]))
+    def __init__(self, runs: np.ndarray, times: np.ndarray):
+        points = runs >> 42, runs >> 21 & 0x1FFFFF, runs & 0x1FFFFF
+        self.alphabet = np.unique(np.concatenate(points))
         self.base = len(self.alphabet) + 1
-        met = []
-        for (points, starts), c in zip(parts, counts, strict=True):
-            a, b, letter, _ = self._places(points, starts)
-            times = np.repeat(np.fromiter(c.values(), np.int64, len(c)), np.diff([*starts, len(points)]) - 2)
-            met.append(((letter, (b * self.base) + letter, (a * self.base + b) * self.base + letter), times))
+        a, b, letter = (_find(self.alphabet, x) for x in points)
         self.keys, seen = [], []
-        for k in range(3):
-            keys = np.unique(np.concatenate([m[k] for m, _ in met]))
-            seen.append(np.stack([np.bincount(_find(keys, m[k]), times, len(keys)) for m, times in met], axis=1))
+        for places in (letter, b * self.base + letter, (a * self.base + b) * self.base + letter):
+            keys, of = np.unique(places, return_inverse=True)
+            seen.append(np.stack([np.bincount(of, x, len(keys)) for x in times.T], axis=1))
             self.keys.append(keys)
         self.bits, self.back = [], []
-        lower = np.full((len(self.keys[0]), len(counts)), np.log2(ALPHABET))
+        lower = np.full((len(self.keys[0]), times.shape[1]), np.log2(ALPHABET))
         for k in range(3):
             before, of = np.unique(self.keys[k] // self.base if k else np.zeros_like(self.keys[k]), return_inverse=True)
             total = np.stack([np.bincount(of, x, len(before)) for x in seen[k].T], axis=1)
@@ -252,9 +267,9 @@ class Letters:
             p = (seen[k] + SMOOTHING * np.exp2(-lower)) / (total[of] + SMOOTHING)
             back = np.log2((total + SMOOTHING) / SMOOTHING)
             # the last row is for what was not met
-            last = np.log2(ALPHABET) + back if k == 0 else np.zeros((1, len(counts)))
+            last = np.log2(ALPHABET) + back if k == 0 else np.zeros((1, times.shape[1]))
             self.bits.append(np.concatenate([-np.log2(p), last]).astype(np.float32))
-            self.back.append((before, np.concatenate([back, np.zeros((1, len(counts)))]).astype(np.float32)))
+            self.back.append((before, np.concatenate([back, np.zeros((1, times.shape[1]))]).astype(np.float32)))
 
     def _places(self, points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
         codes = _find(self.alphabet, points)
@@ -286,36 +301,127 @@ class Support:
     limits: np.ndarray
 
 
-def fit_support(texts: list[str], languages: list[str]) -> Support | None:
-    """Letter models of all documents; limits from runs of distinct whole words measured with the counts of the other parts.
-
-    A limit is a high quantile of the held-out runs plus ``MARGIN`` times its distance from their median. A language of a single
-    document has nothing to be held out and no limit. None without any words.
-    """
-    limits, counts = [], []
-    for name in sorted(set(languages)):
-        known = [(words_of(t), t) for t, x in zip(texts, languages, strict=True) if x == name]
-        own, pieces = [w for w, _ in known if w], [pieces_of(t) for w, t in known if w]
-        counts.append(Counter(w for words in own for w in words))
-        medians: list[list[float]] = [[] for _ in RUN_LENGTHS]
-        for part in range(PARTS if len(own) > 1 else 0):
-            held = [x for x in ([w for w in dict.fromkeys(words) if w not in p] for words, p in zip(own[part::PARTS], pieces[part::PARTS], strict=True)) if x]
-            if not held:
-                continue
-            others = Letters([Counter(w for i, words in enumerate(own) if i % PARTS != part for w in words)])
-            every = others.per_word([w for words in held for w in words])[:, 0]
-            for bits in np.split(every, np.cumsum([len(words) for words in held])[:-1]):
-                for k, n in enumerate(RUN_LENGTHS):
-                    if len(bits) >= n:
-                        medians[k] += np.median(bits[: len(bits) // n * n].reshape(-1, n), axis=1).tolist()
+def counted_runs(rows: Iterable[tuple[str, int, str]]) -> Iterator[tuple[str, int, np.ndarray, np.ndarray]]:
+    """Language, part, letter runs and how often they occur in texts of a language and part; several of a kind are to be summed."""
+    counts: dict[tuple[str, int], Counter] = defaultdict(Counter)
+    held = 0
+    for language, part, text in rows:
+        own = counts[language, part]
+        held -= len(own)
+        own.update(map(re.Match.group, WORDS.finditer(text.lower())))
+        held += len(own)
+        if held > COUNTED_WORDS:
+            yield from ((*kind, *letter_runs(c)) for kind, c in counts.items() if c)
+            counts.clear()
+            held = 0
+    yield from ((*kind, *letter_runs(c)) for kind, c in counts.items() if c)
+
+
+class HeldOut:
+    """How often runs of distinct whole words of a language's texts have which median of bits, by the counts of other parts."""
+
+    def __init__(self, others: Letters):
+        self.others = others
+        self.medians = [np.zeros(0, np.int64) for _ in RUN_LENGTHS]
+        self.empty()
+
+    def empty(self) -> None:
+        """Forget the words met; changes no result."""
+        self.index: dict[str, int] = {}
+        self.bits = np.zeros((0, PARTS), np.float32)
+
+    def add(self, texts: list[str], parts: list[int]) -> None:
+        numbers, index = [], self.index
+        for text in texts:
+            pieces = pieces_of(text)
+            words = dict.fromkeys(map(re.Match.group, WORDS.finditer(text.lower())))
+            numbers.append(np.array([index.setdefault(w, len(index)) for w in words if w not in pieces], np.int64))
+        self.bits = np.concatenate([self.bits, self.others.per_word(list(islice(index, len(self.bits), None))).astype(np.float32)])
+        lengths = np.array([len(x) for x in numbers])
+        bits = self.bits[np.concatenate(numbers), np.repeat(parts, lengths)]
+        within = np.arange(len(bits)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        for k, n in enumerate(RUN_LENGTHS):
+            runs = bits[within < np.repeat(lengths // n * n, lengths)].reshape(-1, n)
+            more = np.bincount(np.rint(np.median(runs, axis=1) * CELLS).astype(np.int64), minlength=len(self.medians[k]))
+            more[: len(self.medians[k])] += self.medians[k]
+            self.medians[k] = more
+
+
+def held_out(others: dict[str, Letters], rows: Iterable[tuple[list[str], list[int], list[str]]]) -> dict[str, HeldOut]:
+    """Medians of the languages that are in ``others``, from lists of languages, parts and texts."""
+    found = {name: HeldOut(x) for name, x in others.items()}
+    for languages, parts, texts in rows:
+        for name in found.keys() & set(languages):
+            own = [i for i, x in enumerate(languages) if x == name]
+            found[name].add([texts[i] for i in own], [parts[i] for i in own])
+        if sum(len(x.index) for x in found.values()) > COUNTED_WORDS:
+            for x in found.values():
+                x.empty()
+    return found
+
+
+def _quantile(times: np.ndarray, share: float) -> float:
+    """Quantile of the bits counted by cells, between the two nearest."""
+    upto = np.cumsum(times)
+    place = share * (upto[-1] - 1)
+    low, high = np.searchsorted(upto, [np.floor(place), np.ceil(place)], side="right") / CELLS
+    return low + (place - np.floor(place)) * (high - low)
+
+
+def _support(
+    names: list[str], counts: Iterable[tuple[str, int, np.ndarray, np.ndarray]], measure: Callable[[dict[str, Letters]], dict[tuple[str, int], np.ndarray]],
+) -> Support | None:
+    """``measure`` gives the counted medians per language and place of a run length, for the languages with more than one part."""
+    parts: dict[str, list[tuple[int, np.ndarray, np.ndarray]]] = defaultdict(list)
+    for name, *part in counts:
+        parts[name].append(part)
+    if not parts:
+        return None
+    own, others = {}, {}
+    for name, x in parts.items():
+        runs, of = np.unique(np.concatenate([r for _, r, _ in x]), return_inverse=True)
+        times = np.zeros((len(runs), PARTS), np.int64)
+        np.add.at(times, (of, np.repeat([part for part, _, _ in x], [len(r) for _, r, _ in x])), np.concatenate([n for _, _, n in x]))
+        own[name] = runs, times.sum(axis=1)
+        if times.any(axis=0).sum() > 1:
+            others[name] = Letters(runs, own[name][1][:, None] - times)
+    found = measure(others)
+    limits = []
+    for name in names:
         row, last = [], float(ALPHABET)
-        for values in medians:
-            if values:
-                usual, middle = np.quantile(values, USUAL), np.median(values)
+        for k in range(len(RUN_LENGTHS)):
+            medians = found.get((name, k), np.zeros(0))
+            if medians.any():
+                usual, middle = _quantile(medians, USUAL), _quantile(medians, 0.5)
                 last = min(last, usual + max(LEAST_MARGIN, MARGIN * (usual - middle)))
             row.append(last)
         limits.append(row)
-    return Support(Letters(counts), np.array(limits)) if any(counts) else None
+    every = np.unique(np.concatenate([runs for runs, _ in own.values()]))
+    times = np.zeros((len(every), len(names)), np.int64)
+    for name, (runs, n) in own.items():
+        times[np.searchsorted(every, runs), names.index(name)] = n
+    return Support(Letters(every, times), np.array(limits))
+
+
+def fit_support(texts: list[str], languages: list[str]) -> Support | None:
+    """Letter models of all texts; limits from runs of distinct whole words measured with the counts of the other parts.
+
+    A limit is a high quantile of the held-out runs plus ``MARGIN`` times its distance from their median. A language of a single
+    text has nothing to be held out and no limit. None without any words. ``taught_support`` does this to a table.
+    """
+    names = sorted(set(languages))
+    met: Counter = Counter()
+    rows = []
+    for text, name in zip(texts, languages, strict=True):
+        if WORDS.search(text or ""):
+            rows.append((name, met[name] % PARTS, text))
+            met[name] += 1
+
+    def measure(others: dict[str, Letters]) -> dict[tuple[str, int], np.ndarray]:
+        found = held_out(others, [tuple(map(list, zip(*rows, strict=True)))])
+        return {(name, k): x for name, h in found.items() for k, x in enumerate(h.medians)}
+
+    return _support(names, counted_runs(rows), measure)
 
 
 class Labeler:
@@ -432,12 +538,17 @@ def fold(doc_id: str, folds: int = FOLDS) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
 
 
+def taught(docs: DataFrame, folds: int = FOLDS, test_fold: int = TEST_FOLD) -> DataFrame:
+    """Rows outside the test fold that have a language and a text."""
+    return docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", folds) != test_fold))
+
+
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS, test_fold: int = TEST_FOLD) -> tuple[list[str], list[str]]:
     """Texts and languages of at most ``per_language`` documents of each language outside the test fold, one row each.
 
     They come to the driver, so a longer training document is cut to its first ``TRAINING_CHARS`` characters.
     """
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", folds) != test_fold))
+    known = taught(docs, folds, test_fold)
     at = F.xxhash64(F.col("doc_id").cast("string"))
     known = known.select("lang", "doc_id", "text", F.pmod(at, F.lit(per_language)).alias("bucket"), at.alias("at"), text_key("text").alias("text_at"))
     row = ["lang", "bucket", "doc_id", "text_at"]
@@ -451,6 +562,46 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS
     return rows["text"].to_list(), rows["lang"].to_list()
 
 
+def taught_support(docs: DataFrame, names: list[str], folds: int = FOLDS, test_fold: int = TEST_FOLD) -> Support | None:
+    """``fit_support`` of all rows outside the test fold, whole; ``names`` are their languages in ascending order.
+
+    Equal texts are in one part, so none is measured with its own letters, and a language of two texts has two parts. The
+    driver gets sums only: a number per language, part and different run of three letters, and one per language, length
+    of a run of words and cell of its medians.
+    """
+    rows = taught(docs, folds, test_fold).select("lang", "text", text_key("text").alias("at"))
+    ends = rows.where(F.col("text").rlike(HAS_WORD)).groupBy("lang").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    part = F.when(F.col("at") == F.col("first"), 0).when(F.col("at") == F.col("last"), 1).otherwise(F.pmod("at", F.lit(PARTS)))
+    rows = rows.join(F.broadcast(written(ends, "language-ends")), "lang").select("lang", part.cast("int").alias("part"), "text")
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[int], list[str]]]:
+        for batch in batches:
+            for x in slices(batch, "text", BATCH_BYTES):
+                if x.num_rows:
+                    yield tuple(c.to_pylist() for c in x.columns)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, own, runs, n in counted_runs(row for x in lists(batches) for row in zip(*x, strict=True)):
+            kind = pa.array([name] * len(runs), pa.string()), pa.array(np.full(len(runs), own, np.int32))
+            yield pa.record_batch([*kind, pa.array(runs), pa.array(n)], names=["lang", "part", "run", "n"])
+
+    sums = rows.mapInArrow(count, "lang string, part int, run long, n long").groupBy("lang", "part", "run").agg(F.sum("n").alias("n"))
+    counts = [(*kind, x["run"].to_numpy(), x["n"].to_numpy()) for kind, x in sums.toArrow().to_pandas().groupby(["lang", "part"])]
+
+    def measure(others: dict[str, Letters]) -> dict[tuple[str, int], np.ndarray]:
+        def count_medians(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for name, found in held_out(others, lists(batches)).items():
+                for k, medians in enumerate(found.medians):
+                    cells = np.flatnonzero(medians)
+                    kind = pa.array([name] * len(cells), pa.string()), pa.array(np.full(len(cells), k, np.int32))
+                    yield pa.record_batch([*kind, pa.array(cells), pa.array(medians[cells])], names=["lang", "length", "cell", "n"])
+
+        found = rows.mapInArrow(count_medians, "lang string, length int, cell long, n long").groupBy("lang", "length", "cell").agg(F.sum("n").alias("n"))
+        return {kind: np.bincount(x["cell"], x["n"]) for kind, x in found.toArrow().to_pandas().groupby(["lang", "length"])}
+
+    return _support(names, counts, measure)
+
+
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS, test_fold: int = TEST_FOLD) -> Field:
     """Fit on the sampled documents."""
     return fit(*sample(docs, per_language, folds, test_fold))

@@ -32,6 +32,54 @@ def test_pipeline_language_stage_rejects_other_languages_and_junk(spark, docs):
     assert kept == {*range(120), *clean}
 
 
+def test_letters_of_all_training_rows_are_counted(spark, docs):
+    """Words that only rows beside the field's sample hold are usual ones too, and so is the end of a long text."""
+    import corpus_pipeline
+    from gaugemill.llm import langid_crf
+
+    frame = spark.createDataFrame([(i, f"word {i}", "aa", None, None) for i in range(1200)], docs().schema)
+    sampled = set(langid_crf.sample(frame)[0])
+    rows = [(i, spoken(LANGUAGES["aa"] if f"word {i}" in sampled else OTHER, 40, i), "aa", None, None) for i in range(1200)]
+    kept = {r["doc_id"] for r in corpus_pipeline.languages(spark, spark.createDataFrame(rows, docs().schema), "").collect()}
+    assert 0 < len(sampled) <= langid_crf.PER_LANGUAGE and kept == set(range(1200))
+
+
+def test_support_of_a_table_has_all_its_letters(spark, docs, monkeypatch):
+    """Letter counts equal those of all training rows, however often a worker empties its tables; the limits are near those of lists."""
+    from collections import Counter
+    from zlib import crc32
+
+    from gaugemill.llm import langid_crf
+
+    rows = [(i, spoken(LANGUAGES["aa" if i % 3 else "bb"], 60, i), "aa" if i % 3 else "bb", None, None) for i in range(900)]
+    rows += [(5000, spoken(LANGUAGES["aa"], 60_000, 77) + " " + spoken(OTHER, 2000, 78), "aa", None, None), (5001, None, "aa", None, None), (5002, "12", "cc", None, None)]
+    rows += [(6000 + i, "one text only", "dd", None, None) for i in range(20)] + [(6100, "two texts", "ee", None, None), (6103, "no more than two", "ee", None, None)]
+    known = [r for r in rows if crc32(str(r[0]).encode()) % 4 != 2 and r[1]]
+    names = sorted({r[2] for r in known})
+    monkeypatch.setattr(langid_crf, "COUNTED_WORDS", 50)
+    counted = list(langid_crf.counted_runs((r[2], 0, r[1]) for r in known))
+    assert len(counted) > 50
+    monkeypatch.undo()
+    found = langid_crf.taught_support(spark.createDataFrame(rows, docs().schema).repartition(7), names)
+    of = {name: Counter(w for r in known if r[2] == name for w in langid_crf.words_of(r[1])) for name in names}
+    for j, name in enumerate(names):
+        if of[name]:
+            runs, n = langid_crf.letter_runs(of[name])
+            alone = langid_crf.Letters(runs, n[:, None])
+            words = [*of[name], "zzxy"]
+            assert np.allclose(found.letters.per_word(words)[:, j], alone.per_word(words)[:, 0], atol=1e-4)
+            total = Counter()
+            for language, _, runs_of, times in counted:
+                if language == name:
+                    total.update(dict(zip(runs_of.tolist(), times.tolist(), strict=True)))
+            assert total == dict(zip(runs.tolist(), n.tolist(), strict=True))
+    limits = dict(zip(names, found.limits, strict=True))
+    lists = langid_crf.fit_support([r[1] for r in known], [r[2] for r in known])
+    assert np.abs(limits["aa"][:5] - lists.limits[names.index("aa")][:5]).max() < 0.5
+    assert (limits["cc"] == langid_crf.ALPHABET).all() and (limits["dd"] == langid_crf.ALPHABET).all()
+    assert len({r[0] for r in known if r[2] == "ee"}) == 2 and limits["ee"][0] < 100  # two texts are never in one part
+
+
 def test_secrets_by_structure_of_urls_and_armoured_blocks():
     import base64
     import time
