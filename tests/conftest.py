@@ -6,6 +6,7 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tools"))
+sys.path.append(str(ROOT / "tests" / "llm"))  # a package, so that its conftest is not taken for this one
 
 from gaugemill.session import build_session  # noqa: E402
 
