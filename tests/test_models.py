@@ -67,6 +67,20 @@ def test_equal_training_vectors_are_kept_k_times(spark):
         assert sorted(got[got.q_id == q].t_id) == kept[tuple(spot)]
 
 
+def test_query_rows_visit_few_groups(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(8)
+    v = np.column_stack([rng.normal(size=(2400, 2)), rng.integers(0, 12, 2400)])
+    rows = spark.createDataFrame([(i, float(i), x.tolist()) for i, x in enumerate(v)], "id long, y double, v array<double>")
+    monkeypatch.setattr("gaugemill.operators.knn.work_dir", lambda _, name: f"{tmp_path}/{name}")
+    index = build_index(rows, "id", "y", F.col("v"), 1, 5, 48, 100)
+    assert index.groups().max() >= 20
+    got = nearest_neighbours(index, rows.filter("id < 300"), "id", F.col("v")).toPandas()
+    # beside its own group, where a category is apart from the others
+    assert spark.read.parquet(f"{tmp_path}/visits").count() < 600
+    want, _ = brute_neighbours(v, v[:300], 1, 5)
+    assert all(got[got.q_id == q].sort_values(["distance", "t_id"]).t_id.tolist() == want[q] for q in range(0, 300, 7))
+
+
 def test_too_few_training_rows(spark):
     rows = spark.createDataFrame([(1, 1.0, [0.0])], "id long, y double, v array<double>")
     with pytest.raises(ValueError, match="fewer than k"):
