@@ -104,3 +104,24 @@ def test_importance_is_scored_in_many_tasks(spark, monkeypatch):
 
     found = {r["feature"]: r["importance_mean"] for r in importance.permutation_importance(rows, predict, ["a", "b"], "y", ["id"], repeats=3).collect()}
     assert seen[0] >= 12 and found["b"] == 0 and found["a"] > 10
+
+
+@pytest.mark.parametrize("local_rows", [10**6, 60])
+def test_nodes_in_files_predict_like_sparks_model(spark, rows, monkeypatch, tmp_path, local_rows):
+    monkeypatch.setattr(forest, "LOCAL_ROWS", local_rows)
+    monkeypatch.setattr(forest, "node_data", lambda *_: pytest.fail("no nodes go to the driver"))
+    found = forest.NodeForestRegressor(**settings(featureSubsetStrategy="onethird")).fit(rows)
+    monkeypatch.undo()
+    monkeypatch.setattr(forest, "LOCAL_ROWS", local_rows)
+    known = forest.RandomForestRegressor(**settings(featureSubsetStrategy="onethird")).fit(rows)
+    assert predicted(found, rows) == predicted(known, rows)
+    assert spark.read.parquet(found.nodes).agg(F.sum("n")).first()[0] == known.totalNumNodes and found.getNumTrees == 3
+    found.write().overwrite().save(f"{tmp_path}/a forest")
+    again = forest.NodeForestModel.load(f"{tmp_path}/a forest")
+    assert predicted(again, rows) == predicted(found, rows) and len(spark.read.parquet(again.nodes).inputFiles()) == 3
+
+
+def test_models_keep_their_nodes_in_files():
+    from gaugemill.plans.models import estimator
+
+    assert all(isinstance(estimator(name, 1), forest.NodeForestRegressor) for name in ("random_forest", "extra_trees"))
