@@ -17,6 +17,7 @@ from gaugemill.session import work_dir
 
 BASE_LABEL = "__unchanged"
 PART_ROWS = 10_000  # rows that a task scores, about
+TASKS_PER_CORE = 8
 
 
 def permutation_importance(
@@ -28,8 +29,10 @@ def permutation_importance(
 
     ``predict`` adds ``prediction`` in the units of ``target``. The rows are ranked by the digest of their key once and
     written; all repeats are permutations of these ranks and meet their values in one join. The variants of a row (one
-    column exchanged each) are scored together, the unchanged rows once. The rows are dealt into as many tasks as
-    their variants ask for: by their bytes alone they would end in a few.
+    column exchanged each) are scored together with the unchanged row, and summed side by side in one aggregate, so that a
+    column that no prediction depends on rises by exactly 0, however the sums are rounded. The rows are dealt into as many
+    tasks as their variants ask for: by their bytes alone they would end in a few. There are ``TASKS_PER_CORE`` at most: a
+    task reads the whole model.
     """
     path = work_dir(df.sparkSession, "importance")
     with_hash_rank(df.select(*dict.fromkeys([*keys, target, *features])), keys, 0).drop("rank_of").write.parquet(path)
@@ -37,21 +40,20 @@ def permutation_importance(
     types = {f.name: f.dataType for f in ranked.schema}
     n = ranked.count()
     dealt = dealt_values(ranked, n, features, [seed + 1 + r for r in range(repeats)])
-    dealt = dealt.repartition(max(1, math.ceil(n * repeats * len(features) / PART_ROWS)))
+    most = TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
+    dealt = dealt.repartition(max(1, min(most, math.ceil(n * repeats * len(features) / PART_ROWS))))
     variants = F.array(
         *(
             F.struct(F.lit(name).alias("feature"), *(F.col(f"{c}__permuted" if c == name else c).cast(types[c]).alias(c) for c in features))
-            for name in features
+            for name in (BASE_LABEL, *features)
         )
     )
-    base = ranked.select(F.lit(None).cast("int").alias("repeat"), target, F.lit(BASE_LABEL).alias("feature"), *features)
-    scored = dealt.select("repeat", target, F.inline(variants)).unionByName(base)
-    maes = predict(scored).groupBy("repeat", "feature").agg(F.avg(F.abs(F.col(target) - F.col("prediction"))).alias("mae"))
-    whole = maes.filter(F.col("feature") == BASE_LABEL).select(F.col("mae").alias("base"), F.lit(1).alias("__one"))
-    rise = maes.filter(F.col("feature") != BASE_LABEL).withColumn("__one", F.lit(1)).join(F.broadcast(whole), "__one")  # one row
-    return rise.groupBy("feature").agg(
-        F.avg(F.col("mae") - F.col("base")).alias("importance_mean"),
-        F.stddev_pop(F.col("mae") - F.col("base")).alias("importance_std"),
+    scored = predict(dealt.select("repeat", target, F.inline(variants)))
+    gap = F.abs(F.col(target) - F.col("prediction"))
+    maes = scored.groupBy("repeat").agg(*(F.avg(F.when(F.col("feature") == name, gap)).alias(f"mae{i}") for i, name in enumerate((BASE_LABEL, *features))))
+    rises = F.array(*(F.struct(F.lit(name).alias("feature"), (F.col(f"mae{i}") - F.col("mae0")).alias("rise")) for i, name in enumerate(features, 1)))
+    return maes.select(F.inline(rises)).groupBy("feature").agg(
+        F.avg("rise").alias("importance_mean"), F.stddev_pop("rise").alias("importance_std")
     )
 
 

@@ -125,3 +125,17 @@ def test_models_keep_their_nodes_in_files():
     from gaugemill.plans.models import estimator
 
     assert all(isinstance(estimator(name, 1), forest.NodeForestRegressor) for name in ("random_forest", "extra_trees"))
+
+
+def test_importance_reads_the_model_a_few_times_and_rises_by_exactly_nothing(spark, monkeypatch):
+    monkeypatch.setattr(importance, "PART_ROWS", 1)
+    monkeypatch.setattr(importance, "TASKS_PER_CORE", 2)
+    rows = spark.range(300).select("id", (F.col("id") / 7).alias("a"), F.rand(3).alias("b"), (F.col("id") / 3).alias("y"))
+    seen = []
+
+    def predict(scored):
+        seen.append(scored.rdd.getNumPartitions())
+        return scored.withColumn("prediction", F.col("a") * 1.1)
+
+    found = {r["feature"]: r["importance_mean"] for r in importance.permutation_importance(rows, predict, ["a", "b"], "y", ["id"], repeats=3).collect()}
+    assert seen[0] <= 2 * spark.sparkContext.defaultParallelism and found["b"] == 0 and found["a"] != 0
