@@ -76,7 +76,8 @@ def masked(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.floor(F.rand() * SALTS).cast("int").alias("salt"),
     )
     rows = rows.withColumn("own", F.coalesce("id", -F.abs(F.hash("digest")).cast("bigint") - 1))  # spreads rows without id
-    joined = rows.join(flags.withColumnRenamed("id", "own"), ["own", "salt"], "left")
+    # by the labels' bytes on disk the planner would broadcast their SALTS copies, which grow with the table
+    joined = rows.join(flags.withColumnRenamed("id", "own").hint("merge"), ["own", "salt"], "left")
     bits = F.when((F.col("quality") == 1) & F.col("id").isNotNull(), GOOD).otherwise(0) + F.when((F.col("toxic") == 1) & F.col("id").isNotNull(), TOXIC).otherwise(0)
     return joined.select("id", "part", "digest", (F.col("mask") + bits).cast("int").alias("mask"))
 

@@ -260,3 +260,10 @@ def test_equal_subtrees_are_one_node():
     counts = np.array([[1, 2, 1, 2, 1, 2, 1, 2], [1, 2, 1, 2, 0, 0, 0, 0]])
     leaves, (*tables, roots) = divergence.consed(counts)
     assert [len(t) for t in tables] == [2, 2, 2] and math.prod(roots.shape) == 2 and len(leaves) == 3
+
+
+def test_labels_of_the_audit_are_not_broadcast(spark):
+    docs = spark.createDataFrame([(1, "a b", "s")], "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    plan = filter_audit.masked(docs, labels)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
